@@ -50,8 +50,10 @@ def to_utc_ntz(text: Column) -> Column:
     """ISO text -> UTC wall-clock timestamp without zone; unreadable text -> NULL.
 
     Text with a zone is shifted to UTC; text without one is taken as UTC. The
-    result does not depend on the session zone.
+    result does not depend on the session zone. Seconds may be missing.
     """
+    text = F.regexp_replace(
+        F.trim(text), r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
     zoned = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
     shifted = F.convert_timezone(
         F.current_timezone(), F.lit("UTC"),

@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # ---------------------------------------------------------------- cleaning
 
@@ -53,7 +54,7 @@ class _Visible(HTMLParser):
             self.parts.append(data.strip())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def clean_html_strict(text: pd.Series) -> pd.Series:
     """Like ``clean_html`` with a real parser: every entity, broken markup."""
     def visible(html):
@@ -126,7 +127,7 @@ def _array_udf(split, size: int, overlap: int):
     if not 0 <= overlap < size:
         raise ValueError("overlap must be smaller than the chunk size")
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(ArrayType(StringType()))
     def run(text: pd.Series) -> pd.Series:
         return text.map(lambda t: None if t is None else split(t, size, overlap))
 
