@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statlake.bindings.common import ntz, query, rounded, table
+from statlake.bindings.common import ntz, query, rounded, table, text_table
 from statlake.functions import text as tx
 from statlake.functions.metrics import experiment_summary as summary_of
 from statlake.functions.metrics import ranking_metrics as metrics_of
@@ -30,17 +30,17 @@ def _clean_sql(col: str) -> str:
 
 @query(f"SELECT page_id, {_clean_sql('html')} AS story FROM pages")
 def clean_html(spark, d):
-    return table(spark, d, "pages").select("page_id", tx.clean_html(F.col("html")).alias("story"))
+    return text_table(spark, d, "pages").select("page_id", tx.clean_html(F.col("html")).alias("story"))
 
 
 @query()
 def clean_html_strict(spark, d):
-    return table(spark, d, "pages").select(
+    return text_table(spark, d, "pages").select(
         "page_id", tx.clean_html_strict(F.col("html")).alias("story"))
 
 
 def _chunks(spark, d, *args, **kw):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = text_table(spark, d, "documents").select("doc_id", "text")
     return tx.chunk(docs, "text", *args, **kw).select("doc_id", "chunk_index", "chunk_text")
 
 
@@ -90,13 +90,15 @@ SELECT left_id, right_id, s::INTEGER AS n_shared, (nl - s)::INTEGER AS n_left_on
   round(coalesce(s / nullif(nl + nr - s, 0), 0)::DOUBLE, 9) AS jaccard FROM n
 """)
 def compare_pairs(spark, d):
-    docs = table(spark, d, "documents")
-    left = docs.select(F.col("doc_id").alias("left_id"), F.col("text").alias("left_text"),
+    """Each document against the next one, over the whole texts."""
+    docs = text_table(spark, d, "documents").select(
+        "doc_id", tx.word_set(F.col("text")).alias("words"))
+    left = docs.select(F.col("doc_id").alias("left_id"), F.col("words").alias("l"),
                        (F.col("doc_id") + 1).alias("right_id"))
-    right = docs.select(F.col("doc_id").alias("right_id"), F.col("text").alias("right_text"))
+    right = docs.select(F.col("doc_id").alias("right_id"), F.col("words").alias("r"))
     out = left.join(right, "right_id").select(
         "left_id", "right_id",
-        *[c.alias(n) for n, c in tx.compare_texts(F.col("left_text"), F.col("right_text")).items()])
+        *[c.alias(n) for n, c in tx.compare_words(F.col("l"), F.col("r")).items()])
     return rounded(out, 9, "jaccard")
 
 

@@ -428,15 +428,17 @@ def lake_roundtrip(spark, d):
 
 
 @query("""
-SELECT o_orderkey::INTEGER AS game_id, o_custkey::VARCHAR AS team_id, o_orderpriority AS category,
-  CASE WHEN o_orderstatus = 'F' THEN 'final' ELSE o_orderstatus END AS value FROM orders
+SELECT (o_orderkey // 100)::INTEGER AS game_id, (o_orderkey % 100)::VARCHAR AS team_id,
+  o_orderpriority AS category, CASE WHEN o_orderstatus = 'F' THEN 'final' ELSE o_orderstatus END
+  AS value FROM orders
 """)
 def upsert_blocks(spark, d):
     """Upsert into a block-partitioned table: only touched blocks are rewritten."""
     lake = Lake(spark, scratch_dir(spark, "blocks"))
+    key = F.col("o_orderkey")
     o = table(spark, d, "orders").select(
-        F.col("o_orderkey").cast("int").alias("game_id"),
-        F.col("o_custkey").cast("string").alias("team_id"),
+        F.floor(key / 100).cast("int").alias("game_id"),
+        (key % 100).cast("string").alias("team_id"),
         F.col("o_orderpriority").alias("category"), F.col("o_orderstatus").alias("value"))
     lake.upsert(o, "stage", "fact_team_stats")
     lake.upsert(o.where(F.col("value") == "F").withColumn("value", F.lit("final")),

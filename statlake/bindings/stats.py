@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from statlake.bindings.common import ntz, query, rounded, table
 from statlake.functions.metrics import regression_metrics as metrics_of
-from statlake.functions.scalars import SCORING_WEIGHTS, points
+from statlake.functions.scalars import SCORING_WEIGHTS, display_label, points
 from statlake.operators.pivot import Stat, pivot_stats
+from statlake.operators.rows import latest_per_key
 from statlake.operators.windows import lagged_features as lagged_of, temporal_split as split_by
 from statlake.plans import features as feat, marts
 from statlake.plans.gold import gold_incremental
@@ -123,15 +124,17 @@ def long_stats(spark, d):
 
 
 def stage_frames(spark, d):
-    """Stage-shaped facts, games, bridge and teams."""
-    from statlake.operators.rows import latest_per_key
-
+    """Stage-shaped facts (a written table, as in the lake), games, bridge and teams."""
     newest = latest_per_key(long_stats(spark, d), ["game_id", "athlete_id", "stat_key"],
                             ["ts"], ["event_id"])
     people = table(spark, d, "customer").select(
         F.col("c_custkey").cast("string").alias("athlete_id"), F.col("c_name").alias("athlete_name"),
         F.col("c_nationkey").cast("string").alias("team_id"))
-    facts = newest.join(people, "athlete_id")
+    at = scratch_dir(spark, "player-stats")
+    newest.join(people, "athlete_id").select(
+        "game_id", "athlete_id", "athlete_name", "team_id", "category", "stat_key", "value_str"
+    ).write.parquet(at)
+    facts = spark.read.parquet(at)
     e = table(spark, d, "events")
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
     games = e.select(
@@ -336,8 +339,6 @@ def regression_metrics_by_group(spark, d):
        "|| ')' AS label FROM features QUALIFY row_number() OVER (PARTITION BY athlete_id "
        "ORDER BY game_date DESC, game_id DESC) = 1")
 def latest_features(spark, d):
-    from statlake.functions.scalars import display_label
-
     f = marts.latest_features(feature_frame(spark, d), 1).withColumn(
         "label", display_label(F.col("athlete_name"), F.col("athlete_id")))
     return rounded(f.select("athlete_id", "game_id", "week", "next_week", "avg_pass_yards_3w",

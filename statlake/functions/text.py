@@ -136,11 +136,16 @@ def _array_udf(split, size: int, overlap: int):
 
 def token_chunks(text: Column, size: int, overlap: int) -> Column:
     """Windows of ``size`` words that advance by ``size - overlap``."""
+    def windows(words: Column) -> Column:
+        starts = F.sequence(
+            F.lit(0), F.greatest(F.size(words) - overlap - 1, F.lit(0)), F.lit(size - overlap))
+        return F.when(F.size(words) > 0, F.transform(
+            starts, lambda s: F.array_join(F.slice(words, s + 1, size), " ")))
+
+    # The outer transform binds the split words once; inlined, every window would
+    # split the whole text again.
     words = F.filter(F.split(text, BLANKS), lambda w: w != "")
-    starts = F.sequence(
-        F.lit(0), F.greatest(F.size(words) - overlap - 1, F.lit(0)), F.lit(size - overlap))
-    return F.when(F.size(words) > 0, F.transform(
-        starts, lambda s: F.array_join(F.slice(words, s + 1, size), " ")))
+    return F.get(F.transform(F.array(words), windows), F.lit(0))
 
 
 def chunk(df: DataFrame, text_col: str, strategy: str, size: int = 350, overlap: int = 75,
@@ -209,15 +214,14 @@ def word_set(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), BLANKS), lambda w: w != ""))
 
 
-def compare_texts(left: Column, right: Column) -> dict[str, Column]:
-    """Shared and one-sided word counts of two texts and their Jaccard index."""
-    a, b = word_set(left), word_set(right)
+def compare_words(a: Column, b: Column) -> dict[str, Column]:
+    """Shared and one-sided word counts of two ``word_set`` columns, and Jaccard."""
     shared = F.size(F.array_intersect(a, b))
+    either = F.size(a) + F.size(b) - shared
     return {
         "n_shared": shared,
         "n_left_only": F.size(a) - shared,
         "n_right_only": F.size(b) - shared,
         "jaccard": F.coalesce(
-            F.try_divide(shared.cast("double"), (F.size(a) + F.size(b) - shared).cast("double")),
-            F.lit(0.0)),
+            F.try_divide(shared.cast("double"), either.cast("double")), F.lit(0.0)),
     }

@@ -16,7 +16,8 @@ def gold_incremental(player_stats: DataFrame, games: DataFrame, game_team: DataF
                      weights: dict[str, str] = SCORING_WEIGHTS) -> DataFrame:
     """Rows to add to the gold fact; existing (game, athlete) pairs are not touched.
 
-    ``only_games`` (game_id) names the games of the current load: the stage scan
+    Everything known about a team in a game is put together at the size of the
+    bridge table first, so the player rows join it once. ``only_games`` (game_id) names the games of the current load: the stage scan
     then reads those alone instead of all history. Base and pivot both end up
     hashed on (game, athlete), the pivot after map-side aggregation.
     """
@@ -25,28 +26,11 @@ def gold_incremental(player_stats: DataFrame, games: DataFrame, game_team: DataF
     if only_games is not None:
         facts = facts.join(only_games.select("game_id").distinct(), "game_id", "left_semi")
 
-    base = (
-        new_rows(facts.select(*keys, "athlete_name", "team_id").distinct(), gold, keys)
-        .join(games.select(F.col("id").alias("game_id"), "season", "week",
-                           F.col("start_date").alias("game_date")), "game_id")
-        # The bridge holds integer ids, the facts text: cast the small side.
-        .join(game_team.select("game_id", F.col("team_id").cast("string").alias("team_id"),
-                               "home_away").distinct(), ["game_id", "team_id"])
-        .withColumns({
-            "team_id": F.col("team_id").cast("int"),
-            "is_home": F.when(F.col("home_away") == "home", True).otherwise(False),
-        })
-    )
     wide = pivot_stats(facts, keys, stats)
-    rows = base.join(wide, keys).join(
-        teams.select(F.col("id").alias("team_id"), F.col("abbrev").alias("team_abbrev")),
-        "team_id", "left")
-    members = game_team.select("game_id", "team_id").join(
-        teams.select(F.col("id").alias("team_id"), "abbrev"), "team_id")
-    rows = with_opponent(rows, members, "game_id", "team_id",
-                         {"team_id": "opponent_team_id", "abbrev": "opponent_abbrev"})
+    base = new_rows(facts.select(*keys, "athlete_name", "team_id").distinct(), gold, keys)
+    rows = base.join(game_context(games, game_team, teams), ["game_id", "team_id"]).join(wide, keys)
     return rows.select(
-        *keys, "athlete_name", "team_id", "team_abbrev", "season", "week", "game_date", "is_home",
+        *keys, "athlete_name", F.col("team_id").cast("int").alias("team_id"), "team_abbrev", "season", "week", "game_date", "is_home",
         "opponent_team_id", "opponent_abbrev", *[s.name for s in stats],
         points(weights).cast("decimal(18,4)").alias("fantasy_points_ppr"),
         points(standard_weights(weights)).cast("decimal(18,4)").alias("fantasy_points_standard"),
@@ -54,6 +38,27 @@ def gold_incremental(player_stats: DataFrame, games: DataFrame, game_team: DataF
     )
 
 
+def game_context(games: DataFrame, game_team: DataFrame, teams: DataFrame) -> DataFrame:
+    """One row per team of a game: date, home or away, names, opponent.
+
+    ``team_id`` is text, as in the player facts: the small side is cast. A team
+    may be missing from ``teams`` (NULL name) but an opponent must be there.
+    """
+    named = teams.select(F.col("id").alias("team_id"), F.col("abbrev"))
+    sides = game_team.select("game_id", "team_id", "home_away").distinct()
+    members = sides.select("game_id", "team_id").join(named, "team_id")
+    context = (
+        sides.join(games.select(F.col("id").alias("game_id"), "season", "week",
+                                F.col("start_date").alias("game_date")), "game_id")
+        .join(named.withColumnRenamed("abbrev", "team_abbrev"), "team_id", "left"))
+    context = with_opponent(context, members, "game_id", "team_id",
+                            {"team_id": "opponent_team_id", "abbrev": "opponent_abbrev"})
+    return context.withColumns({
+        "team_id": F.col("team_id").cast("string"),
+        "is_home": F.when(F.col("home_away") == "home", True).otherwise(False),
+    }).drop("home_away")
+
+
 def gold_refresh(gold: DataFrame, rebuilt: DataFrame, keys: list[str]) -> DataFrame:
     """Optional correction run: rebuilt rows replace the gold rows of the same key."""
     return upsert(gold, rebuilt, keys)

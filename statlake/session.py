@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -54,3 +54,17 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared scratch root."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread an input too small to give every core a split, before costly row work.
+
+    A single row group would leave all of it to one task. From the size at which
+    the scan yields full splits for all cores the frame is returned as it is, so
+    large inputs are never shuffled for this.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * split else df

@@ -34,9 +34,18 @@ def read_eval_set(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.EVAL_SET)
 
 
+def clustered(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Bring the rows of a directory together before a partitioned write.
+
+    Without it every task opens a file in every directory. The rebalance splits
+    large directories over several tasks and merges small ones at run time.
+    """
+    return df.hint("rebalance", *[F.col(p) for p in parts])
+
+
 def land_json(df: DataFrame, root: str, parts: list[str]) -> None:
     """Write rows as JSON lines below ``part=value`` directories."""
-    df.write.mode("append").partitionBy(*parts).json(root)
+    clustered(df, parts).write.mode("append").partitionBy(*parts).json(root)
 
 
 def write_latest_and_run(df: DataFrame, root: str, parts: list[str], run_id: str) -> None:
@@ -45,8 +54,8 @@ def write_latest_and_run(df: DataFrame, root: str, parts: list[str], run_id: str
     Rerunning with the same run id rewrites the same directories in both.
     """
     def put(out: DataFrame, path: str, by: list[str]) -> None:
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*by).parquet(path))
+        (clustered(out, parts).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
 
     put(df, f"{root}/latest", parts)
     put(df.withColumn("run_id", F.lit(run_id)), f"{root}/runs", [*parts, "run_id"])

@@ -9,9 +9,11 @@ snapshot and rewrites only the blocks a change touches. One writer per table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType
 
 from statlake.operators import merge
 from statlake.schemas import TABLES, Table
+from statlake.sources.files import clustered
 
 BLOCK = "key_block"
 # Touched blocks are turned into a partition filter up to this many.
@@ -120,13 +122,14 @@ class Lake:
         return df.withColumn(BLOCK, block)
 
     def _writer(self, df: DataFrame, table: Table, mode: str):
-        writer = df.write.mode(mode)
         by = [BLOCK] if table.block_by else list(table.partition_by)
-        return writer.partitionBy(*by) if by else writer
+        return clustered(df, by).write.mode(mode).partitionBy(*by) if by else df.write.mode(mode)
 
     def _scan(self, table: Table) -> DataFrame:
         path = self._current(table)
-        schema = self._with_block(self.spark.createDataFrame([], table.schema), table).schema
+        schema = table.schema
+        if table.block_by is not None:
+            schema = schema.add(BLOCK, IntegerType())
         if path is None:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
@@ -143,7 +146,8 @@ class Lake:
         if table.block_by is None or not self._finished(self._staged(table)):
             return
         staged = self.spark.read.schema(self._scan(table).schema).parquet(self._staged(table))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (clustered(staged, [BLOCK]).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
          .partitionBy(BLOCK).parquet(self._current(table)))
         fs, path = self._fs(self._staged(table))
         fs.delete(path, True)
