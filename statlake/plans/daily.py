@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -16,11 +17,16 @@ from statlake.schemas import PLAYER_GAME, STAGE_LOADS, TABLES
 from statlake.sources.lake import Lake
 
 
+def _at_once(load, names, threads: int = 4) -> None:
+    """Load independent tables side by side; one alone rarely fills a cluster."""
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(load, names))
+
+
 def load_raw(lake: Lake, documents: DataFrame, rows: dict, run_id: str, at: datetime) -> None:
     """Flatten documents into their raw tables under one run id (repeatable)."""
     stamped = with_lineage(documents, run_id, F.lit(str(at)))
-    for name, flatten in rows.items():
-        lake.replace_run(flatten(stamped), "raw", name, run_id)
+    _at_once(lambda name: lake.replace_run(rows[name](stamped), "raw", name, run_id), rows)
 
 
 def to_stage(raw: DataFrame, raw_name: str) -> DataFrame:
@@ -35,11 +41,14 @@ def to_stage(raw: DataFrame, raw_name: str) -> DataFrame:
 
 def load_stage(lake: Lake, run_id: str | None = None) -> None:
     """Upsert the raw rows of one run (or of all runs) into every stage table."""
-    for raw_name, (stage_name, _) in STAGE_LOADS.items():
+    def load(raw_name: str) -> None:
         raw = lake.read("raw", raw_name)
         if run_id is not None:
             raw = raw.where(F.col("run_id") == run_id)
-        if_not_empty(to_stage(raw, raw_name), lambda df: lake.upsert(df, "stage", stage_name))
+        if_not_empty(raw, lambda df: lake.upsert(
+            to_stage(df, raw_name), "stage", STAGE_LOADS[raw_name][0]))
+
+    _at_once(load, STAGE_LOADS)
 
 
 def load_gold(lake: Lake, at: datetime, run_id: str | None = None) -> None:

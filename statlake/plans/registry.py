@@ -12,7 +12,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from statlake.functions.scalars import json_number
-from statlake.schemas import TABLES
+from statlake.operators.checks import assert_empty, key_violations, ref_violations
+from statlake.schemas import REGISTRY_REFERENCES, REGISTRY_TABLES, TABLES
 from statlake.sources.lake import Lake
 
 MAE = "$.ppr.test_mae"
@@ -173,6 +174,17 @@ def deploy_version(lake: Lake, version_id: str, deployment_id: str, endpoint_url
     lake.replace(after, "mlops", "deployment")
 
 
+def check_references(lake: Lake) -> None:
+    """Raise on a duplicate registry key or a reference without its parent row."""
+    for t in REGISTRY_TABLES:
+        assert_empty(key_violations(lake.read("mlops", t.name), list(t.keys)),
+                     f"duplicate key in {t.name}")
+    for child, column, parent, key in REGISTRY_REFERENCES:
+        assert_empty(
+            ref_violations(lake.read("mlops", child), lake.read("mlops", parent), {column: key}),
+            f"{child}.{column} without {parent}")
+
+
 def artifact_ref(table: str, run_id: str) -> str:
     """Where a table-backed model keeps its predictions, as data instead of SQL text."""
     return json.dumps({"table": table, "run_id": run_id})

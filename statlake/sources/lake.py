@@ -68,9 +68,12 @@ class Lake:
         if table.partition_by != ("run_id",):
             raise ValueError(f"{layer}.{name} is not kept per run")
         rows = merge.conform(df.withColumn("run_id", F.lit(run_id)), table.schema)
-        path = self._current(table) or self._snapshot(table, 1)
-        (self._writer(rows, table, "overwrite")
-         .option("partitionOverwriteMode", "dynamic").parquet(path))
+        path = self._current(table)
+        if path is None:  # a directory-wise overwrite leaves no mark of a finished snapshot
+            self.replace(rows, layer, name)
+        else:
+            (self._writer(rows, table, "overwrite")
+             .option("partitionOverwriteMode", "dynamic").parquet(path))
 
     def upsert(self, df: DataFrame, layer: str, name: str, keys: list[str] | None = None) -> None:
         """Replace the rows with the source's keys, add the others.

@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 def spark(tmp_path_factory):
     from statlake.session import local_session
 
-    session = local_session(8, 8, memory="8g")
+    session = local_session(8, 2, memory="8g")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()

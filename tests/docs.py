@@ -53,7 +53,7 @@ def game(week=1, article=True, season=2025, blocks=(), drives=None):
     if article:
         doc["article"] = {
             "id": 700 + week, "headline": "Home wins", "published": "2025-09-08T03:21:00Z",
-            "source": "AP", "story": "<p>Home   <b>wins</b> again.</p><script>x</script>",
+            "source": "AP", "story": f"<p>Home   <b>wins</b> week {week}.</p><script>x</script>",
             "images": [{"type": "header", "name": "n", "caption": "c", "height": 5, "width": 6,
                         "url": "http://x/1.png"}, {"type": "header", "name": "no url"}]}
     if drives:

@@ -19,9 +19,9 @@ def _games(spark, n_keys=6, n=40, seed=1):
     return spark.createDataFrame(data, "k int, season int, day date, game int, v int")
 
 
-@pytest.mark.parametrize("hot_rows", [0, 5, 20])
-@pytest.mark.parametrize("n", [1, 3, 5])
-@pytest.mark.parametrize("block", ["week", "month", "year"])
+@pytest.mark.parametrize("hot_rows", [0, 20])
+@pytest.mark.parametrize("n", [1, 3])
+@pytest.mark.parametrize("block", ["week", "year"])
 def test_cut_keys_give_the_same_averages(spark, hot_rows, n, block):
     df = _games(spark)
     args = (["v"], ["k", "season"], ["day", "game"], n)
@@ -59,7 +59,7 @@ def test_split_equals_the_global_window(spark, kind, nulls):
         data.append((i, None if rnd.random() < nulls else at))
     df = spark.createDataFrame(data, "i int, at timestamp_ntz").withColumn(
         "at", F.col("at").cast(kind))
-    for share in (0.1, 0.333, 0.7, 1.0):
+    for share in (0.333, 0.7):
         got = temporal_split(df, "at", share).collect()
         want = _split_by_window(df, "at", share).collect()
         assert sorted(map(repr, got)) == sorted(map(repr, want))
