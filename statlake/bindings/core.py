@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statlake.bindings.common import ntz, query, rounded, table
-from statlake.functions.scalars import normalise_label, to_utc_ntz
+from statlake.functions.scalars import chunk_id, normalise_label, to_utc_ntz
 from statlake.operators import checks, merge, rows
 from statlake.operators.pivot import with_opponent
 from statlake.session import scratch_dir
@@ -447,15 +447,14 @@ def upsert_blocks(spark, d):
 
 
 @query("""
-SELECT 'v_' || vec_id AS id, label, len(embedding)::BIGINT AS n_values,
+SELECT label || '_' || vec_id AS id, label, len(embedding)::BIGINT AS n_values,
   round(embedding[1]::DOUBLE * CASE WHEN label >= 4 THEN 2 ELSE 1 END, 6) AS first_value
 FROM embeddings
 """)
 def upsert_vectors(spark, d):
     lake = Lake(spark, scratch_dir(spark, "vectors"))
     e = table(spark, d, "embeddings").select(
-        F.concat(F.lit("v_"), F.col("vec_id").cast("string")).alias("id"),
-        F.col("embedding").alias("values"), F.col("label"))
+        chunk_id(F.col("label"), F.col("vec_id")).alias("id"), F.col("embedding").alias("values"), F.col("label"))
 
     def records(df, scale):
         return df.select(

@@ -85,14 +85,12 @@ def with_opponent(df: DataFrame, members: DataFrame, game: str, team: str,
     game and the join adds no rows, however many teams or rows a game has.
     """
     fields = list(out)
-    distinct = members.select(game, *fields).where(F.col(fields[0]).isNotNull()).distinct()
-    order = Window.partitionBy(game).orderBy(*[F.col(f).asc_nulls_last() for f in fields])
-    per_team = Window.partitionBy(game, fields[0]).orderBy(
-        *[F.col(f).asc_nulls_last() for f in fields])
-    lowest = (
-        distinct.withColumn("_rn", F.row_number().over(per_team)).where(F.col("_rn") == 1)
-        .withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= 2)
-    )
+    rest = fields[1:]
+    per_team = members.where(F.col(fields[0]).isNotNull()).groupBy(game, fields[0]).agg(
+        *[F.min(F.struct(*rest)).alias("_rest")] if rest else [F.lit(None).alias("_rest")]
+    ).select(game, fields[0], *[F.col(f"_rest.{f}").alias(f) for f in rest])
+    order = Window.partitionBy(game).orderBy(F.col(fields[0]))
+    lowest = per_team.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= 2)
     team_of = F.struct(*fields)
     pairs = lowest.groupBy(F.col(game).alias("_game")).agg(
         F.max(F.when(F.col("_rn") == 1, team_of)).alias("_lo"),

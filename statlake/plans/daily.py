@@ -1,4 +1,4 @@
-"""The daily chain: landed documents -> raw -> stage -> gold -> features."""
+"""The daily chain: landed documents -> raw -> stage -> gold; features on demand."""
 
 from __future__ import annotations
 
@@ -52,15 +52,30 @@ def load_stage(lake: Lake, run_id: str | None = None) -> None:
 
 
 def load_gold(lake: Lake, at: datetime, run_id: str | None = None) -> None:
-    """Append the unseen player-games; with a run id only its games are read."""
-    games = None
-    if run_id is not None:
+    """Append the unseen player-games and check the key of the touched games.
+
+    With a run id only the blocks of that run's games are read, on both sides.
+    """
+    facts, gold, games = ("stage", "fact_player_stats"), ("gold", "player_game_stats"), None
+    if run_id is None:
+        read = lake.read
+    else:
         games = lake.read("raw", "player_stats").where(F.col("run_id") == run_id).select("game_id")
+
+        def read(layer, name):
+            return lake.read_near(layer, name, games)
+
     rows = gold_incremental(
-        lake.read("stage", "fact_player_stats"), lake.read("stage", "dim_games"),
-        lake.read("stage", "fact_game_team"), lake.read("stage", "dim_teams"),
-        lake.read("gold", "player_game_stats"), F.lit(str(at)), games)
-    lake.append(rows, "gold", "player_game_stats")
+        read(*facts), lake.read("stage", "dim_games"), lake.read("stage", "fact_game_team"),
+        lake.read("stage", "dim_teams"), read(*gold), F.lit(str(at)), games)
+    lake.append(rows, *gold)
+    assert_empty(key_violations(read(*gold), list(PLAYER_GAME.keys)), "duplicate gold key")
+
+
+def rebuild_features(lake: Lake, at: datetime) -> None:
+    """Replace the feature table from the stored gold fact."""
+    if_not_empty(lake.read("gold", "player_game_stats"), lambda gold: lake.replace(
+        build_features(gold, F.lit(str(at))), "ai_datasets", "player_fantasy_features"))
 
 
 def run_daily(lake: Lake, scoreboards: DataFrame, game_details: DataFrame, run_id: str,
@@ -70,7 +85,3 @@ def run_daily(lake: Lake, scoreboards: DataFrame, game_details: DataFrame, run_i
     load_raw(lake, game_details, GAME_ROWS, run_id, at)
     load_stage(lake, run_id)
     load_gold(lake, at, run_id)
-    gold = lake.read("gold", "player_game_stats")
-    assert_empty(key_violations(gold, list(PLAYER_GAME.keys)), "duplicate gold key")
-    if_not_empty(gold, lambda g: lake.replace(
-        build_features(g, F.lit(str(at))), "ai_datasets", "player_fantasy_features"))

@@ -17,9 +17,9 @@ LINEAGE = "ingest_timestamp timestamp_ntz, source_path string, run_id string"
 class Table:
     """A lake table: DDL, key columns, defaults and (optional) block partitioning.
 
-    ``block_by`` names an integer key column; rows are stored in directories of
-    ``block_size`` consecutive ids. The directory follows from the key alone, so
-    an upsert rewrites only the blocks its source rows fall into. ``partition_by``
+    ``block_by`` is an integer SQL expression over key columns; rows are stored in
+    directories of ``block_size`` consecutive values. The directory follows from
+    the key alone, so an upsert rewrites only the blocks its rows fall into. ``partition_by``
     names plain directory columns (raw tables keep one directory per run).
     """
 
@@ -41,10 +41,15 @@ def _raw(name: str, ddl: str) -> Table:
     return Table("raw", name, f"{ddl}, {LINEAGE}", partition_by=("run_id",))
 
 
-def _stage(name: str, ddl: str, keys: tuple[str, ...], block_by: str | None = None) -> Table:
-    return Table("stage", name, f"{ddl}, {LINEAGE}", keys, block_by=block_by)
+def _stage(name: str, ddl: str, keys: tuple[str, ...], block_by: str | None = None,
+           block_size: int = 1000) -> Table:
+    return Table("stage", name, f"{ddl}, {LINEAGE}", keys, block_by=block_by,
+                 block_size=block_size)
 
 
+# Article ids are sparse, so a block spans more of them.
+ARTICLE_BLOCK = 100_000
+
 # The 25 statistics of the player-game fact, in column order.
 STAT_COLUMNS = [
     "pass_completions", "pass_attempts", "pass_yards", "pass_touchdowns", "interceptions",
@@ -95,9 +100,10 @@ STAGE_TABLES = [
     _stage("dim_venues", _VENUES, ("id",)),
     _stage("dim_games", _GAMES, ("id",)),
     _stage("fact_game_team", _GAME_TEAM, ("game_id", "team_id")),
-    _stage("dim_articles", _ARTICLES, ("id",)),
+    _stage("dim_articles", _ARTICLES, ("id",), "id", ARTICLE_BLOCK),
     _stage("dim_article_images", "article_id int, url string, game_id int, caption string, "
-                                 "height int, width int", ("article_id", "url")),
+                                 "height int, width int", ("article_id", "url"),
+           "article_id", ARTICLE_BLOCK),
     _stage("fact_team_stats", "game_id int, team_id string, team_abbr string, home_away string, "
                               "category string, display_value string, value string, "
                               "label string", ("game_id", "team_id", "category"), "game_id"),
@@ -106,7 +112,7 @@ STAGE_TABLES = [
                                 "stat_label string, value_str string",
            ("game_id", "athlete_id", "stat_key"), "game_id"),
     Table("stage", "article_embeddings", "article_id int, processed_at timestamp_ntz",
-          ("article_id",)),
+          ("article_id",), block_by="article_id", block_size=ARTICLE_BLOCK),
     Table("stage", "article_image_embeddings",
           "article_id int, image_url string, processed_at timestamp_ntz",
           ("article_id", "image_url")),
@@ -156,6 +162,7 @@ PREDICTIONS = Table(
     "predicted_ppr decimal(18,4), actual_standard decimal(18,4), "
     "predicted_standard decimal(18,4), created_at timestamp_ntz",
     ("run_id", "season", "game_id", "athlete_id"),
+    partition_by=("run_id",),
 )
 
 REGISTRY_TABLES = [
@@ -192,6 +199,9 @@ VECTORS = Table(
     "id string, values array<float>, metadata struct<published:timestamp_ntz, chunk_index:int, "
     "article_id:int, chunk_text:string, headline:string, story:string>",
     ("id",),
+    # A chunk id is <article>_<n>.
+    block_by="try_cast(split_part(id, '_', 1) AS bigint)",
+    block_size=ARTICLE_BLOCK,
 )
 
 ALL_TABLES = [

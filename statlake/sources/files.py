@@ -49,16 +49,18 @@ def land_json(df: DataFrame, root: str, parts: list[str]) -> None:
 
 
 def write_latest_and_run(df: DataFrame, root: str, parts: list[str], run_id: str) -> None:
-    """Two copies: ``latest`` replaces the touched partitions, ``runs`` keeps each run.
+    """Two copies: ``runs`` keeps each run, ``latest`` replaces the touched partitions.
 
-    Rerunning with the same run id rewrites the same directories in both.
+    The second copy is made from the first, so ``df`` is computed once. Rerunning
+    with the same run id rewrites the same directories in both.
     """
     def put(out: DataFrame, path: str, by: list[str]) -> None:
         (clustered(out, parts).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
 
-    put(df, f"{root}/latest", parts)
     put(df.withColumn("run_id", F.lit(run_id)), f"{root}/runs", [*parts, "run_id"])
+    kept = as_of_run(df.sparkSession, root, run_id)
+    put(kept.select(*df.columns), f"{root}/latest", parts)
 
 
 def as_of_run(spark: SparkSession, root: str, run_id: str) -> DataFrame:

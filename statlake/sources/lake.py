@@ -8,7 +8,7 @@ snapshot and rewrites only the blocks a change touches. One writer per table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType
 
 from statlake.operators import merge
@@ -33,6 +33,16 @@ class Lake:
         self._recover(table)
         return self._scan(table).select(*table.schema.fieldNames())
 
+    def read_near(self, layer: str, name: str, rows: DataFrame) -> DataFrame:
+        """Only the blocks of a table that ``rows`` (with its key columns) fall into.
+
+        Enough for any work on the same keys, such as an anti join or a key check.
+        """
+        table = TABLES[layer, name]
+        self._recover(table)
+        near = self._touched(self._scan(table), self._with_block(rows, table))
+        return near.select(*table.schema.fieldNames())
+
     def exists(self, layer: str, name: str) -> bool:
         return self._current(TABLES[layer, name]) is not None
 
@@ -121,8 +131,13 @@ class Lake:
     def _with_block(self, df: DataFrame, table: Table) -> DataFrame:
         if table.block_by is None:
             return df
-        block = F.floor(F.col(table.block_by) / table.block_size).cast("int")
-        return df.withColumn(BLOCK, block)
+        return df.withColumn(BLOCK, self._block(table))
+
+    @staticmethod
+    def _block(table: Table) -> Column:
+        # A key outside the numbering goes to block -1, as NULL would match no filter.
+        block = F.floor(F.expr(table.block_by) / table.block_size).cast("int")
+        return F.coalesce(block, F.lit(-1))
 
     def _writer(self, df: DataFrame, table: Table, mode: str):
         by = [BLOCK] if table.block_by else list(table.partition_by)

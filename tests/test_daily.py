@@ -44,6 +44,7 @@ def built(spark, tmp_path_factory):
     lake = Lake(spark, str(tmp_path_factory.mktemp("lake")))
     _land(root, range(1, 6))
     _run(spark, lake, root, "r1")
+    daily.rebuild_features(lake, AT)
     return lake
 
 
