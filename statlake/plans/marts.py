@@ -69,9 +69,13 @@ def game_scores(games: DataFrame, game_team: DataFrame, teams: DataFrame,
 
 
 def scores_wide(scores: DataFrame) -> DataFrame:
-    """Home and away columns side by side; the values are listed, so no extra scan."""
-    return scores.groupBy("game_id", "season", "week").pivot(
-        "home_away", ["away", "home"]).agg(F.max("score"))
+    """Home and away columns side by side, the highest score of each.
+
+    Conditional maxima need one aggregation; ``pivot`` would plan two.
+    """
+    return scores.groupBy("game_id", "season", "week").agg(*[
+        F.max(F.when(F.col("home_away") == side, F.col("score"))).alias(side)
+        for side in ("away", "home")])
 
 
 def articles_of(articles: DataFrame, game_id: int, n: int = 20) -> DataFrame:
