@@ -241,6 +241,62 @@ def _scoreboards(spark, d):
     return flatten.with_lineage(docs, "run-1", ntz("2025-01-01"))
 
 
+def _game_documents(spark, d):
+    """Each document as the article of one game, landed as JSON and read back."""
+    at = scratch_dir(spark, "games")
+    docs = text_table(spark, d, "documents")
+    ident = F.col("doc_id").cast("int")
+    image = F.struct(
+        F.col("lang").alias("type"), F.col("source").alias("caption"),
+        F.col("n_chars").cast("int").alias("height"),
+        F.concat(F.lit("http://x/"), F.col("doc_id").cast("string")).alias("url"))
+    no_url = image.withField("url", F.lit(None).cast("string"))
+    article = F.struct(
+        ident.alias("id"), F.col("source").alias("headline"),
+        F.when(F.col("lang") == "en", "2025-09-08T03:21:00Z").otherwise("soon").alias("published"),
+        F.col("source"), F.col("text").alias("story"), F.array(image, no_url).alias("images"))
+    side = F.struct(
+        F.lit("home").alias("homeAway"),
+        F.struct(F.col("source").alias("id"), F.col("lang").alias("abbreviation")).alias("team"),
+        F.array(F.struct(F.lit("chars").alias("name"), F.col("n_chars").alias("value"),
+                         F.lit("CH").alias("label"))).alias("statistics"))
+    files.land_json(docs.select(
+        "lang", (ident + 1000).alias("game_id"),
+        F.when(F.col("source") != "src3", article).alias("article"),
+        F.struct(F.array(side).alias("teams")).alias("boxscore")), at, ["lang"])
+    return flatten.with_lineage(
+        files.read_game_details(spark, at, one_per_file=False), "run-1", ntz("2025-01-01"))
+
+
+@query("""
+SELECT doc_id::INTEGER AS id, source AS headline, CASE WHEN lang = 'en' THEN
+  TIMESTAMP '2025-09-08 03:21:00' END AS published, source, text AS story,
+  (doc_id + 1000)::INTEGER AS game_id FROM documents WHERE source <> 'src3'
+""")
+def flatten_articles(spark, d):
+    return flatten.flatten_articles(_game_documents(spark, d)).select(
+        "id", "headline", "published", "source", "story", "game_id")
+
+
+@query("""
+SELECT lang AS type, source AS caption, n_chars::INTEGER AS height, 'http://x/' || doc_id AS url,
+  (doc_id + 1000)::INTEGER AS game_id, doc_id::INTEGER AS article_id
+FROM documents WHERE source <> 'src3'
+""")
+def flatten_images(spark, d):
+    return flatten.flatten_images(_game_documents(spark, d)).select(
+        "type", "caption", "height", "url", "game_id", "article_id")
+
+
+@query("""
+SELECT 'chars' AS name, n_chars::VARCHAR AS value, 'CH' AS label, source AS team_id,
+  lang AS team_abbr, 'home' AS home_away, (doc_id + 1000)::INTEGER AS game_id FROM documents
+""")
+def flatten_team_stats(spark, d):
+    return flatten.flatten_team_stats(_game_documents(spark, d)).select(
+        "name", "value", "label", "team_id", "team_abbr", "home_away", "game_id")
+
+
 @query("""
 WITH s AS (SELECT l_orderkey::INTEGER AS game_id, l_suppkey::VARCHAR AS team_id,
   l_partkey::VARCHAR AS athlete_id, l_returnflag AS category, l_quantity::BIGINT AS q,

@@ -448,6 +448,47 @@ def player_list(spark, d):
     return marts.player_list(people, 500)
 
 
+@query("SELECT DISTINCT year(o_orderdate)::INTEGER AS season FROM orders")
+def season_list(spark, d):
+    return marts.season_list(_orders_as_games(spark, d))
+
+
+@query("SELECT DISTINCT month(o_orderdate)::INTEGER AS week FROM orders "
+       "WHERE year(o_orderdate) = 1996")
+def weeks_of_season(spark, d):
+    return marts.weeks_of(_orders_as_games(spark, d), 1996)
+
+
+@query("""
+SELECT l_orderkey AS game_id, l_suppkey::VARCHAR AS athlete_id, 'S' || l_suppkey AS athlete_name,
+  l_returnflag AS category, l_linenumber::VARCHAR AS stat_key, l_linestatus AS stat_label,
+  l_quantity::BIGINT::VARCHAR AS value_str, l_partkey::VARCHAR AS team_id FROM lineitem
+ORDER BY game_id NULLS LAST, athlete_name NULLS LAST, athlete_id, category, stat_key, value_str,
+  team_id LIMIT 200
+""")
+def player_stat_page(spark, d):
+    text = {"athlete_id": "l_suppkey", "stat_key": "l_linenumber", "team_id": "l_partkey"}
+    stats = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("game_id"), F.col("l_returnflag").alias("category"),
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("athlete_name"),
+        F.col("l_linestatus").alias("stat_label"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("value_str"),
+        *[F.col(c).cast("string").alias(n) for n, c in text.items()])
+    return marts.player_stat_page(stats)
+
+
+@query("""
+SELECT doc_id AS id, lang AS headline, source, text AS story, (n_chars % 100)::INTEGER AS published
+FROM documents WHERE lang = 'en' ORDER BY published DESC NULLS LAST, id LIMIT 20
+""")
+def articles_of_game(spark, d):
+    docs = table(spark, d, "documents").where(F.col("lang") == "en").select(
+        F.col("doc_id").alias("id"), F.col("lang").alias("headline"),
+        (F.col("n_chars") % 100).cast("int").alias("published"), "source",
+        F.col("text").alias("story"), F.lit(1).alias("game_id"))
+    return marts.articles_of(docs, 1)
+
+
 SALES = "FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey"
 
 

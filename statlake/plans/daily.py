@@ -29,12 +29,12 @@ def load_raw(lake: Lake, documents: DataFrame, rows: dict, run_id: str, at: date
     _at_once(lambda name: lake.replace_run(rows[name](stamped), "raw", name, run_id), rows)
 
 
-def to_stage(raw: DataFrame, raw_name: str) -> DataFrame:
-    """Newest ingested row per stage key, in the stage table's shape."""
+def to_stage(raw: DataFrame, raw_name: str, keys: list[str] | None = None) -> DataFrame:
+    """Newest ingested row per stage key (or other ``keys``), in the stage table's shape."""
     stage_name, renames = STAGE_LOADS[raw_name]
     table = TABLES["stage", stage_name]
     renamed = raw.withColumnsRenamed(renames)
-    newest = latest_per_key(renamed, list(table.keys), ["ingest_timestamp"],
+    newest = latest_per_key(renamed, list(keys or table.keys), ["ingest_timestamp"],
                             ties=["run_id", "source_path"])
     return conform(newest, table.schema)
 

@@ -94,7 +94,8 @@ def player_stat_page(player_stats: DataFrame, game_id: int | None = None,
     rows = apply_filters(player_stats, game_id=game_id).select(
         "game_id", "athlete_id", "athlete_name", "category", "stat_key", "stat_label",
         "value_str", "team_id")
-    order = ["game_id", "athlete_name", "athlete_id", "category", "stat_key"]
+    order = ["game_id", "athlete_name", "athlete_id", "category", "stat_key", "value_str",
+             "team_id"]
     return page(rows, [F.col(c).asc_nulls_last() for c in order], n)
 
 

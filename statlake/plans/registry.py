@@ -83,14 +83,11 @@ def decide_status(candidate: DataFrame, champion: DataFrame) -> DataFrame:
     Both frames hold at most one row; ``candidate`` has ``mae``. A metric of 0 is
     a value. A candidate without a metric cannot beat a champion.
     """
-    current = champion.agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max(json_number(F.col("metrics_json"), MAE)).alias("champion_mae"))
-    better = F.when(F.col("_n") == 0, True).otherwise(F.col("mae") < F.col("champion_mae"))
-    return (
-        candidate.join(F.broadcast(current), F.lit(True), "left")  # one aggregate row
-        .withColumn("status", F.when(better, "approved").otherwise("candidate")).drop("_n")
-    )
+    current = champion.agg(F.max(json_number(F.col("metrics_json"), MAE)).alias("mae")).scalar()
+    known = champion.agg(F.count(F.lit(1)).alias("n")).scalar()
+    better = F.when(known == 0, True).otherwise(F.col("mae") < F.col("champion_mae"))
+    return candidate.withColumn("champion_mae", current).withColumn(
+        "status", F.when(better, "approved").otherwise("candidate"))
 
 
 def deploy(deployments: DataFrame, versions: DataFrame, version_id: str, deployment_id: str,

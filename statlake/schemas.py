@@ -253,3 +253,9 @@ drives struct<previous:array<struct<id:string, team:struct<id:string, abbreviati
 """
 
 EVAL_SET = "question string, article_id int, n_chunks int"
+
+# Columns used from the sales sheet and their names here.
+ORDERS_COLUMNS = {
+    "Customer Segment": "customer_segment", "Product Category": "product_category",
+    "Sales": "sales",
+}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +57,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def new_run_id() -> str:
+    """A short run id; jobs take it as an argument, so a rerun can pass the old one."""
+    return uuid.uuid4().hex[:12]
+
+
+def process_date(today: date) -> str:
+    """The day a daily run works on: yesterday, as ``YYYYMMDD``."""
+    return (today - timedelta(days=1)).strftime("%Y%m%d")
+
+
 def spread_small(df: DataFrame) -> DataFrame:
     """Spread an input too small to give every core a split, before costly row work.
 

@@ -30,6 +30,14 @@ def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return spark.read.schema(ddl).option("header", True).csv(path)
 
 
+def read_orders(spark: SparkSession, path: str) -> DataFrame:
+    """The sales sheet as headed CSV: all its columns, with the three that are used
+    renamed and the amount parsed. The header alone names the columns; no value is
+    read to infer types."""
+    df = spark.read.option("header", True).csv(path).withColumnsRenamed(schemas.ORDERS_COLUMNS)
+    return df.withColumn("sales", F.col("sales").try_cast("double"))
+
+
 def read_eval_set(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.EVAL_SET)
 

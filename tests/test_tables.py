@@ -169,3 +169,20 @@ def test_eval_set_csv(spark, tmp_path):
     (tmp_path / "e.csv").write_text('question,article_id,n_chunks\n"Who, when?",7,3\nWhat?,8,\n')
     got = files.read_eval_set(spark, str(tmp_path / "e.csv")).collect()
     assert [tuple(r) for r in got] == [("Who, when?", 7, 3), ("What?", 8, None)]
+
+
+def test_orders_sheet(spark, tmp_path):
+    (tmp_path / "o.csv").write_text(
+        'Row ID,Customer Segment,Sales,Product Category\n1,Home,"10.5",Chairs\n2,Home,x,\n')
+    df = files.read_orders(spark, str(tmp_path / "o.csv"))
+    assert df.columns == ["Row ID", "customer_segment", "sales", "product_category"]
+    assert [(r.sales, r.product_category) for r in df.collect()] == [(10.5, "Chairs"), (None, None)]
+
+
+def test_run_arguments():
+    import datetime as dt
+
+    from statlake.session import new_run_id, process_date
+
+    assert process_date(dt.date(2025, 3, 1)) == "20250228"
+    assert len(new_run_id()) == 12 and new_run_id() != new_run_id()
