@@ -20,18 +20,31 @@ CLEAN_RULES = [
     ("(?is)<script[^>]*>.*?</script[^>]*>", " "),
     ("(?is)<style[^>]*>.*?</style[^>]*>", " "),
     ("(?s)<[^>]*>", " "),
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
+    ("&nbsp;?", " "),
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&quot;?", '"'),
     ("&#39;|&apos;", "'"),
-    ("&amp;", "&"),
+    ("&copy;?", "\u00a9"),
+    ("&reg;?", "\u00ae"),
+    ("&middot;?", "\u00b7"),
+    ("&ndash;", "\u2013"),
+    ("&mdash;", "\u2014"),
+    ("&lsquo;", "\u2018"),
+    ("&rsquo;|&#8217;", "\u2019"),
+    ("&ldquo;", "\u201c"),
+    ("&rdquo;", "\u201d"),
+    ("&hellip;", "\u2026"),
+    ("&amp;?", "&"),
     (BLANKS, " "),
 ]
 
 
 def clean_html(text: Column) -> Column:
-    """Visible text of HTML: tags become one space, blanks collapse. NULL stays NULL."""
+    """Visible text of HTML: tags become one space, blanks collapse. NULL stays NULL.
+
+    Built-in expressions only; entities beyond the listed ones stay as they are.
+    """
     return F.trim(reduce(
         lambda c, rule: F.regexp_replace(c, F.lit(rule[0]), F.lit(rule[1])), CLEAN_RULES, text))
 

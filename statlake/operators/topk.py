@@ -19,6 +19,15 @@ QUERY_BLOCK = 1024
 CORPUS_BLOCK = 20_000
 
 
+def few_queries(queries: DataFrame, query_id: str = "query_id",
+                query_vector: str = "values") -> list | None:
+    """The query rows when they fit the checked size, None when they do not."""
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("_qv"))
+    head = q.where(F.col("_qv").isNotNull()).limit(MAX_QUERIES + 1).collect()
+    fits = len(head) <= MAX_QUERIES and sum(len(r._qv) for r in head) <= MAX_QUERY_VALUES
+    return head if fits else None
+
+
 def cosine_top_k(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "id",
                  vector_col: str = "values", query_id: str = "query_id",
                  query_vector: str = "values", digits: int = 9) -> DataFrame:
@@ -31,13 +40,18 @@ def cosine_top_k(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "i
     """
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("_qv")).where(
         F.col("_qv").isNotNull())
+    few = few_queries(queries, query_id, query_vector)
+    return search(q, few, corpus, k, id_col, vector_col, digits)
+
+
+def search(q: DataFrame, few: list | None, corpus: DataFrame, k: int, id_col: str = "id",
+           vector_col: str = "values", digits: int = 9) -> DataFrame:
+    """``cosine_top_k`` for queries (query_id, _qv) already looked at by ``few_queries``."""
     c = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("_cv")).where(
         F.col("_cv").isNotNull())
     out = StructType().add(q.schema["query_id"]).add(c.schema["id"]).add("score", "double")
-
-    head = q.limit(MAX_QUERIES + 1).collect()
-    if len(head) <= MAX_QUERIES and sum(len(r._qv) for r in head) <= MAX_QUERY_VALUES:
-        candidates = _by_matrix(head, c, k, digits, out)
+    if few is not None:
+        candidates = _by_matrix(few, c, k, digits, out)
     else:
         candidates = _by_blocks(q, c, k, digits, out)
 
@@ -54,7 +68,7 @@ def _by_matrix(head, corpus: DataFrame, k: int, digits: int, out: StructType) ->
     ids = [r.query_id for r in head]
     shared = corpus.sparkSession.sparkContext.broadcast(_unit([r._qv for r in head]))
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def best_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = shared.value
         kept = None
         for batch in batches:
@@ -65,7 +79,7 @@ def _by_matrix(head, corpus: DataFrame, k: int, digits: int, out: StructType) ->
         if kept is not None:
             yield _emit(kept, ids, out)
 
-    return corpus.mapInArrow(search, out)
+    return corpus.mapInArrow(best_of_task, out)
 
 
 def _by_blocks(queries: DataFrame, corpus: DataFrame, k: int, digits: int,

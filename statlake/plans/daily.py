@@ -14,6 +14,7 @@ from statlake.operators.rows import if_not_empty, latest_per_key
 from statlake.plans.features import build_features
 from statlake.plans.gold import gold_incremental
 from statlake.schemas import PLAYER_GAME, STAGE_LOADS, TABLES
+from statlake.session import scratch_dir
 from statlake.sources.lake import Lake
 
 
@@ -24,9 +25,16 @@ def _at_once(load, names, threads: int = 4) -> None:
 
 
 def load_raw(lake: Lake, documents: DataFrame, rows: dict, run_id: str, at: datetime) -> None:
-    """Flatten documents into their raw tables under one run id (repeatable)."""
-    stamped = with_lineage(documents, run_id, F.lit(str(at)))
-    _at_once(lambda name: lake.replace_run(rows[name](stamped), "raw", name, run_id), rows)
+    """Flatten documents into their raw tables under one run id (repeatable).
+
+    JSON is parsed once: the documents are written as nested Parquet, from which
+    every table reads only the fields it needs.
+    """
+    at_path = scratch_dir(lake.spark, "documents")
+    with_lineage(documents, run_id, F.lit(str(at))).write.parquet(at_path)
+    parsed = lake.spark.read.parquet(at_path)
+    _at_once(lambda name: lake.replace_run(rows[name](parsed), "raw", name, run_id), rows)
+    lake.discard(at_path)
 
 
 def to_stage(raw: DataFrame, raw_name: str, keys: list[str] | None = None) -> DataFrame:

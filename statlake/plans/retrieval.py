@@ -9,15 +9,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from statlake.functions.metrics import experiment_summary, ranking_metrics
 from statlake.functions.scalars import chunk_id
-from statlake.functions.text import chunk, clean_html
+from statlake.functions.text import chunk, clean_html_strict
 from statlake.operators.rows import latest_per_key, unprocessed
-from statlake.operators.topk import cosine_top_k
+from statlake.operators.topk import few_queries, search
 from statlake.sources.lake import Lake
 
 # Chunking, vector width and result size.
 CHUNK_SIZE, CHUNK_OVERLAP = 350, 75
 VECTOR_SIZE = 768
 TOP_K = 25
+# Ids and scores of this many hits stay far below 100 MB.
+MAX_BROADCAST_HITS = 500_000
 
 
 def fit_embedder(df: DataFrame, text_col: str, dims: int = VECTOR_SIZE) -> PipelineModel:
@@ -46,8 +48,11 @@ def embed(df: DataFrame, text_col: str, embedder, out: str = "values") -> DataFr
 
 def chunk_articles(articles: DataFrame, strategy: str = "recursive", size: int = CHUNK_SIZE,
                    overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """Cleaned story of each article cut into chunks."""
-    cleaned = articles.withColumn("story", clean_html(F.col("story")))
+    """Cleaned story of each article cut into chunks.
+
+    The parser variant decodes every entity; the splitter needs Python anyway.
+    """
+    cleaned = articles.withColumn("story", clean_html_strict(F.col("story")))
     return chunk(cleaned, "story", strategy, size, overlap)
 
 
@@ -79,11 +84,18 @@ def embed_new(lake: Lake, embedder, at: Column) -> None:
 def retrieve(questions: DataFrame, corpus: DataFrame, k: int = TOP_K) -> DataFrame:
     """Hits with payload: query_id, rank, id, score, article_id, chunk_text.
 
-    Text joins after ranking, so the search moves vectors and ids only.
+    Text joins after ranking, so the search moves vectors and ids only. A checked
+    number of queries bounds the hits to queries x k; those are broadcast to the
+    corpus, which would otherwise be shuffled for a handful of rows.
     """
-    hits = cosine_top_k(questions, corpus, k)
+    few = few_queries(questions)
+    asked = questions.select("query_id", F.col("values").alias("_qv")).where(
+        F.col("_qv").isNotNull())
+    hits = search(asked, few, corpus, k)
+    if few is not None and len(few) * k <= MAX_BROADCAST_HITS:
+        hits = F.broadcast(hits)
     payload = corpus.select("id", F.col("metadata.article_id"), F.col("metadata.chunk_text"))
-    return hits.join(payload, "id").select(
+    return payload.join(hits, "id").select(
         "query_id", "rank", "id", "score", "article_id", "chunk_text")
 
 

@@ -8,6 +8,7 @@ snapshot and rewrites only the blocks a change touches. One writer per table.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType
 
@@ -93,15 +94,23 @@ class Lake:
         table = TABLES[layer, name]
         keys = list(keys or table.keys)
         source = merge.conform(df, table.schema)
-        if table.block_by is None or self._current(table) is None:
-            self.replace(merge.upsert(self.read(layer, name), source, keys), layer, name)
+        if self._current(table) is None:
+            self.replace(source, layer, name)
             return
-        self._recover(table)
-        source = self._with_block(source, table)
-        target = self._touched(self._scan(table), source)
-        merged = merge.upsert(target, source.select(*target.columns), keys)
-        self._writer(merged, table, "overwrite").parquet(self._staged(table))
-        self._recover(table)
+        # The source is read for its keys, its blocks and its rows; computing it may
+        # be dear (chunks, vectors), so it is kept for the duration of the upsert.
+        source = self._with_block(source, table).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if table.block_by is None:
+                self.replace(merge.upsert(self.read(layer, name), source, keys), layer, name)
+                return
+            self._recover(table)
+            target = self._touched(self._scan(table), source)
+            merged = merge.upsert(target, source, keys)
+            self._writer(merged, table, "overwrite").parquet(self._staged(table))
+            self._recover(table)
+        finally:
+            source.unpersist()
 
     def insert_ignore(self, df: DataFrame, layer: str, name: str) -> None:
         """Append the rows whose key is not there yet (one row per key in ``df``)."""
@@ -140,8 +149,11 @@ class Lake:
         return F.coalesce(block, F.lit(-1))
 
     def _writer(self, df: DataFrame, table: Table, mode: str):
-        by = [BLOCK] if table.block_by else list(table.partition_by)
-        return clustered(df, by).write.mode(mode).partitionBy(*by) if by else df.write.mode(mode)
+        if table.block_by:
+            return clustered(df, [BLOCK]).write.mode(mode).partitionBy(BLOCK)
+        if table.partition_by:  # one value per write: rebalance by size alone
+            return clustered(df, []).write.mode(mode).partitionBy(*table.partition_by)
+        return df.write.mode(mode)
 
     def _scan(self, table: Table) -> DataFrame:
         path = self._current(table)
@@ -167,8 +179,7 @@ class Lake:
         (clustered(staged, [BLOCK]).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(BLOCK).parquet(self._current(table)))
-        fs, path = self._fs(self._staged(table))
-        fs.delete(path, True)
+        self.discard(self._staged(table))
 
     def _current(self, table: Table) -> str | None:
         n = self._latest(table)
@@ -189,6 +200,11 @@ class Lake:
         fs, marker = self._fs(f"{directory}/_SUCCESS")
         return fs.exists(marker)
 
+    def discard(self, path: str) -> None:
+        """Delete an intermediate folder of ours."""
+        fs, folder = self._fs(path)
+        fs.delete(folder, True)
+
     def _fs(self, path: str):
         jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm_path
