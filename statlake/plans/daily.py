@@ -59,11 +59,8 @@ def load_stage(lake: Lake, run_id: str | None = None) -> None:
     _at_once(load, STAGE_LOADS)
 
 
-def load_gold(lake: Lake, at: datetime, run_id: str | None = None) -> None:
-    """Append the unseen player-games and check the key of the touched games.
-
-    With a run id only the blocks of that run's games are read, on both sides.
-    """
+def _gold_rows(lake: Lake, at: datetime, run_id: str | None, known: bool) -> DataFrame:
+    """Gold rows from stage; ``known`` leaves out what gold already holds."""
     facts, gold, games = ("stage", "fact_player_stats"), ("gold", "player_game_stats"), None
     if run_id is None:
         read = lake.read
@@ -73,11 +70,29 @@ def load_gold(lake: Lake, at: datetime, run_id: str | None = None) -> None:
         def read(layer, name):
             return lake.read_near(layer, name, games)
 
-    rows = gold_incremental(
+    held = read(*gold)
+    return gold_incremental(
         read(*facts), lake.read("stage", "dim_games"), lake.read("stage", "fact_game_team"),
-        lake.read("stage", "dim_teams"), read(*gold), F.lit(str(at)), games)
-    lake.append(rows, *gold)
-    assert_empty(key_violations(read(*gold), list(PLAYER_GAME.keys)), "duplicate gold key")
+        lake.read("stage", "dim_teams"), held if known else held.where(F.lit(False)),
+        F.lit(str(at)), games)
+
+
+def load_gold(lake: Lake, at: datetime, run_id: str | None = None) -> None:
+    """Append the unseen player-games and check the key of the touched games.
+
+    With a run id only the blocks of that run's games are read, on both sides.
+    """
+    lake.append(_gold_rows(lake, at, run_id, known=True), "gold", "player_game_stats")
+    gold = lake.read("gold", "player_game_stats")
+    if run_id is not None:
+        gold = lake.read_near("gold", "player_game_stats", lake.read("raw", "player_stats").where(
+            F.col("run_id") == run_id).select("game_id"))
+    assert_empty(key_violations(gold, list(PLAYER_GAME.keys)), "duplicate gold key")
+
+
+def refresh_gold(lake: Lake, at: datetime, run_id: str | None = None) -> None:
+    """Optional correction: rebuild the games of a run and replace their gold rows."""
+    lake.upsert(_gold_rows(lake, at, run_id, known=False), "gold", "player_game_stats")
 
 
 def rebuild_features(lake: Lake, at: datetime) -> None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statlake.functions.scalars import SCORING_WEIGHTS, points, standard_weights
-from statlake.operators.merge import upsert
 from statlake.operators.pivot import PLAYER_STATS, Stat, pivot_stats, with_opponent
 from statlake.operators.rows import new_rows
 
@@ -57,8 +56,3 @@ def game_context(games: DataFrame, game_team: DataFrame, teams: DataFrame) -> Da
         "team_id": F.col("team_id").cast("string"),
         "is_home": F.when(F.col("home_away") == "home", True).otherwise(False),
     }).drop("home_away")
-
-
-def gold_refresh(gold: DataFrame, rebuilt: DataFrame, keys: list[str]) -> DataFrame:
-    """Optional correction run: rebuilt rows replace the gold rows of the same key."""
-    return upsert(gold, rebuilt, keys)

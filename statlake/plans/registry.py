@@ -185,3 +185,8 @@ def check_references(lake: Lake) -> None:
 def artifact_ref(table: str, run_id: str) -> str:
     """Where a table-backed model keeps its predictions, as data instead of SQL text."""
     return json.dumps({"table": table, "run_id": run_id})
+
+
+def table_of(artifact: str) -> dict | None:
+    """The table and run of a table-backed artifact, None for a saved model's path."""
+    return json.loads(artifact) if artifact.startswith("{") else None

@@ -87,6 +87,9 @@ def test_repeat_and_restate(spark, tmp_path):
     assert lake.read("raw", "games").count() == 4
     loaded = {r.week: r.loaded_at for r in lake.read("gold", "player_game_stats").collect()}
     assert loaded[2] == AT and loaded[3] == AT + dt.timedelta(days=1)  # insert only
+    daily.refresh_gold(lake, AT + dt.timedelta(days=2), "r2")
+    loaded = {r.week: r.loaded_at.day for r in lake.read("gold", "player_game_stats").collect()}
+    assert loaded == {1: 1, 2: 3, 3: 3}
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -179,6 +182,19 @@ def test_registry_flow(spark, built):
                                         lake.read("mlops", "model_version"), model).first()
     assert active.model_version_id == "v3"
     registry.check_references(lake)
+    # run-3 keeps no rows in the table; a saved model and another run do.
+    assert ml.predict_active(lake, model).isEmpty()
+    with pytest.raises(LookupError):
+        ml.predict_active(lake, "model-unknown")
+    path = f"{lake.root}/models/m"
+    ml.save_model(ml.train(feats, "linear_regression"), path)
+    for version, artifact in (("v4", path), ("v5", registry.artifact_ref("t", "run-1"))):
+        lake.append(lake.read("mlops", "model_version").where("model_version_id = 'v3'").withColumns({
+            "model_version_id": F.lit(version), "artifact_path": F.lit(artifact)}),
+            "mlops", "model_version")
+        registry.deploy_version(lake, version, f"d-{version}", "url", AT + dt.timedelta(days=9))
+        served = ml.predict_active(lake, model, athlete_id="11").collect()
+        assert {(r.model_version_id, r.week) for r in served} == {(version, 4), (version, 5)}
 
 
 def test_articles_are_embedded_once(spark, built):

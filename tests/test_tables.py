@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from statlake.operators import checks, merge, rows
-from statlake.sources import catalog, files
+from statlake.sources import catalog, files, lake as lake_module
 from statlake.sources.lake import BLOCK, Lake
 
 KV = "k int, v string, w string"
@@ -83,6 +83,18 @@ def test_block_upsert_touches_only_its_blocks(spark, tmp_path):
     assert files_before == files_after
 
 
+def test_more_blocks_than_a_filter_holds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake_module, "MAX_BLOCK_FILTER", 1)
+    lake = Lake(spark, str(tmp_path))
+    name = ("stage", "fact_team_stats")
+    lake.upsert(_stats(spark, *[(g, "a", "x", "1") for g in (1, 1500, 2500, 9000)]), *name)
+    lake.upsert(_stats(spark, *[(g, "a", "x", "2") for g in (1, 1501, 2500)]), *name)
+    got = {(r.game_id, r.value) for r in lake.read(*name).collect()}
+    assert got == {(1, "2"), (1500, "1"), (1501, "2"), (2500, "2"), (9000, "1")}
+    near = lake.read_near(*name, spark.createDataFrame([(9001,), (2,)], "game_id int"))
+    assert {r.game_id for r in near.collect()} == {1, 9000}
+
+
 def test_staged_blocks_survive_a_lost_run(spark, tmp_path, monkeypatch):
     lake = Lake(spark, str(tmp_path))
     name = ("stage", "fact_team_stats")

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from statlake.operators import rows as sel
+from statlake.operators import rows as sel, windows
 from statlake.operators.windows import history_window, lagged_features, temporal_split
 
 
@@ -30,6 +30,15 @@ def test_cut_keys_give_the_same_averages(spark, hot_rows, n, block):
     assert sorted(map(repr, plain)) == sorted(map(repr, cut))
 
 
+def test_many_hot_keys_cut_every_key(spark, monkeypatch):
+    monkeypatch.setattr(windows, "MAX_HOT_KEYS", 1)
+    df = _games(spark)
+    args = (["v"], ["k", "season"], ["day", "game"], 3)
+    plain = lagged_features(df, *args).collect()
+    cut = lagged_features(df, *args, block=F.trunc("day", "month"), hot_rows=2).collect()
+    assert sorted(map(repr, plain)) == sorted(map(repr, cut))
+
+
 def test_current_game_is_not_in_its_average(spark):
     df = spark.createDataFrame(
         [(1, 2024, 9, i, float(v)) for i, v in enumerate([10, 20, 30, 1000])]
