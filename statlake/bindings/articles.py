@@ -11,7 +11,7 @@ from statlake.functions.metrics import ranking_metrics as metrics_of
 from statlake.operators import flatten
 from statlake.operators.topk import cosine_top_k
 from statlake.operators.windows import history_window as history_of
-from statlake.plans import retrieval
+from statlake.plans import marts, retrieval
 from statlake.session import scratch_dir
 from statlake.sources import files
 
@@ -441,6 +441,35 @@ def experiment_summary(spark, d):
     return rounded(summary_of(_scores(spark, d), "exp-1"), 9, *NAMES)
 
 
+@query("""
+SELECT 'which rows look like ' || label AS question, label AS article_id,
+  count(*)::INTEGER + CASE WHEN label < 5 THEN 0 ELSE 1 END AS n_chunks
+FROM embeddings GROUP BY label
+""")
+def register_eval_set(spark, d):
+    """Known questions keep their row; the others are added once."""
+    sets = table(spark, d, "embeddings").groupBy("label").agg(
+        F.count(F.lit(1)).cast("int").alias("n_chunks")).select(
+        F.concat(F.lit("which rows look like "), F.col("label").cast("string")).alias("question"),
+        F.col("label").alias("article_id"), "n_chunks")
+    again = sets.withColumn("n_chunks", F.col("n_chunks") + 1)
+    return retrieval.register_eval_set(sets.where(F.col("article_id") < 5),
+                                       again.unionByName(again))
+
+
+@query("""
+SELECT url, substr(url, 1, 20) AS caption, (page_id % 7)::INTEGER AS height,
+  (page_id % 5)::INTEGER AS width FROM pages WHERE url IS NOT NULL ORDER BY url, page_id LIMIT 6
+""")
+def images_of_game(spark, d):
+    """The first images of a game by url; every page stands for an image of one game."""
+    images = table(spark, d, "pages").select(
+        "url", F.substring("url", 1, 20).alias("caption"),
+        (F.col("page_id") % 7).cast("int").alias("height"),
+        (F.col("page_id") % 5).cast("int").alias("width"), F.lit(1).alias("game_id"))
+    return marts.images_of(images, 1)
+
+
 @query()
 def embed_documents(spark, d):
     """Every chunk of every document as a vector; one row per chunk."""

@@ -82,9 +82,11 @@ def flatten_articles(df: DataFrame) -> DataFrame:
 
 def flatten_images(df: DataFrame) -> DataFrame:
     """Images with a url; an article without images yields no row."""
+    # Fields first, rows second: the scan then leaves the story out.
     return (
-        df.select(F.col("article.id").alias("article_id"), "game_id",
-                  F.explode("article.images").alias("i"), *LINEAGE_COLUMNS)
+        df.select(F.col("article.id").alias("article_id"), F.col("article.images"), "game_id",
+                  *LINEAGE_COLUMNS)
+        .select("article_id", "game_id", F.explode("images").alias("i"), *LINEAGE_COLUMNS)
         .where(F.col("i.url").isNotNull())
         .select("i.type", "i.name", "i.caption", "i.height", "i.width", "i.url",
                 "game_id", "article_id", *LINEAGE_COLUMNS))

@@ -10,6 +10,8 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 # A key above this many rows is cut into blocks instead of being sorted by one task.
 HOT_ROWS = 1_000_000
+# Turns of one block of a conversation that is cut.
+TURN_BLOCK = 100_000
 # Hot keys are joined by broadcast up to this many; beyond it every key is cut.
 MAX_HOT_KEYS = 10_000
 
@@ -102,7 +104,7 @@ def history_window(df: DataFrame, n: int = 3, answer_chars: int = 500,
     previous = with_lookback(
         df, ["conv_id"], ["turn"], n,
         lambda w: {"_prev": F.collect_list(F.struct("role", "text")).over(w)},
-        block=F.floor(F.col("turn") / 1000), hot_rows=hot_rows,
+        block=F.floor(F.col("turn") / TURN_BLOCK), hot_rows=hot_rows,
     )
 
     def line(message: Column, i: Column) -> Column:

@@ -26,7 +26,7 @@ def lagged_rows(gold: DataFrame, stats: list[str] = STAT_COLUMNS,
     """
     lagged = lagged_features(
         gold, stats, ["athlete_id", "season"], ["game_date", "game_id"], LOOKBACK,
-        block=F.date_trunc("month", F.col("game_date")), hot_rows=hot_rows)
+        block=F.date_trunc("day", F.col("game_date")), hot_rows=hot_rows)
     return lagged.where(
         (F.col("lookback_count") == LOOKBACK) & F.col("fantasy_points_ppr").isNotNull()
     ).select(

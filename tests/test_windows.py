@@ -80,7 +80,8 @@ def test_split_of_one_row_and_of_none(spark):
     assert temporal_split(one.where("false"), "d").collect() == []
 
 
-def test_history_keeps_questions_and_shortens_answers(spark):
+def test_history_keeps_questions_and_shortens_answers(spark, monkeypatch):
+    monkeypatch.setattr(windows, "TURN_BLOCK", 2)
     df = spark.createDataFrame(
         [(1, 0, "system", "s"), (1, 1, "user", "q" * 600), (1, 2, "assistant", "a" * 600),
          (1, 3, "user", "next"), (2, 0, "user", "other")],
