@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statlake.llm import language, mixing, resampling, tokens
+from statlake.llm import language, mixing, pii, resampling, tokens
 from statlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op6_quality(spark, folder):
 @query()
 def op7_tokens(spark, folder):
     return tokens.read_tokens(spark, tokens.write_tokens(documents(spark, folder)))
+
+
+@query()
+def op1_pii(spark, folder):
+    return pii.digest(documents(spark, folder))

@@ -1,10 +1,13 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text.
 
-Texts are bags of character 2- and 3-grams hashed into ``BUCKETS`` places. The target model
-counts those of labelled good documents (a bounded sample), the raw model those of all
-documents. A document's log weight is the sum of log(target / raw) over its n-grams. Adding
-Gumbel noise and taking the k largest draws k documents without replacement in proportion to
-their weights; k is the share of good documents among the labelled ones, times their number.
+Texts are bags of character 2- and 3-grams hashed into ``BUCKETS`` places, and of word pairs
+of which only counts whether both words are the same. The target model counts those of
+labelled good documents (a bounded sample), the raw model those of all documents. A
+document's log weight is the mean of log(target / raw) over its n-grams (``SHRINK`` n-grams
+of ratio 1 are added) times ``LENGTH``: the weight of a passage of that length, so that long
+and short documents compete alike. Adding Gumbel noise and taking the k largest draws k
+documents without replacement in proportion to their weights; k is the share of good
+documents among the labelled ones, and two standard errors of it more, times their number.
 
 Results for odd input: a NULL or empty text has log weight 0 and takes part as such; without
 labels, or without good ones, all documents stay and all weights are 0; rows with equal keys
@@ -15,6 +18,7 @@ on doc_id and a seed alone, so reruns agree. Other columns stay as they are.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -26,6 +30,9 @@ from statlake.llm.common import code_points, kept, kth_largest, text_or_empty, u
 BUCKETS = 1 << 16
 SAMPLE = 20_000
 SMOOTHING = 1.0
+LENGTH, SHRINK = 400, 300
+#: Places of word pairs: different words, the same word.
+PAIR = np.array([0, 1])
 SEED = 20_17
 
 
@@ -36,7 +43,10 @@ def gram_places(text: str) -> np.ndarray:
     pairs = x[:-1] * np.uint64(0x110000) + x[1:]
     triples = pairs[:-1] * np.uint64(0x110000) + x[2:] + np.uint64(1 << 63)
     both = np.concatenate([pairs, triples]) * np.uint64(0x9E3779B97F4A7C15)
-    return (both >> np.uint64(48)).astype("i8")
+    places = (both >> np.uint64(48)).astype("i8")
+    words = text.split()
+    same = sum(map(eq, words, words[1:]))
+    return np.concatenate([places, np.repeat(PAIR, [max(0, len(words) - 1 - same), same])])
 
 
 def _counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,7 +91,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
         return np.zeros(BUCKETS, "f4"), 1.0
     p = (target + SMOOTHING) / (target.sum() + SMOOTHING * BUCKETS)
     q = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS)
-    return np.log(p / q).astype("f4"), fit_ones / n
+    share = fit_ones / n
+    return np.log(p / q).astype("f4"), min(1.0, share + 2 * (share * (1 - share) / n) ** 0.5)
 
 
 def log_weight(docs: DataFrame, ratios: np.ndarray) -> Column:
@@ -90,7 +101,8 @@ def log_weight(docs: DataFrame, ratios: np.ndarray) -> Column:
     @F.pandas_udf(DoubleType())
     def weigh(texts: pd.Series) -> pd.Series:
         table = shared.value
-        return pd.Series([float(table[gram_places(t)].sum(dtype="f8")) for t in texts], dtype="f8")
+        found = (table[gram_places(t)] for t in texts)
+        return pd.Series([LENGTH * float(x.sum(dtype="f8")) / (len(x) + SHRINK) for x in found], dtype="f8")
 
     return weigh(text_or_empty())
 
