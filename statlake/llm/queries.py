@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statlake.llm import language, mixing, pii, resampling, tokens
+from statlake.llm import language, mixing, pii, resampling, rules, tokens
 from statlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,10 @@ def op7_tokens(spark, folder):
 @query()
 def op1_pii(spark, folder):
     return pii.digest(documents(spark, folder))
+
+
+@query()
+def op5_rules(spark, folder):
+    return rules.judged(documents(spark, folder)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "char_distance", "word_distance")
