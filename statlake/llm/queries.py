@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statlake.llm import language, mixing, pii, resampling, rules, tokens
+from statlake.llm import decontaminate, language, mixing, pii, resampling, rules, tokens
 from statlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,13 @@ def op5_rules(spark, folder):
     return rules.judged(documents(spark, folder)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "char_distance", "word_distance")
+
+
+@query()
+def op9_decontaminate(spark, folder):
+    found = decontaminate.marked(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    best = F.array_max(F.transform("_items", lambda x: x["share"]))
+    return found.select(
+        "doc_id", (F.size("_items") > 0).alias("contaminated"),
+        F.sort_array(F.transform("_items", lambda x: x["item_id"])).alias("item_ids"),
+        F.coalesce(best, F.lit(0.0)).alias("share"))
