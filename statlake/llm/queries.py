@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statlake.llm import decontaminate, language, mixing, pii, resampling, rules, tokens
+from statlake.llm import decontaminate, language, mixing, neardup, pii, resampling, rules, tokens
 from statlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op9_decontaminate(spark, folder):
         "doc_id", (F.size("_items") > 0).alias("contaminated"),
         F.sort_array(F.transform("_items", lambda x: x["item_id"])).alias("item_ids"),
         F.coalesce(best, F.lit(0.0)).alias("share"))
+
+
+@query()
+def op8_neardup(spark, folder):
+    return neardup.classes(documents(spark, folder))
