@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statlake.llm import decontaminate, language, mixing, neardup, pii, resampling, rules, substrings, tokens
+from statlake.llm import decontaminate, language, lines, mixing, neardup, pii, resampling, rules, substrings, tokens
 from statlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def op8_neardup(spark, folder):
 @query()
 def op10_suffixes(spark, folder):
     return substrings.remove_repeats(documents(spark, folder)).drop("kept")
+
+
+@query()
+def op4_lines(spark, folder):
+    return lines.counted(documents(spark, folder))
