@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statlake.llm import mixing, resampling, tokens
+from statlake.llm import decontaminate, mixing, neardup, resampling, tokens
 from statlake.llm.common import documents, kept
 
 
@@ -13,6 +13,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return resampling.keep_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves one document of each class of near-duplicates."""
+    return neardup.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a question of the benchmark."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources mixed to their target weights, piece by piece."""
     return mixing.mix(docs)
@@ -25,6 +35,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", quality),
+    ("near duplicates", near_duplicates),
+    ("benchmark decontamination", decontamination),
     ("mixing", mix),
     ("token ids", token_ids),
 ]

@@ -319,23 +319,25 @@ def _removed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay)."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    order = F.coalesce("doc_id", F.lit(FIRST_ID))
-    tag = F.shiftrightunsigned(F.xxhash64("text"), 50)
+    # The texts are dealt once, by document: all three uses of them read the same shuffle,
+    # so they ask for the same columns, and all else is worked out behind it.
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc"), text_or_empty().alias("text"))
+    dealt = rows.repartition(n, "doc")
+    tagged = dealt.withColumn("tag", F.shiftrightunsigned(F.xxhash64("text"), 50))
     # Copies: only hashes of the texts are dealt.
-    hashed = rows.select(order.alias("doc"), F.md5("text").alias("hash"))
+    hashed = rows.select("doc", F.md5("text").alias("hash"))
     earliest = hashed.groupBy("hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-    copies = hashed.join(earliest, "hash").where("doc > least").select(F.col("doc").alias("_doc"), "hash").distinct()
-    all_ = rows.withColumns({"doc": order, "tag": tag, "_md5": F.md5("text")}).repartition(n, "doc")
-    texts = all_.join(copies.withColumnRenamed("hash", "_hash"), (F.col("doc") == F.col("_doc")) & (F.col("_md5") == F.col("_hash")), "left")
-    texts = texts.select("doc_id", "doc", "tag", "text", F.col("_hash").isNotNull().alias("copy"))
+    copies = hashed.join(earliest, "hash").where("doc > least").groupBy("doc").agg(F.collect_set("hash").alias("_hashes"))
+    texts = tagged.join(copies, "doc", "left").select(
+        "doc", "tag", "text", F.coalesce(F.array_contains("_hashes", F.md5("text")), F.lit(False)).alias("copy"))
 
     found = texts.select("doc", "tag", "text", "copy").mapInArrow(_find_runs, "key long, doc long, loc long, kind byte")
     route = F.when(F.col("kind") == KNOWN, F.xxhash64("doc", "loc")).otherwise(F.col("key"))
     recurring = found.repartition(n, route).mapInArrow(_recurring, "key long, doc long, loc long, split boolean")
     lists = recurring.groupBy("doc").agg(F.collect_list(F.struct("loc", "key", "split")).alias("runs"))
 
-    pieces = texts.join(lists, "doc").select("doc", "tag", "text", "runs").mapInArrow(
+    ordered = tagged.join(lists, "doc").select("doc", "tag", "text", "runs").sortWithinPartitions("doc")
+    pieces = ordered.mapInArrow(
         _cut_pieces, "key long, doc long, loc long, split boolean, piece binary")
     route = (F.when(F.col("piece").isNull(), F.xxhash64("doc", "loc"))
              .when(F.col("split"), F.xxhash64("key", F.pmod("doc", F.lit(SALTS)))).otherwise(F.col("key")))
@@ -345,5 +347,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     covered = (sorted_.repartition(n, route).sortWithinPartitions("string", "doc", "loc")
                .mapInArrow(_settle_split, "doc long, loc long")
                .groupBy("doc").agg(F.collect_list("loc").alias("covered")))
-    return texts.join(covered, "doc", "left").select("doc_id", "tag", "text", "copy", "covered").mapInArrow(
+    ids = F.when(F.col("doc") != FIRST_ID, F.col("doc")).alias("doc_id")
+    return texts.join(covered, "doc", "left").select(ids, "tag", "text", "copy", "covered").mapInArrow(
         _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
