@@ -41,6 +41,17 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and all others as one: no helper's name can clash with theirs."""
+    others = [f"`{c}`" for c in docs.columns if c not in needed]
+    return docs.select(*needed, *([F.struct(*others).alias("_rest")] if others else []))
+
+
+def unpacked(columns: list[str], *needed: str) -> list[Column]:
+    """Selects what ``packed`` put away; ``columns`` in their order."""
+    return [F.col(c) if c in needed else F.col("_rest").getField(c).alias(c) for c in columns]
+
+
 def uniform(*cols: Column) -> Column:
     """A pseudorandom number in (0, 1) that depends on the given columns alone."""
     return (F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") + 0.5) / float(1 << 53)

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from statlake.llm.common import mixed, text_or_empty, words_of
+from statlake.llm.common import mixed, packed, text_or_empty, unpacked, words_of
 
 WINDOW, AT_LEAST = 5, 0.8
 MOST_SENT = 2_000_000
@@ -207,4 +207,5 @@ def marked(docs: DataFrame, benchmark: DataFrame, most: int = MOST_SENT) -> Data
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no item contaminates."""
-    return marked(docs, benchmark).where(F.size("_items") == 0).drop("_items")
+    found = marked(packed(docs, "text"), benchmark).where(F.size("_items") == 0)
+    return found.select(*unpacked(docs.columns, "text"))

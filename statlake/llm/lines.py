@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from statlake.llm.common import kept, text_or_empty
+from statlake.llm.common import kept, packed, text_or_empty, unpacked
 
 NEAR_WORDS = 5
 FIRST_ID = -(1 << 63)
@@ -155,7 +155,9 @@ def _joined(docs: DataFrame) -> DataFrame:
 def drop_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines left out of ``text``."""
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    return _joined(docs).withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)).select(*docs.columns)
+    rows = _joined(packed(docs, "doc_id", "text"))
+    return rows.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)).select(
+        *unpacked(docs.columns, "doc_id", "text"))
 
 
 def counted(docs: DataFrame) -> DataFrame:

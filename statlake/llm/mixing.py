@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from statlake.llm.common import WORD, kept, mixed, text_or_empty
+from statlake.llm.common import WORD, kept, mixed, packed, text_or_empty, unpacked
 
 BLOCK = 1024
 SHARDS = 512
@@ -237,7 +237,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     _, pieces = plan(docs, **options)
     lists = pieces.groupBy("doc_id", "source", "hash").agg(
         F.sort_array(F.collect_list(F.struct("shard", "slot", "first", "n"))).alias("_takes"))
-    keyed = docs.withColumn("_hash", F.xxhash64(text_or_empty()))
+    needed = [c for c in ("doc_id", "source", "text", "n_chars") if c in docs.columns]
+    keyed = packed(docs, *needed).withColumn("_hash", F.xxhash64(text_or_empty()))
     keyed = keyed.dropDuplicates(["doc_id", "source", "_hash"])
     lists = lists.withColumnsRenamed({"doc_id": "_d", "source": "_s", "hash": "_h"})
     joined = keyed.join(lists, F.col("doc_id").eqNullSafe(F.col("_d"))
@@ -246,7 +247,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     cut = cut.withColumn("text", F.col("_piece"))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("_piece").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    return cut.select(*unpacked(docs.columns, *needed))
 
 
 def _pieces(text: str, takes_: str):

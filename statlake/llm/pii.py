@@ -14,14 +14,14 @@ is 1 when the term never occurs without the entity. A term side by side with an
 Built-in expressions only. Positions are code points from 0, ends exclusive. Results for odd
 input: a NULL text is an empty one and has no spans; an entity in every document (IC 0) has
 no terms; repeated rows get equal results; an empty table gives an empty result; other
-columns are kept by ``sanitise`` and names that start with an underscore are the module's.
+columns are kept by ``sanitise``, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statlake.llm.common import text_or_empty
+from statlake.llm.common import packed, text_or_empty, unpacked
 
 #: The kinds in their order, with their patterns. Possessive repeats and the
 #: look at the character before say the same as the plain patterns, without backtracking.
@@ -205,7 +205,7 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     Where spans overlap, the one that starts first (then the longer one) is replaced and
     the others go as far as it covers them; a rest is replaced by nothing.
     """
-    rows = spans(docs, **options)
+    rows = spans(packed(docs, "doc_id", "text"), **options)
     parts = F.array_sort(F.transform(F.concat("_base", "_terms"), lambda s: F.struct(
         s["start"].alias("start"), (-s["stop"]).alias("end"), s["kind"].alias("kind"))))
     label = F.expr("""aggregate(_parts, struct(0 as at, cast(array() as array<string>) as out), (a, s) -> struct(
@@ -216,7 +216,8 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
                else concat('[', upper(s.kind), ']') end)))) as out),
         a -> concat(array_join(a.out, ''), substring(_text, a.at + 1, length(_text))))""")
     return rows.withColumn("_parts", parts).withColumn("text", F.when(
-        F.col("text").isNotNull(), label)).select(*docs.columns)
+        F.col("text").isNotNull(), label)).select(
+        *unpacked(docs.columns, "doc_id", "text"))
 
 
 def digest(docs: DataFrame, **options) -> DataFrame:

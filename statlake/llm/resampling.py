@@ -25,7 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from statlake.llm.common import code_points, kept, kth_largest, text_or_empty, uniform
+from statlake.llm.common import (code_points, kept, kth_largest, packed, text_or_empty, uniform,
+                                 unpacked)
 
 BUCKETS = 1 << 16
 SAMPLE = 20_000
@@ -128,5 +129,5 @@ def keep_documents(docs: DataFrame, labels: DataFrame, share: float | None = Non
     _, least, ratios = resample(docs, labels, share, sample)
     if least is None:
         return docs.limit(0)
-    key = log_weight(docs, ratios) + noise()
-    return docs.withColumn("_key", key).where(F.col("_key") >= least).drop("_key")
+    rows = packed(docs, "doc_id", "text").withColumn("_key", log_weight(docs, ratios) + noise())
+    return rows.where(F.col("_key") >= least).select(*unpacked(docs.columns, "doc_id", "text"))

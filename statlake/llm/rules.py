@@ -13,14 +13,14 @@ Fixed rules (``base_failed``): fewer than 10 words, or more than 20 % of the wor
 Built-in expressions only; each document is judged within its row. Results for odd input: a
 NULL text has no words and fails; repeated rows get equal results; of equally frequent words
 the first by code point is common; an empty table gives an empty result; other columns are
-kept by ``judged`` and names that start with an underscore are the module's own.
+kept by ``judged``, but for those with the names of its results.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from statlake.llm.common import text_or_empty
+from statlake.llm.common import packed, text_or_empty, unpacked
 
 #: Fixed values of the rules.
 WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
@@ -30,6 +30,8 @@ CHAR_LIMIT, WORD_LIMIT = 0.28, 0.42
 #: Languages are few; beyond this number their references are not sent to every task.
 MOST_BROADCAST = 2000
 
+RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+           "kept", "char_distance", "word_distance"]
 CLASSES = {"upper": r"[^\p{Lu}]+", "digit": r"[^\p{Nd}]+", "space": r"[^\x20\x09-\x0D]+",
            "letter": r"[^\p{L}]+", "point": r"[^.,;:!?'\"()-]+"}
 
@@ -116,7 +118,8 @@ def judged(docs: DataFrame, char_limit: float = CHAR_LIMIT, word_limit: float =
     refs = references(docs)
     if docs.select("lang").distinct().limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
         refs = F.broadcast(refs)
-    rows = measured(docs).join(refs, F.col("lang") == F.col("_lang"), "left")
+    needed = ("doc_id", "text", "lang")
+    rows = measured(packed(docs, *needed)).join(refs, F.col("lang") == F.col("_lang"), "left")
     # Shares of the total are taken of few numbers; the totals are worked out beforehand.
     found = F.filter("_words", lambda w: F.array_contains("_common", w))
     rows = rows.withColumn("_found", F.when(F.col("n_words") >= MIN_WORDS, found))
@@ -127,5 +130,5 @@ def judged(docs: DataFrame, char_limit: float = CHAR_LIMIT, word_limit: float =
                                 js_distance(F.col("_chars"), F.col("_ref_chars"))),
         "word_distance": F.when(F.col("n_words") >= MIN_WORDS, js_distance(F.col("_counts"), F.col("_ref_words")))})
     far = (F.coalesce("char_distance", F.lit(0.0)) > char_limit) | (F.coalesce("word_distance", F.lit(0.0)) > word_limit)
-    return rows.withColumn("kept", ~F.col("base_failed") & ~far).drop(
-        "_text", "_words", "_chars", "_lang", "_ref_chars", "_common", "_ref_words", "_found", "_counts")
+    rows = rows.withColumn("kept", ~F.col("base_failed") & ~far)
+    return rows.select(*unpacked([c for c in docs.columns if c not in RESULTS], *needed), *RESULTS)

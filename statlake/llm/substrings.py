@@ -163,7 +163,7 @@ def _cut_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     The documents of a task come in ascending order, so the first piece is the earliest.
     """
-    seen: dict[tuple[int, bytes], bool] = {}
+    seen: dict[tuple[int, bytes], tuple[int, int]] = {}
     for batch in batches:
         lists = batch["runs"]
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
@@ -179,11 +179,15 @@ def _cut_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for key, loc, s, m, split in zip(keys[order].tolist(), locs[order].tolist(), start.tolist(),
                                              n.tolist(), splits[order].tolist()):
                 piece = text[s:s + m + REACH - 1]
-                if (key, piece) in seen:
+                place = int(ids[i]), loc
+                first = seen.get((key, piece))
+                if first == place:  # a repeated row
+                    continue
+                if first is not None:
                     piece = None
                 elif len(seen) < REMEMBERED:
-                    seen[key, piece] = True
-                for into, x in zip(out, (key, int(ids[i]), loc, split, piece)):
+                    seen[key, piece] = place
+                for into, x in zip(out, (key, *place, split, piece)):
                     into.append(x)
         yield _table(key=pa.array(out[0], pa.int64()), doc=pa.array(out[1], pa.int64()), loc=pa.array(out[2], pa.int64()),
                      split=pa.array(out[3], pa.bool_()), piece=pa.array(out[4], pa.binary()))
@@ -196,6 +200,9 @@ def _classes(key: np.ndarray, doc: np.ndarray, loc: np.ndarray, split: np.ndarra
     order = np.lexsort((loc, doc))
     first_of: dict[tuple[int, bytes], int] = {}
     covered = [i for i in order.tolist() if first_of.setdefault((key[i].item(), pieces[i]), i) != i]
+    firsts_ = [first_of[key[i].item(), pieces[i]] for i in covered]
+    # Rows of one place are a repeated row, not a repeat.
+    covered = [i for i, f in zip(covered, firsts_) if (doc[i], loc[i]) != (doc[f], loc[f])]
     unique = np.array(list(first_of.values()))  # in order of doc and loc
     _, group, size = np.unique(key[unique], return_inverse=True, return_counts=True)
     unique = unique[(size[group] > 1) | split[unique]]
@@ -276,13 +283,15 @@ def _settle_split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     Rows come in order of string, document and place.
     """
-    last = None
+    last = first = None
     for batch in batches:
-        strings = batch["string"].to_pylist()
-        stay = np.zeros(len(strings), bool)
-        for i, s in enumerate(strings):
-            stay[i] = s is None or s == last
-            last = s
+        rows = zip(batch["string"].to_pylist(), batch["doc"].to_pylist(), batch["loc"].to_pylist())
+        stay = np.zeros(len(batch), bool)
+        for i, (s, *place) in enumerate(rows):
+            if s is None or s != last:
+                stay[i], last, first = s is None, s, place
+            else:
+                stay[i] = place != first
         some = batch.filter(pa.array(stay))
         yield _table(doc=some["doc"], loc=some["loc"])
 
