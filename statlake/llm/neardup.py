@@ -184,10 +184,11 @@ def links(docs: DataFrame, pairs: DataFrame, idf: np.ndarray, similar: float = S
     shared = docs.sparkSession.sparkContext.broadcast(idf)
     pairs = kept(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = kept(docs.select("doc_id", text_or_empty().alias("text")).join(ids, "doc_id"), "texts")
+    # The same plan at every size: both sides are dealt by their keys, none is broadcast.
+    texts = kept(docs.select("doc_id", text_or_empty().alias("text")).join(ids.hint("merge"), "doc_id"), "texts")
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(first, "a").join(second, "b")
+    rows = pairs.join(first.hint("merge"), "a").join(second.hint("merge"), "b")
     return rows.mapInPandas(_verifier(shared), "a long, b long, similarity double").where(F.col("similarity") >= similar)
 
 
