@@ -132,7 +132,7 @@ class Index:
         self.counts = np.array(counts, "i8")
 
     def matches(self, token: np.ndarray, slot: np.ndarray) -> list[tuple[int, float, int, bool]]:
-        """item_id, share of its windows, windows, whether all slot values are its own."""
+        """item_id, share of its windows, windows, whether enough have its own slot values."""
         w = windows(token)
         if not len(w) or not len(self.hashes):
             return []
@@ -150,16 +150,17 @@ class Index:
             # Far too few windows whatever the slots say.
             if len(np.unique(self.hashes[entry[mine]])) < AT_LEAST * self.counts[i]:
                 continue
-            good, same = [], True
+            good, same = [], [np.zeros(0, "u8")]
             shift = at[mine] - place[mine]
             for s in np.unique(shift):
                 here = mine.copy()
                 here[mine] = shift == s
                 good_here, same_here = self._consistent(i, at[here], place[here], slot)
                 good.append(self.hashes[entry[here][good_here]])
-                same &= same_here
-            n_good = len(np.unique(np.concatenate(good)))
-            out.append((self.ids[i], n_good / self.counts[i], n_good, same))
+                if same_here:
+                    same.append(good[-1])
+            n_good, n_same = (len(np.unique(np.concatenate(x))) for x in (good, same))
+            out.append((self.ids[i], n_good / self.counts[i], n_good, n_same >= AT_LEAST * self.counts[i]))
         return [x for x in out if x[1] >= AT_LEAST]
 
     def _consistent(self, i: int, at: np.ndarray, place: np.ndarray, slot: np.ndarray):
