@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statlake.bindings.common import ntz, query, rounded, table, text_table
+from statlake.bindings.common import ntz, query, rounded, table
 from statlake.functions import text as tx
 from statlake.functions.metrics import experiment_summary as summary_of
 from statlake.functions.metrics import ranking_metrics as metrics_of
@@ -30,17 +30,17 @@ def _clean_sql(col: str) -> str:
 
 @query(f"SELECT page_id, {_clean_sql('html')} AS story FROM pages")
 def clean_html(spark, d):
-    return text_table(spark, d, "pages").select("page_id", tx.clean_html(F.col("html")).alias("story"))
+    return table(spark, d, "pages").select("page_id", tx.clean_html(F.col("html")).alias("story"))
 
 
 @query(f"SELECT page_id, {_clean_sql('html')} AS story FROM pages")
 def clean_html_strict(spark, d):
-    return text_table(spark, d, "pages").select(
+    return table(spark, d, "pages").select(
         "page_id", tx.clean_html_strict(F.col("html")).alias("story"))
 
 
 def _chunks(spark, d, *args, **kw):
-    docs = text_table(spark, d, "documents").select("doc_id", "text")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return tx.chunk(docs, "text", *args, **kw).select("doc_id", "chunk_index", "chunk_text")
 
 
@@ -91,7 +91,7 @@ SELECT left_id, right_id, s::INTEGER AS n_shared, (nl - s)::INTEGER AS n_left_on
 """)
 def compare_pairs(spark, d):
     """Each document against the next one, over the whole texts."""
-    docs = text_table(spark, d, "documents").select(
+    docs = table(spark, d, "documents").select(
         "doc_id", tx.word_set(F.col("text")).alias("words"))
     left = docs.select(F.col("doc_id").alias("left_id"), F.col("words").alias("l"),
                        (F.col("doc_id") + 1).alias("right_id"))
@@ -149,7 +149,7 @@ WITH h AS (SELECT conv_id, turn, role, text, list({'role': role, 'text': text})
 SELECT conv_id, turn, role, text, coalesce(len(prev), 0)::INTEGER AS n_messages,
   coalesce(array_to_string(list_transform(prev, lambda m, i: CASE m.role
     WHEN 'user' THEN chr(10) || chr(10) || 'User question ' || i || ': ' || m.text
-    WHEN 'assistant' THEN chr(10) || chr(10) || 'Assistant answer ' || i || ': ' || m.text[1:500]
+    WHEN 'assistant' THEN chr(10) || chr(10) || 'Assistant answer ' || i || ': ' || m.text
     ELSE '' END), ''), '') AS context
 FROM h"""
 
@@ -244,7 +244,7 @@ def _scoreboards(spark, d):
 def _game_documents(spark, d):
     """Each document as the article of one game, landed as JSON and read back."""
     at = scratch_dir(spark, "games")
-    docs = text_table(spark, d, "documents")
+    docs = table(spark, d, "documents")
     ident = F.col("doc_id").cast("int")
     image = F.struct(
         F.col("lang").alias("type"), F.col("source").alias("caption"),
@@ -393,6 +393,18 @@ def topk_cosine(spark, d):
     return cosine_top_k(_questions(spark, d), _corpus(spark, d), 25)
 
 
+@query("""
+WITH s AS (SELECT a.vec_id AS query_id, b.vec_id AS id,
+  round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS score
+  FROM embeddings a, embeddings b)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 10
+""")
+def topk_many(spark, d):
+    corpus = _corpus(spark, d)
+    return cosine_top_k(corpus.withColumnRenamed("id", "query_id"), corpus, 10)
+
+
 @query(SEARCH + """
 SELECT query_id, string_agg('[article_id=' || article_id || '] chunk ' || id,
   chr(10) || chr(10) ORDER BY rank) AS context,

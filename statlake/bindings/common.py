@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from statlake.session import spread_small
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,11 +25,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table for work that costs far more than reading it."""
-    return spread_small(table(spark, folder, name))
-
-
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 

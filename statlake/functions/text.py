@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 # ---------------------------------------------------------------- cleaning
 
-# The cleaning rules in order. They stay within the syntax that Java
+# The cleaning rules in order. They stay within the syntax that Java
 # and RE2 read alike (no lookaround, no back-references).
 BLANKS = "[ \\t\\n\\x0B\\f\\r\\xA0]+"
 CLEAN_RULES = [

@@ -73,11 +73,13 @@ def season_of(df: DataFrame) -> Column:
 
 
 def flatten_articles(df: DataFrame) -> DataFrame:
+    """Articles; an empty article object has no id and yields no row."""
     a = "article"
-    return df.where(F.col(a).isNotNull()).select(
+    rows = df.where(F.col(a).isNotNull()).select(
         F.col(f"{a}.id"), F.col(f"{a}.headline"),
         to_utc_ntz(F.col(f"{a}.published")).alias("published"), F.col(f"{a}.source"),
         F.col(f"{a}.story"), "game_id", *LINEAGE_COLUMNS)
+    return require_key(rows, ["id"])
 
 
 def flatten_images(df: DataFrame) -> DataFrame:

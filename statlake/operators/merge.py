@@ -8,18 +8,30 @@ execution may broadcast or split either of them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Replace whole rows whose key is in ``source``; add the unseen ones.
 
-    ``source`` holds one row per key (run ``latest_per_key`` first).
+    ``source`` holds one row per key (run ``latest_per_key`` first). A NULL in a key
+    would match no row and pile up, so it is refused.
     """
+    source = refuse_null_keys(source, keys)
     kept = target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(source.select(*target.columns))
 
 
+def refuse_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The frame, which fails as soon as a row with a NULL key is computed."""
+    bad = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    message = F.raise_error(F.lit(f"NULL in the key {', '.join(keys)}"))
+    first = keys[0]
+    return df.withColumn(first, F.when(bad, message.cast(df.schema[first].dataType)).otherwise(F.col(first)))
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Add rows with an unseen key and leave existing rows untouched."""
     fresh = source.join(target.select(*keys), list(keys), "left_anti")

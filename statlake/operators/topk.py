@@ -5,27 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# Queries up to this many values (about 16 MB) travel to the tasks as one matrix.
-MAX_QUERY_VALUES = 2_000_000
-MAX_QUERIES = 4096
-# Beyond it both sides are cut into blocks of at most these sizes.
-QUERY_BLOCK = 1024
-CORPUS_BLOCK = 20_000
+from statlake.session import scratch_dir
 
-
-def few_queries(queries: DataFrame, query_id: str = "query_id",
-                query_vector: str = "values") -> list | None:
-    """The query rows when they fit the checked size, None when they do not."""
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("_qv"))
-    head = q.where(F.col("_qv").isNotNull()).limit(MAX_QUERIES + 1).collect()
-    fits = len(head) <= MAX_QUERIES and sum(len(r._qv) for r in head) <= MAX_QUERY_VALUES
-    return head if fits else None
+# Queries travel to the tasks in slices of at most so many values (about 16 MB).
+SLICE_VALUES = 2_000_000
+# So many of them are multiplied with a batch at once.
+QUERIES_AT_ONCE = 256
 
 
 def cosine_top_k(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "id",
@@ -34,27 +24,41 @@ def cosine_top_k(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "i
     """For every query the ``k`` most similar corpus rows: query_id, rank, id, score.
 
     Scores are rounded to ``digits`` before ranking and equal scores rank by id,
-    so results do not depend on partitioning. Vectors of length zero have no
-    direction and never match. Each task keeps k rows per query, so the shuffle
-    carries (tasks x queries x k) rows whatever the corpus size.
+    so results do not depend on partitioning. NULL vectors and vectors of length
+    zero have no direction and never match; a vector of another width than the
+    queries', or with a NULL in it, is an error.
+
+    The corpus is never shuffled: each task multiplies its rows with a slice of the
+    queries and keeps k rows per query, so the shuffle carries (tasks x queries x k)
+    rows whatever the corpus size. Slices are counted before any vector is fetched;
+    every slice is the same plan, and with more than one their results are written
+    one after the other, so that the driver holds one slice at a time.
     """
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("_qv")).where(
-        F.col("_qv").isNotNull())
-    few = few_queries(queries, query_id, query_vector)
-    return search(q, few, corpus, k, id_col, vector_col, digits)
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("_v")).where(
+        F.col("_v").isNotNull())
+    n, width = q.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("_v")), F.lit(0))).first()
+    c = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("_v")).where(
+        F.col("_v").isNotNull())
+    q, c = _whole(q, width), _whole(c, width)
+    out = StructType().add(q.schema["query_id"]).add(c.schema["id"]).add("score", "double")
+    slices = max(1, -(-n * width // SLICE_VALUES))
+    if slices == 1:
+        return _ranked(_by_matrix(q.collect(), c, k, digits, out), k)
+    folder = scratch_dir(corpus.sparkSession, "topk")
+    for s in range(slices):
+        some = q.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == s)
+        _ranked(_by_matrix(some.collect(), c, k, digits, out), k).write.mode("append").parquet(folder)
+    return corpus.sparkSession.read.parquet(folder)
 
 
-def search(q: DataFrame, few: list | None, corpus: DataFrame, k: int, id_col: str = "id",
-           vector_col: str = "values", digits: int = 9) -> DataFrame:
-    """``cosine_top_k`` for queries (query_id, _qv) already looked at by ``few_queries``."""
-    c = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("_cv")).where(
-        F.col("_cv").isNotNull())
-    out = StructType().add(q.schema["query_id"]).add(c.schema["id"]).add("score", "double")
-    if few is not None:
-        candidates = _by_matrix(few, c, k, digits, out)
-    else:
-        candidates = _by_blocks(q, c, k, digits, out)
+def _whole(df: DataFrame, width: int) -> DataFrame:
+    """The frame, which fails on a vector of another width or with a NULL in it."""
+    bad = (F.size("_v") != width) | F.exists("_v", lambda x: x.isNull())
+    error = F.raise_error(F.lit(f"a vector is not {width} numbers")).cast(df.schema["_v"].dataType)
+    return df if width == 0 else df.withColumn("_v", F.when(bad, error).otherwise(F.col("_v")))
+
 
+def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
     return (
         candidates.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -66,7 +70,7 @@ def _by_matrix(head, corpus: DataFrame, k: int, digits: int, out: StructType) ->
     if not head:
         return corpus.sparkSession.createDataFrame([], out)
     ids = [r.query_id for r in head]
-    shared = corpus.sparkSession.sparkContext.broadcast(_unit([r._qv for r in head]))
+    shared = corpus.sparkSession.sparkContext.broadcast(_unit([r._v for r in head]))
 
     def best_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = shared.value
@@ -74,7 +78,7 @@ def _by_matrix(head, corpus: DataFrame, k: int, digits: int, out: StructType) ->
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            found = _best(matrix, batch.column("id"), batch.column("_cv"), k, digits)
+            found = _best(matrix, batch.column("id"), batch.column("_v"), k, digits)
             kept = found if kept is None else _merge(kept, found, k)
         if kept is not None:
             yield _emit(kept, ids, out)
@@ -82,37 +86,6 @@ def _by_matrix(head, corpus: DataFrame, k: int, digits: int, out: StructType) ->
     return corpus.mapInArrow(best_of_task, out)
 
 
-def _by_blocks(queries: DataFrame, corpus: DataFrame, k: int, digits: int,
-               out: StructType) -> DataFrame:
-    """Many queries: hash both sides into bounded blocks and join block by block."""
-    q_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    c_blocks = max(1, -(-corpus.count() // CORPUS_BLOCK))
-
-    def cell(ident: str, blocks: int):
-        return F.pmod(F.xxhash64(ident), F.lit(blocks)).cast("int")
-
-    def every(blocks: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-    left = queries.withColumn("qb", cell("query_id", q_blocks)).withColumn("cb", every(c_blocks))
-    right = corpus.withColumn("cb", cell("id", c_blocks)).withColumn("qb", every(q_blocks))
-    names = out.fieldNames()
-
-    def block(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        if qs.empty or cs.empty:
-            return pd.DataFrame({n: [] for n in names})
-        parts = []
-        for start in range(0, len(qs), 128):
-            some = qs.iloc[start:start + 128]
-            found = _best(_unit(list(some["_qv"])), pa.array(cs["id"]), pa.array(cs["_cv"]),
-                          k, digits)
-            for ident, (score, hit) in zip(some["query_id"], found):
-                parts.append(pd.DataFrame({"query_id": ident, "id": hit, "score": score}))
-        return pd.concat(parts)[names]
-
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(block, out)
-
-
 def _unit(vectors) -> np.ndarray:
     rows = np.asarray([np.asarray(v, dtype=np.float64) for v in vectors])
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
@@ -124,10 +97,14 @@ def _best(matrix: np.ndarray, ids: pa.Array, vectors: pa.Array, k: int, digits:
     flat = np.asarray(vectors.flatten(), dtype=np.float64)
     rows = flat.reshape(len(vectors), -1)
     norms = np.linalg.norm(rows, axis=1)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        scores = np.round(matrix @ (rows / norms[:, None]).T, digits)
     names = np.asarray(ids.to_pylist() if pa.types.is_string(ids.type) else ids)
-    return [_cut(s, names, k) for s in scores]
+    found = []
+    with np.errstate(invalid="ignore", divide="ignore"):
+        unit = (rows / norms[:, None]).T
+        for start in range(0, len(matrix), QUERIES_AT_ONCE):
+            scores = np.round(matrix[start:start + QUERIES_AT_ONCE] @ unit, digits)
+            found += [_cut(s, names, k) for s in scores]
+    return found
 
 
 def _cut(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -93,13 +93,12 @@ def lagged_features(df: DataFrame, stats: list[str], keys: list[str], order: lis
     return with_lookback(df, keys, order, n, columns, block, hot_rows)
 
 
-def history_window(df: DataFrame, n: int = 3, answer_chars: int = 500,
+def history_window(df: DataFrame, n: int = 3, answer_chars: int | None = None,
                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """The last ``n`` messages before each turn, formatted as prompt context.
 
-    Questions are numbered and kept whole, answers are shortened to
-    ``answer_chars`` (a display rule of the context, the turns stay whole), other
-    roles are counted but not printed.
+    Questions and answers are numbered and kept whole; a prompt builder may cut the
+    answers to ``answer_chars``. Other roles are counted but not printed.
     """
     previous = with_lookback(
         df, ["conv_id"], ["turn"], n,
@@ -107,6 +106,7 @@ def history_window(df: DataFrame, n: int = 3, answer_chars: int = 500,
         block=F.floor(F.col("turn") / TURN_BLOCK), hot_rows=hot_rows,
     )
 
+    # The words of the context.
     def line(message: Column, i: Column) -> Column:
         number = (i + 1).cast("string")
         return F.when(
@@ -115,7 +115,8 @@ def history_window(df: DataFrame, n: int = 3, answer_chars: int = 500,
         ).when(
             message.role == "assistant",
             F.concat(F.lit("\n\nAssistant answer "), number, F.lit(": "),
-                     F.substring(message.text, 1, answer_chars)),
+                     message.text if answer_chars is None
+                     else F.substring(message.text, 1, answer_chars)),
         ).otherwise(F.lit(""))
 
     return previous.select(

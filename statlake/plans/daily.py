@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from statlake.operators.checks import assert_empty, key_violations
+from statlake.operators.checks import assert_empty, key_violations, require_key
 from statlake.operators.flatten import GAME_ROWS, SCOREBOARD_ROWS, with_lineage
 from statlake.operators.merge import conform
 from statlake.operators.rows import if_not_empty, latest_per_key
@@ -42,7 +42,9 @@ def to_stage(raw: DataFrame, raw_name: str, keys: list[str] | None = None) -> Da
     stage_name, renames = STAGE_LOADS[raw_name]
     table = TABLES["stage", stage_name]
     renamed = raw.withColumnsRenamed(renames)
-    newest = latest_per_key(renamed, list(keys or table.keys), ["ingest_timestamp"],
+    # An event without a venue, say, yields a row without a key; the table takes none.
+    keyed = require_key(renamed, list(keys or table.keys))
+    newest = latest_per_key(keyed, list(keys or table.keys), ["ingest_timestamp"],
                             ties=["run_id", "source_path"])
     return conform(newest, table.schema)
 

@@ -25,8 +25,14 @@ def gold_incremental(player_stats: DataFrame, games: DataFrame, game_team: DataF
     if only_games is not None:
         facts = facts.join(only_games.select("game_id").distinct(), "game_id", "left_semi")
 
-    wide = pivot_stats(facts, keys, stats)
-    base = new_rows(facts.select(*keys, "athlete_name", "team_id").distinct(), gold, keys)
+    # What gold holds goes first, so that base and pivot see the new rows alone.
+    fresh = new_rows(facts, gold, keys)
+    wide = pivot_stats(fresh, keys, stats)
+    base = fresh.select(*keys, "athlete_name", "team_id").distinct()
+    if only_games is not None:
+        loaded = only_games.select("game_id").distinct()
+        game_team = game_team.join(loaded, "game_id", "left_semi")
+        games = games.join(loaded.withColumnRenamed("game_id", "id"), "id", "left_semi")
     rows = base.join(game_context(games, game_team, teams), ["game_id", "team_id"]).join(wide, keys)
     return rows.select(
         *keys, "athlete_name", F.col("team_id").cast("int").alias("team_id"), "team_abbrev", "season", "week", "game_date", "is_home",

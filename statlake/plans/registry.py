@@ -132,7 +132,7 @@ def register_dataset(lake: Lake, model_id: str, metadata: DataFrame, location: s
     """Insert the dataset version or refresh its counts and time."""
     rows = metadata.select(
         F.concat(F.lit("ds-player-fantasy-"), F.col("data_version")).alias("dataset_id"),
-        F.lit(model_id).alias("model_id"), "data_version", F.lit(location).alias("gcs_path"),
+        F.lit(model_id).alias("model_id"), "data_version", F.lit(location).alias("location"),
         "row_count", "feature_count", F.lit(str(at)).cast("timestamp_ntz").alias("created_at"))
     lake.upsert_cols(rows, "mlops", "dataset", ["row_count", "feature_count", "created_at"])
 

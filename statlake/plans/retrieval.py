@@ -11,7 +11,8 @@ from statlake.functions.metrics import experiment_summary, ranking_metrics
 from statlake.functions.scalars import chunk_id
 from statlake.functions.text import chunk, clean_html_strict
 from statlake.operators.rows import latest_per_key, unprocessed
-from statlake.operators.topk import few_queries, search
+from statlake.operators.topk import cosine_top_k
+from statlake.session import scratch_dir
 from statlake.sources.lake import Lake
 
 # Chunking, vector width and result size.
@@ -74,6 +75,11 @@ def embed_new(lake: Lake, embedder, at: Column) -> None:
                         lake.read("stage", "article_embeddings"), {"id": "article_id"})
     if fresh.isEmpty():
         return
+    # The ids are fixed before anything is written: a story that comes in meanwhile is
+    # left to the next run instead of being marked without vectors.
+    folder = scratch_dir(lake.spark, "fresh")
+    fresh.write.parquet(folder)
+    fresh = lake.spark.read.schema(fresh.schema).parquet(folder)
     records = chunk_records(embed(chunk_articles(fresh), "chunk_text", embedder))
     lake.upsert(records, "vectors", "article_chunks")
     marks = fresh.select(F.col("id").alias("article_id"),
@@ -88,11 +94,8 @@ def retrieve(questions: DataFrame, corpus: DataFrame, k: int = TOP_K) -> DataFra
     number of queries bounds the hits to queries x k; those are broadcast to the
     corpus, which would otherwise be shuffled for a handful of rows.
     """
-    few = few_queries(questions)
-    asked = questions.select("query_id", F.col("values").alias("_qv")).where(
-        F.col("_qv").isNotNull())
-    hits = search(asked, few, corpus, k)
-    if few is not None and len(few) * k <= MAX_BROADCAST_HITS:
+    hits = cosine_top_k(questions, corpus, k)
+    if questions.count() * k <= MAX_BROADCAST_HITS:
         hits = F.broadcast(hits)
     payload = corpus.select("id", F.col("metadata.article_id"), F.col("metadata.chunk_text"))
     return payload.join(hits, "id").select(
@@ -114,6 +117,7 @@ def shape_contexts(hits: DataFrame) -> DataFrame:
 
 def assemble_context(shaped: DataFrame) -> DataFrame:
     """The prompt context of each question: snippets in rank order."""
+    # The format of a snippet and the space between them.
     snippet = F.transform("contexts", lambda c: F.concat(
         F.lit("[article_id="), F.coalesce(c.article_id.cast("string"), F.lit("None")),
         F.lit("] "), F.coalesce(c.chunk_text, F.lit(""))))

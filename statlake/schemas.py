@@ -170,7 +170,7 @@ REGISTRY_TABLES = [
                             "ticket_number string, owner string, created_at timestamp_ntz",
           ("model_id",)),
     Table("mlops", "dataset", "dataset_id string, model_id string, data_version string, "
-                              "gcs_path string, row_count int, feature_count int, "
+                              "location string, row_count int, feature_count int, "
                               "created_at timestamp_ntz", ("dataset_id",)),
     Table("mlops", "training_run", "run_id string, model_id string, dataset_id string, "
                                    "params string, metrics string, artifact string, "

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "20g",
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "12g",
                   **conf: str) -> SparkSession:
     """A single-JVM session; on a cluster the caller brings its own session."""
     builder = (
@@ -24,6 +24,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        # Splits of a small input for every core; larger inputs are split by size anyway.
+        .config("spark.sql.files.maxPartitionBytes", "16m")
     )
     for name, value in conf.items():
         builder = builder.config(name, value)
@@ -65,17 +67,3 @@ def new_run_id() -> str:
 def process_date(today: date) -> str:
     """The day a daily run works on: yesterday, as ``YYYYMMDD``."""
     return (today - timedelta(days=1)).strftime("%Y%m%d")
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input too small to give every core a split, before costly row work.
-
-    A single row group would leave all of it to one task. From the size at which
-    the scan yields full splits for all cores the frame is returned as it is, so
-    large inputs are never shuffled for this.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df

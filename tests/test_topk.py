@@ -31,10 +31,10 @@ def _brute(queries, corpus, k):
 
 @pytest.mark.parametrize("many", [False, True])
 def test_exact_with_ties(spark, monkeypatch, many):
-    """Few distinct values make many equal scores; ids decide, on both plans."""
+    """Few distinct values make many equal scores; ids decide, with any number of slices."""
     if many:
-        for name, value in (("MAX_QUERIES", 3), ("QUERY_BLOCK", 4), ("CORPUS_BLOCK", 20)):
-            monkeypatch.setattr(topk, name, value)
+        monkeypatch.setattr(topk, "SLICE_VALUES", 20)
+        monkeypatch.setattr(topk, "QUERIES_AT_ONCE", 2)
     q_rows, q = _vectors(spark, 11, 5, 1, "q")
     c_rows, c = _vectors(spark, 90, 5, 2)
     q = q.withColumnRenamed("id", "query_id")
@@ -48,3 +48,21 @@ def test_k_above_corpus_and_no_query(spark):
     q = q.withColumnRenamed("id", "query_id")
     assert topk.cosine_top_k(q, c, 50).groupBy("query_id").count().where("count > 3").isEmpty()
     assert topk.cosine_top_k(q.where("false"), c, 5).collect() == []
+
+
+@pytest.mark.parametrize("bad", [[1.0, 0.0, 1.0], [1.0] * 5, [1.0, None, 0.0, 0.0]])
+def test_broken_vectors_are_errors(spark, bad):
+    _, c = _vectors(spark, 3, 4, 2)
+    _, q = _vectors(spark, 2, 4, 5, "q")
+    q = q.withColumnRenamed("id", "query_id")
+    broken = c.union(spark.createDataFrame([("bad", bad)], "id string, values array<float>"))
+    with pytest.raises(Exception, match="not 4 numbers"):
+        topk.cosine_top_k(q, broken, 2).collect()
+
+
+def test_corpus_is_not_shuffled(spark):
+    _, c = _vectors(spark, 30, 4, 2)
+    _, q = _vectors(spark, 3, 4, 5, "q")
+    plan = topk.cosine_top_k(q.withColumnRenamed("id", "query_id"), c, 2)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]
+    assert "Exchange" not in below

@@ -80,7 +80,7 @@ def test_split_of_one_row_and_of_none(spark):
     assert temporal_split(one.where("false"), "d").collect() == []
 
 
-def test_history_keeps_questions_and_shortens_answers(spark, monkeypatch):
+def test_history_keeps_texts_whole(spark, monkeypatch):
     monkeypatch.setattr(windows, "TURN_BLOCK", 2)
     df = spark.createDataFrame(
         [(1, 0, "system", "s"), (1, 1, "user", "q" * 600), (1, 2, "assistant", "a" * 600),
@@ -90,7 +90,9 @@ def test_history_keeps_questions_and_shortens_answers(spark, monkeypatch):
         got = {(r.conv_id, r.turn): r for r in history_window(df, 3, hot_rows=hot).collect()}
         assert got[1, 3].n_messages == 3
         assert got[1, 3].context == (
-            "\n\nUser question 2: " + "q" * 600 + "\n\nAssistant answer 3: " + "a" * 500)
+            "\n\nUser question 2: " + "q" * 600 + "\n\nAssistant answer 3: " + "a" * 600)
+        short = history_window(df, 3, answer_chars=500, hot_rows=hot).where("conv_id = 1 and turn = 3").first()
+        assert short.context.endswith("Assistant answer 3: " + "a" * 500)
         assert got[2, 0].context == "" and got[2, 0].n_messages == 0
 
 
