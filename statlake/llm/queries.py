@@ -55,11 +55,51 @@ def op1_pii(spark, folder):
     return pii.digest(documents(spark, folder))
 
 
-@query()
+def _js(counts: str, reference: str) -> str:
+    p, q = f"({counts}[i] / greatest(list_sum({counts}), 1))", f"({reference}[i] / greatest(list_sum({reference}), 1))"
+    half = "CASE WHEN {0} > 0 THEN {0} * log2({0} / (({0} + {1}) / 2)) ELSE 0 END"
+    return (f"round(sqrt(greatest(list_sum(list_transform(range(1, len({counts}) + 1), "
+            f"lambda i: {half.format(p, q)} + {half.format(q, p)})) / 2, 0)), 6)")
+
+
+RULES = rf"""
+WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+m AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+  length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS symbols,
+  {", ".join(f"length(regexp_replace(t, '{p.replace("'", "''")}', '', 'g')) AS {k}" for k, p in rules.CLASSES.items())} FROM t),
+c AS (SELECT *, [upper, letter - upper, digit, space, point, symbols,
+  greatest(length(t) - digit - space - letter - point - symbols, 0)]::DOUBLE[] AS chars FROM m),
+g AS (SELECT doc_id, u.i, array_to_string(w[u.i:u.i + 4], ' ') AS gram FROM m, unnest(range(1, len(w) - 3)) AS u(i)),
+r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
+cover AS (SELECT doc_id, count(DISTINCT r.i + k.k) AS n FROM r, unnest(range(0, 5)) AS k(k) GROUP BY doc_id),
+words AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(w) AS word FROM m WHERE lang IS NOT NULL)
+  GROUP BY lang, word),
+top AS (SELECT lang, list(word ORDER BY n DESC, word) AS common, list(n ORDER BY n DESC, word) AS counts
+  FROM (SELECT * FROM words QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {rules.COMMON}) GROUP BY lang),
+ref AS (SELECT lang, common, list_append(counts, total - list_sum(counts))::DOUBLE[] AS ref_words,
+  list_transform(sums, lambda x: x)::DOUBLE[] AS ref_chars FROM top JOIN (SELECT lang, sum(len(w)) AS total, count(*) AS docs,
+  [sum(upper), sum(letter) - sum(upper), sum(digit), sum(space), sum(point), sum(symbols), greatest(
+  sum(length(t)) - sum(digit) - sum(space) - sum(letter) - sum(point) - sum(symbols), 0)] AS sums
+  FROM m GROUP BY lang) USING (lang) WHERE docs >= {rules.MIN_DOCS}),
+j AS (SELECT c.*, ref.common, ref_words, ref_chars, coalesce(cover.n, 0) AS n_repeat,
+  list_append(list_transform(ref.common, lambda x: len(list_filter(w, lambda y: y = x))),
+  len(list_filter(w, lambda y: NOT list_contains(ref.common, y))))::DOUBLE[] AS counts
+  FROM c LEFT JOIN ref USING (lang) LEFT JOIN cover USING (doc_id)),
+d AS (SELECT *, CASE WHEN list_sum(chars) >= {rules.MIN_CHARS} THEN {_js("chars", "ref_chars")} END AS char_distance,
+  CASE WHEN len(w) >= {rules.MIN_WORDS} THEN {_js("counts", "ref_words")} END AS word_distance,
+  len(w) < 10 OR 100 * n_repeat > 20 * len(w) AS base_failed FROM j)
+SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, symbols::BIGINT AS n_symbols,
+  (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, n_repeat::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(char_distance, 0) <= {rules.CHAR_LIMIT} AND coalesce(word_distance, 0) <= {rules.WORD_LIMIT} AS kept,
+  char_distance, word_distance FROM d"""
+
+
+@query(RULES)
 def op5_rules(spark, folder):
     return rules.judged(documents(spark, folder)).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "char_distance", "word_distance")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        *[F.round(c, 6).alias(c) for c in ("char_distance", "word_distance")])
 
 
 @query()
@@ -82,6 +122,28 @@ def op10_suffixes(spark, folder):
     return substrings.remove_repeats(documents(spark, folder)).drop("kept")
 
 
-@query()
+LINES = r"""
+WITH lines AS (SELECT doc_id, u.i - 1 AS line_no, len(s) AS n_lines,
+  trim(regexp_replace(lower(s[u.i]), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents) d, unnest(range(1, len(s) + 1)) AS u(i)),
+whole AS (SELECT norm, min({'d': doc_id, 'l': line_no}) AS first, string_split(norm, ' ') AS w
+  FROM lines WHERE norm <> '' GROUP BY norm),
+words AS (SELECT norm, first, w, len(w) AS n FROM whole WHERE len(w) >= 5),
+less AS (SELECT norm, first, n, i, array_to_string(w[1:i - 1] || w[i + 1:], ' ') AS rest
+  FROM words, unnest(range(1, n + 1)) AS u(i)),
+near AS (
+  SELECT a.norm FROM less a JOIN (SELECT rest, i, min(first) AS f FROM less GROUP BY rest, i) b
+    ON a.rest = b.rest AND a.i = b.i AND b.f < a.first
+  UNION SELECT a.norm FROM words a JOIN (SELECT rest, min(first) AS f FROM less WHERE n > 5 GROUP BY rest) b
+    ON a.norm = b.rest AND b.f < a.first
+  UNION SELECT a.norm FROM less a JOIN words b ON a.n > 5 AND a.rest = b.norm AND b.first < a.first),
+told AS (SELECT l.doc_id, l.n_lines, l.line_no, l.norm <> '' AND ({'d': l.doc_id, 'l': l.line_no} > w.first
+  OR l.norm IN (SELECT norm FROM near)) AS gone FROM lines l LEFT JOIN whole w ON l.norm = w.norm)
+SELECT doc_id, max(n_lines)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed,
+  coalesce(string_agg(line_no::VARCHAR, ',' ORDER BY line_no) FILTER (gone), '') AS removed
+FROM told GROUP BY doc_id"""
+
+
+@query(LINES)
 def op4_lines(spark, folder):
     return lines.counted(documents(spark, folder))
