@@ -1,10 +1,10 @@
 """Suffix-array deduplication: bytes of 100-byte strings that also start earlier are removed.
 
 Whole texts are too many suffixes to sort, so strings that occur once are set aside first:
-every 100-byte string has an anchor, the 32-byte string in it with the least hash (the first
+every 100-byte string has an anchor, the 22-byte string in it with the least hash (the first
 of equal ones). Equal strings have equal anchors at equal places, so only strings whose anchor
 occurs twice can recur. The starts of neighbouring strings with one anchor are one run; a run's
-bytes are a piece of 168 bytes at most. Pieces meet by anchor and are sorted by suffixes in two
+bytes are a piece of 178 bytes at most. Pieces meet by anchor and are sorted by suffixes in two
 stages (suffixes.py); neighbours with a common prefix of 100 bytes are equal strings, and all
 but the earliest of them are covered. Documents equal to an earlier one are covered as a whole.
 
@@ -27,13 +27,13 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from statlake.llm.common import mixed, text_or_empty
 from statlake.llm.shingles import powers
 from statlake.llm.suffixes import REACH, equal_neighbours, suffix_order
 
-ANCHOR = 32
+ANCHOR = 22
 SPAN = REACH - ANCHOR + 1
 #: Bytes that are hashed at once; places inside take 20 bits.
 BUFFER = 1_000_000
@@ -332,7 +332,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     # so they ask for the same columns, and all else is worked out behind it.
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc"), text_or_empty().alias("text"))
     dealt = rows.repartition(n, "doc")
-    tagged = dealt.withColumn("tag", F.shiftrightunsigned(F.xxhash64("text"), 50))
+    # Texts of one doc_id are numbered, almost always by 1, which takes no room in a shuffle.
+    tagged = dealt.withColumn("tag", F.dense_rank().over(W.partitionBy("doc").orderBy(F.xxhash64("text"))).cast("long"))
     # Copies: only hashes of the texts are dealt.
     hashed = rows.select("doc", F.md5("text").alias("hash"))
     earliest = hashed.groupBy("hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
@@ -352,7 +353,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
              .when(F.col("split"), F.xxhash64("key", F.pmod("doc", F.lit(SALTS)))).otherwise(F.col("key")))
     sorted_ = pieces.repartition(n, route).sortWithinPartitions("key").mapInArrow(
         _sort_pieces, "doc long, loc long, string binary")
-    route = F.coalesce(F.xxhash64("string"), F.xxhash64("doc", "loc"))
+    route = F.when(F.col("string").isNull(), F.xxhash64("doc", "loc")).otherwise(F.xxhash64("string"))
     covered = (sorted_.repartition(n, route).sortWithinPartitions("string", "doc", "loc")
                .mapInArrow(_settle_split, "doc long, loc long")
                .groupBy("doc").agg(F.collect_list("loc").alias("covered")))

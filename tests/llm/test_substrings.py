@@ -81,7 +81,7 @@ def test_long_text_over_buffers(make, monkeypatch):
 @pytest.mark.parametrize("alphabet", ["a", "ab", "abcdefgh ", "\0\1"])
 def test_suffix_order(alphabet):
     rng = random.Random(1)
-    pieces = ["".join(rng.choice(alphabet) for _ in range(rng.randint(100, 168))).encode() for _ in range(40)]
+    pieces = ["".join(rng.choice(alphabet) for _ in range(rng.randint(100, 178))).encode() for _ in range(40)]
     pieces += pieces[:7]
     data = np.frombuffer(b"".join(p + bytes(104) for p in pieces), "u1")
     wanted, ends, at = [], np.zeros(len(data), "i8"), 0
