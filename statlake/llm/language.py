@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from statlake.llm.common import code_points, text_or_empty
+from statlake.llm.common import code_points, text_or_empty, uniform
 
 WIDTH = 8192
 LANDMARKS = 192
@@ -110,14 +110,18 @@ def learn(docs: DataFrame, learned_from: str, per_language: int = PER_LANGUAGE,
     chosen without texts, and its size is bounded by ``sample``.
     """
     some = docs.where(learned_from).where("lang is not null and text is not null").select(
-        "doc_id", "lang", F.xxhash64("doc_id", F.lit(7)).alias("order"))
+        "doc_id", "lang", uniform(F.col("doc_id"), F.lit(7)).alias("order"))
+    # The hash alone leaves about four times the rows wanted of each language, however many
+    # there are; only these are put in order. No more languages than rows can be learned.
+    counts = some.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample)
+    some = some.join(F.broadcast(counts), "lang").where(F.col("order") * F.col("n") <= 4 * per_language).drop("n")
     by_hash = W.partitionBy("lang").orderBy("order", "doc_id")
     ids = (some.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= per_language)
            .orderBy("rank", "order").limit(sample))
     chosen = (docs.where(learned_from).where("text is not null").select("doc_id", "lang", "text")
               .join(F.broadcast(ids), ["doc_id", "lang"]))
     rows = (chosen.select("rank", "lang", "order", "text")
-            .mapInPandas(_packed, "rank int, lang string, order long, places binary")
+            .mapInPandas(_packed, "rank int, lang string, order double, places binary")
             .orderBy("rank", "order").limit(sample).collect())
     if not rows:
         return None
