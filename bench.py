@@ -21,7 +21,8 @@ HEADLINE = [
     "player_summary", "last_n_games", "segment_sales", "explorer_page", "clean_html",
     "chunk_paragraphs", "chunk_tokens", "chunk_recursive", "compare_pairs", "chart_intent",
     "history_window", "flatten_games", "flatten_player_stats", "topk_cosine", "ranking_metrics",
-    "version_metrics",
+    "version_metrics", "topk_many", "predict_batch", "embed_documents", "stream_upsert",
+    "chunk_sentences", "clean_html_strict", "linear_of_one_input",
 ]
 
 
@@ -34,10 +35,12 @@ def main() -> None:
     spark.read.parquet(f"{folder}/orders.parquet").groupBy("o_orderstatus").count().collect()
     times: dict[str, float] = {}
     for name in names:
-        start = time.perf_counter()
-        # The whole result is computed and dropped: no column is pruned away.
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
+        # Twice, as the first run compiles code; the second one counts.
+        for _ in range(2):
+            start = time.perf_counter()
+            # The whole result is computed and dropped: no column is pruned away.
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - start, 3)
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),

@@ -67,6 +67,44 @@ def chunk_tokens(spark, d):
     return _chunks(spark, d, "tokens", 300, 50)
 
 
+def _cover(chunks, size: int, by_words: bool):
+    """Per document: chunks that are too long, out of place or empty, and characters lost.
+
+    Chunks overlap, so each one must begin no later than the one before it ends: laid one
+    behind the other without what they share, they give back the text's characters.
+    """
+    text = F.regexp_replace("text", r"\s+", "")
+    bare = lambda c: F.regexp_replace(c, r"\s+", "")
+    length = F.size(F.split(F.trim("chunk_text"), r"\s+")) if by_words else F.length("chunk_text")
+    per = chunks.groupBy("doc_id").agg(
+        F.sum((length > size).cast("long")).alias("n_long"), F.sum((F.trim("chunk_text") == "").cast("long")).alias("n_empty"),
+        F.first("text").alias("text"),
+        F.sort_array(F.collect_list(F.struct("chunk_index", "chunk_text"))).alias("c"))
+    # Each chunk at its last place that leaves no gap: the last match in what is covered
+    # so far and as many characters more as the chunk has.
+    ends = F.expr("""aggregate(
+        transform(c, x -> regexp_replace(x.chunk_text, '\\\\s+', '')), struct(1 as upto, 0 as gaps), (a, x) -> struct(
+            greatest(a.upto, least(a.upto + length(x), length(bare) + 1)
+                - greatest(locate(reverse(x), reverse(substring(bare, 1, a.upto - 1 + length(x)))), 1) + 1) as upto,
+            a.gaps + int(locate(reverse(x), reverse(substring(bare, 1, a.upto - 1 + length(x)))) = 0) as gaps))""")
+    return per.withColumn("bare", text).withColumn("e", ends).select(
+        "doc_id", "n_long", "n_empty", F.col("e.gaps").cast("long").alias("n_gaps"),
+        (F.col("e.upto") - 1).cast("long").alias("n_covered"))
+
+
+COVER = """
+SELECT doc_id, 0::BIGINT AS n_long, 0::BIGINT AS n_empty, 0::BIGINT AS n_gaps,
+  length(regexp_replace(text, '[ \t\n\x0B\f\r]+', '', 'g'))::BIGINT AS n_covered
+FROM documents WHERE regexp_matches(text, '[^ \t\n\x0B\f\r]')"""
+
+
+@query(COVER)
+def chunk_recursive_cover(spark, d):
+    """Recursive chunks keep to their size, their order and every character of the text."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return _cover(tx.chunk(docs, "text", "recursive", 350, 75), 350, by_words=False)
+
+
 @query()
 def chunk_recursive(spark, d):
     return _chunks(spark, d, "recursive", 350, 75)
@@ -471,15 +509,16 @@ def register_eval_set(spark, d):
 
 @query("""
 SELECT url, substr(url, 1, 20) AS caption, (page_id % 7)::INTEGER AS height,
-  (page_id % 5)::INTEGER AS width FROM pages WHERE url IS NOT NULL ORDER BY url, page_id LIMIT 6
+  (page_id % 5)::INTEGER AS width FROM pages WHERE url IS NOT NULL AND page_id // 20 = 2
+ORDER BY url, page_id LIMIT 6
 """)
 def images_of_game(spark, d):
-    """The first images of a game by url; every page stands for an image of one game."""
+    """The first images of a game by url; twenty pages stand for the images of a game."""
     images = table(spark, d, "pages").select(
         "url", F.substring("url", 1, 20).alias("caption"),
         (F.col("page_id") % 7).cast("int").alias("height"),
-        (F.col("page_id") % 5).cast("int").alias("width"), F.lit(1).alias("game_id"))
-    return marts.images_of(images, 1)
+        (F.col("page_id") % 5).cast("int").alias("width"), F.floor(F.col("page_id") / 20).alias("game_id"))
+    return marts.images_of(images, 2)
 
 
 @query()

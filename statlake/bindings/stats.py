@@ -479,14 +479,21 @@ def player_stat_page(spark, d):
 
 @query("""
 SELECT doc_id AS id, lang AS headline, source, text AS story, (n_chars % 100)::INTEGER AS published
-FROM documents WHERE lang = 'en' ORDER BY published DESC NULLS LAST, id LIMIT 20
+FROM documents WHERE source = 'src7' ORDER BY published DESC NULLS LAST, id LIMIT 20
 """)
 def articles_of_game(spark, d):
-    docs = table(spark, d, "documents").where(F.col("lang") == "en").select(
+    """Newest articles of one game; a source stands for a game."""
+    docs = table(spark, d, "documents").select(
         F.col("doc_id").alias("id"), F.col("lang").alias("headline"),
         (F.col("n_chars") % 100).cast("int").alias("published"), "source",
-        F.col("text").alias("story"), F.lit(1).alias("game_id"))
-    return marts.articles_of(docs, 1)
+        F.col("text").alias("story"), F.substring("source", 4, 9).try_cast("int").alias("game_id"))
+    return marts.articles_of(docs, 7)
+
+
+@query("SELECT o_orderkey AS game_id FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 5 "
+       "ORDER BY 1")
+def games_to_pick(spark, d):
+    return marts.games_to_pick(_orders_as_games(spark, d), 1997, 5)
 
 
 SALES = "FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey"

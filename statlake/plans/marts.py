@@ -78,6 +78,13 @@ def scores_wide(scores: DataFrame) -> DataFrame:
         for side in ("away", "home")])
 
 
+def games_to_pick(games: DataFrame, season: int | None = None, week: int | None = None) -> DataFrame:
+    """The games of a season and week (or of all) in order of their ids."""
+    week = week if season is not None else None
+    return apply_filters(games, season=season, week=week).select(
+        F.col("id").alias("game_id")).orderBy("game_id")
+
+
 def articles_of(articles: DataFrame, game_id: int, n: int = 20) -> DataFrame:
     rows = articles.where(F.col("game_id") == game_id).select(
         "id", "headline", "published", "source", "story")
@@ -103,7 +110,8 @@ def version_registry(versions: DataFrame, models: DataFrame) -> DataFrame:
     return versions.join(
         models.select("model_id", F.col("name").alias("model_name")), "model_id"
     ).select("model_version_id", "model_id", "model_name", "status",
-             *unpack_metrics("metrics_json"), "created_at")
+             *unpack_metrics("metrics_json"), "created_at").orderBy(
+        F.col("created_at").desc_nulls_last(), "model_version_id")
 
 
 def recent_runs(runs: DataFrame, n: int = 30) -> DataFrame:
