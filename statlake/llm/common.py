@@ -33,7 +33,7 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage, and survives lost executors, as the files are shared.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

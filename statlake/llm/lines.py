@@ -20,6 +20,8 @@ empty table gives an empty result; other columns are kept by ``drop_lines``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from statlake.llm.common import kept, packed, text_or_empty, unpacked
@@ -40,7 +42,9 @@ def numbered(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc"),
                        F.xxhash64(text_or_empty()).alias("tag"), F.lower(text_or_empty()).alias("text"))
     lines = rows.select("doc", "tag", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    words = F.trim(F.regexp_replace("line", _SPACE, " "))
+    # Most lines have single blanks between their words and need no pattern.
+    odd = reduce(lambda a, b: a | b, [F.contains("line", F.lit(x)) for x in ("  ", "\t", "\x0b", "\f", "\r")])
+    words = F.trim(F.when(odd, F.regexp_replace("line", _SPACE, " ")).otherwise(F.col("line")))
     lines = lines.select("doc", "tag", "line_no", words.alias("norm")).where("norm <> ''")
     return lines.withColumns({"h": F.xxhash64("norm"), "g": F.xxhash64(F.lit("g"), "norm")})
 
@@ -54,11 +58,12 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
 
 def candidates(unique: DataFrame) -> DataFrame:
     """The lines that share a half with another line."""
-    words = unique.select("h", "g", F.split("norm", " ").alias("w")).select(
-        "h", "g", "w", F.size("w").alias("n")).where(F.col("n") >= NEAR_WORDS - 1)
-    keys = words.select("h", "n", F.explode(F.expr("""flatten(transform(
-        array_distinct(array(cast(floor(n / 2) as int), cast(ceil(n / 2) as int))),
-        q -> array(xxhash64('first', q, slice(w, 1, q)), xxhash64('last', q, slice(w, n - q + 1, q)))))""")).alias("key"))
+    n = F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1
+    words = unique.select("h", "norm", n.cast("int").alias("n")).where(F.col("n") >= NEAR_WORDS - 1)
+    words = words.withColumns({"q": F.expr("n div 2").cast("int"), "r": F.expr("(n + 1) div 2").cast("int")})
+    half = "xxhash64('first', {0}, substring_index(norm, ' ', {0})), xxhash64('last', {0}, substring_index(norm, ' ', -{0}))"
+    keys = kept(words.select("h", "n", F.explode(F.expr(
+        f"if(q = r, array({half.format('q')}), array({half.format('q')}, {half.format('r')}))")).alias("key")), "halves")
     shared = (keys.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"),
                                       F.min("n").alias("least"), F.max("n").alias("most"))
               .where("lo <> hi").select("key", (F.col("least") < F.col("most")).alias("other_length")))
