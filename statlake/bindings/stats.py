@@ -219,22 +219,22 @@ def _daily(spark, d):
     ).agg(F.round(F.sum("value"), 2).alias("total"), F.count(F.lit(1)).alias("n_events"))
 
 
-def _lagged(spark, d, hot_rows):
+def _lagged(spark, d, block=None):
     out = lagged_of(_daily(spark, d), ["total", "n_events"], ["user_id", "month"], ["day"], 3,
-                    block=F.trunc("day", "week"), hot_rows=hot_rows)
+                    block=block)
     return rounded(out.select("user_id", "day", "total", "avg_total_3w", "avg_n_events_3w",
                               "lookback_count"), 6, "avg_total_3w", "avg_n_events_3w")
 
 
 @query(LAGGED)
 def lagged_features(spark, d):
-    return _lagged(spark, d, 1_000_000)
+    return _lagged(spark, d)
 
 
 @query(LAGGED)
 def lagged_features_hot(spark, d):
-    """The same averages with every user treated as a hot key and cut into weeks."""
-    return _lagged(spark, d, 10)
+    """The same averages with every user cut into weeks."""
+    return _lagged(spark, d, F.trunc("day", "week"))
 
 
 @query(f"WITH {DAILY} SELECT user_id, day, CASE WHEN percent_rank() OVER (ORDER BY day) < 0.70 "

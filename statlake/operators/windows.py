@@ -3,58 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-# A key above this many rows is cut into blocks instead of being sorted by one task.
-HOT_ROWS = 1_000_000
-# Turns of one block of a conversation that is cut.
-TURN_BLOCK = 100_000
-# Hot keys are joined by broadcast up to this many; beyond it every key is cut.
-MAX_HOT_KEYS = 10_000
-
 
 def with_lookback(df: DataFrame, keys: list[str], order: list[str], n: int,
                   columns: Callable[[WindowSpec], dict[str, Column]],
-                  block: Column | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                  block: Column | None = None) -> DataFrame:
     """Add window columns over the ``n`` rows before each row of its key.
 
     All columns share one frame, hence one sort. ``order`` sorts ascending with
-    NULLs last. ``block`` is any expression that never decreases along ``order``
-    (a truncated date, an integer division); when given, a pass over the key
-    columns finds the keys with more than ``hot_rows`` rows and cuts only those
-    into (key, block) groups. Each group also receives the up to ``n`` rows that
-    precede it, so the result equals the uncut window.
+    NULLs last. A caller whose keys may hold more rows than a task can sort names a
+    ``block``: any expression that never decreases along ``order`` (a truncated
+    date, an integer division). Every key is then cut into (key, block) groups, each
+    with the up to ``n`` rows that precede it, so the result equals the uncut window.
     """
     asc = [F.col(c).asc_nulls_last() for c in order]
-    plain = Window.partitionBy(*keys).orderBy(*asc).rowsBetween(-n, -1)
-    if block is None or hot_rows is None:
-        return df.withColumns(columns(plain))
-
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_rows).select(*keys).limit(MAX_HOT_KEYS + 1).collect()
-    if not hot:
-        return df.withColumns(columns(plain))
+    if block is None:
+        return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*asc).rowsBetween(-n, -1)))
 
     # NULL blocks sort last, as NULL order values do.
-    blk = F.struct(block.isNull().alias("is_null"), block.alias("value"))
-    if len(hot) > MAX_HOT_KEYS:
-        tagged = df.withColumn("_blk", blk)
-    else:
-        marks = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
-        marks = marks.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
-        same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(marks[f"_hot_{k}"]) for k in keys])
-        tagged = (
-            df.join(F.broadcast(marks), same, "left")
-            .select(*df.columns, F.when(F.col("_hot"), blk).alias("_blk"))
-        )
+    tagged = df.withColumn("_blk", F.struct(block.isNull().alias("is_null"), block.alias("value")))
 
     # The last n rows of every block, and the later blocks each of them reaches into.
     desc = [F.col(c).desc_nulls_first() for c in order]
     tails = (
-        tagged.where(F.col("_blk").isNotNull())
+        tagged
         .withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_blk").orderBy(*desc)))
         .where(F.col("_rn") <= n).drop("_rn")
     )
@@ -78,8 +53,7 @@ def with_lookback(df: DataFrame, keys: list[str], order: list[str], n: int,
 
 
 def lagged_features(df: DataFrame, stats: list[str], keys: list[str], order: list[str],
-                    n: int = 3, block: Column | None = None,
-                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                    n: int = 3, block: Column | None = None) -> DataFrame:
     """Averages of the previous ``n`` rows per key, current row excluded.
 
     Adds ``avg_<stat>_<n>w`` for each stat and ``lookback_count``. Values are
@@ -90,20 +64,21 @@ def lagged_features(df: DataFrame, stats: list[str], keys: list[str], order: lis
         out["lookback_count"] = F.count(F.lit(1)).over(w)
         return out
 
-    return with_lookback(df, keys, order, n, columns, block, hot_rows)
+    return with_lookback(df, keys, order, n, columns, block)
 
 
 def history_window(df: DataFrame, n: int = 3, answer_chars: int | None = None,
-                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                   turn_block: int | None = None) -> DataFrame:
     """The last ``n`` messages before each turn, formatted as prompt context.
 
     Questions and answers are numbered and kept whole; a prompt builder may cut the
-    answers to ``answer_chars``. Other roles are counted but not printed.
+    answers to ``answer_chars``. Other roles are counted but not printed. Conversations
+    too long for one task are cut into blocks of ``turn_block`` turns.
     """
     previous = with_lookback(
         df, ["conv_id"], ["turn"], n,
         lambda w: {"_prev": F.collect_list(F.struct("role", "text")).over(w)},
-        block=F.floor(F.col("turn") / TURN_BLOCK), hot_rows=hot_rows,
+        block=None if turn_block is None else F.floor(F.col("turn") / turn_block),
     )
 
     # The words of the context.

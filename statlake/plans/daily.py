@@ -13,6 +13,7 @@ from statlake.operators.merge import conform
 from statlake.operators.rows import if_not_empty, latest_per_key
 from statlake.plans.features import build_features
 from statlake.plans.gold import gold_incremental
+from statlake.plans.retrieval import embed_new
 from statlake.schemas import PLAYER_GAME, STAGE_LOADS, TABLES
 from statlake.session import scratch_dir
 from statlake.sources.lake import Lake
@@ -80,16 +81,18 @@ def _gold_rows(lake: Lake, at: datetime, run_id: str | None, known: bool) -> Dat
 
 
 def load_gold(lake: Lake, at: datetime, run_id: str | None = None) -> None:
-    """Append the unseen player-games and check the key of the touched games.
+    """Append the unseen player-games, once their key is checked.
 
-    With a run id only the blocks of that run's games are read, on both sides.
+    With a run id only the blocks of that run's games are read, on both sides. The rows
+    are put aside and checked before gold is touched: none of them is in gold, so their
+    own keys are all there is to check.
     """
-    lake.append(_gold_rows(lake, at, run_id, known=True), "gold", "player_game_stats")
-    gold = lake.read("gold", "player_game_stats")
-    if run_id is not None:
-        gold = lake.read_near("gold", "player_game_stats", lake.read("raw", "player_stats").where(
-            F.col("run_id") == run_id).select("game_id"))
-    assert_empty(key_violations(gold, list(PLAYER_GAME.keys)), "duplicate gold key")
+    folder = scratch_dir(lake.spark, "gold")
+    rows = _gold_rows(lake, at, run_id, known=True)
+    rows.write.parquet(folder)
+    rows = lake.spark.read.schema(rows.schema).parquet(folder)
+    assert_empty(key_violations(rows, list(PLAYER_GAME.keys)), "duplicate gold key")
+    lake.append(rows, "gold", "player_game_stats")
 
 
 def refresh_gold(lake: Lake, at: datetime, run_id: str | None = None) -> None:
@@ -104,9 +107,14 @@ def rebuild_features(lake: Lake, at: datetime) -> None:
 
 
 def run_daily(lake: Lake, scoreboards: DataFrame, game_details: DataFrame, run_id: str,
-              at: datetime) -> None:
-    """One day, layer by layer; every step can be repeated with the same run id."""
+              at: datetime, embedder=None) -> None:
+    """One day, layer by layer; every step can be repeated with the same run id.
+
+    With an embedder the articles of the day become chunks and vectors as well.
+    """
     load_raw(lake, scoreboards, SCOREBOARD_ROWS, run_id, at)
     load_raw(lake, game_details, GAME_ROWS, run_id, at)
     load_stage(lake, run_id)
     load_gold(lake, at, run_id)
+    if embedder is not None:
+        embed_new(lake, embedder, F.lit(str(at)))

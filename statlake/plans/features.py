@@ -8,7 +8,7 @@ from statlake.functions.scalars import (
     SCORING_WEIGHTS, data_version, points, standard_weights,
 )
 from statlake.operators.rows import last_n
-from statlake.operators.windows import HOT_ROWS, lagged_features, temporal_split
+from statlake.operators.windows import lagged_features, temporal_split
 from statlake.schemas import STAT_COLUMNS
 from statlake.sources.catalog import count_columns
 
@@ -18,7 +18,7 @@ TRAIN_SHARE = 0.70
 
 
 def lagged_rows(gold: DataFrame, stats: list[str] = STAT_COLUMNS,
-                hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                block: Column | None = None) -> DataFrame:
     """Games with a full lookback and a target, with averages of the games before.
 
     The frame counts games played, starts anew each season and leaves out the
@@ -26,7 +26,7 @@ def lagged_rows(gold: DataFrame, stats: list[str] = STAT_COLUMNS,
     """
     lagged = lagged_features(
         gold, stats, ["athlete_id", "season"], ["game_date", "game_id"], LOOKBACK,
-        block=F.date_trunc("day", F.col("game_date")), hot_rows=hot_rows)
+        block=block)
     return lagged.where(
         (F.col("lookback_count") == LOOKBACK) & F.col("fantasy_points_ppr").isNotNull()
     ).select(
@@ -39,9 +39,9 @@ def lagged_rows(gold: DataFrame, stats: list[str] = STAT_COLUMNS,
 
 
 def build_features(gold: DataFrame, created_at: Column, stats: list[str] = STAT_COLUMNS,
-                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                   block: Column | None = None) -> DataFrame:
     """The feature table. Pass a stored ``gold``: the split reads it once more."""
-    rows = temporal_split(lagged_rows(gold, stats, hot_rows), "game_date", TRAIN_SHARE)
+    rows = temporal_split(lagged_rows(gold, stats, block), "game_date", TRAIN_SHARE)
     return rows.withColumn("created_at", created_at.cast("timestamp_ntz"))
 
 

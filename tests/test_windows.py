@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from statlake.operators import rows as sel, windows
+from statlake.operators import rows as sel
 from statlake.operators.windows import history_window, lagged_features, temporal_split
 
 
@@ -19,23 +19,13 @@ def _games(spark, n_keys=6, n=40, seed=1):
     return spark.createDataFrame(data, "k int, season int, day date, game int, v int")
 
 
-@pytest.mark.parametrize("hot_rows", [0, 20])
 @pytest.mark.parametrize("n", [1, 3])
 @pytest.mark.parametrize("block", ["week", "year"])
-def test_cut_keys_give_the_same_averages(spark, hot_rows, n, block):
+def test_cut_keys_give_the_same_averages(spark, n, block):
     df = _games(spark)
     args = (["v"], ["k", "season"], ["day", "game"], n)
     plain = lagged_features(df, *args).collect()
-    cut = lagged_features(df, *args, block=F.trunc("day", block), hot_rows=hot_rows).collect()
-    assert sorted(map(repr, plain)) == sorted(map(repr, cut))
-
-
-def test_many_hot_keys_cut_every_key(spark, monkeypatch):
-    monkeypatch.setattr(windows, "MAX_HOT_KEYS", 1)
-    df = _games(spark)
-    args = (["v"], ["k", "season"], ["day", "game"], 3)
-    plain = lagged_features(df, *args).collect()
-    cut = lagged_features(df, *args, block=F.trunc("day", "month"), hot_rows=2).collect()
+    cut = lagged_features(df, *args, block=F.trunc("day", block)).collect()
     assert sorted(map(repr, plain)) == sorted(map(repr, cut))
 
 
@@ -80,18 +70,17 @@ def test_split_of_one_row_and_of_none(spark):
     assert temporal_split(one.where("false"), "d").collect() == []
 
 
-def test_history_keeps_texts_whole(spark, monkeypatch):
-    monkeypatch.setattr(windows, "TURN_BLOCK", 2)
+def test_history_keeps_texts_whole(spark):
     df = spark.createDataFrame(
         [(1, 0, "system", "s"), (1, 1, "user", "q" * 600), (1, 2, "assistant", "a" * 600),
          (1, 3, "user", "next"), (2, 0, "user", "other")],
         "conv_id long, turn long, role string, text string")
-    for hot in (1, 100):
-        got = {(r.conv_id, r.turn): r for r in history_window(df, 3, hot_rows=hot).collect()}
+    for block in (2, None):
+        got = {(r.conv_id, r.turn): r for r in history_window(df, 3, turn_block=block).collect()}
         assert got[1, 3].n_messages == 3
         assert got[1, 3].context == (
             "\n\nUser question 2: " + "q" * 600 + "\n\nAssistant answer 3: " + "a" * 600)
-        short = history_window(df, 3, answer_chars=500, hot_rows=hot).where("conv_id = 1 and turn = 3").first()
+        short = history_window(df, 3, answer_chars=500, turn_block=block).where("conv_id = 1 and turn = 3").first()
         assert short.context.endswith("Assistant answer 3: " + "a" * 500)
         assert got[2, 0].context == "" and got[2, 0].n_messages == 0
 
