@@ -27,6 +27,15 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text) if _OTHER_SPACE.search(text) else text.split()
 
 
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """The same rows; from here on fewer of them travel to Python at once.
+
+    Whole texts are large, and a batch lives several times in the memory of both sides.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return docs
+
+
 def kept(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared scratch folder and read again.
 

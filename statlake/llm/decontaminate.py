@@ -25,11 +25,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from statlake.llm.common import mixed, packed, text_or_empty, unpacked, words_of
+from statlake.llm.common import in_small_batches, mixed, packed, text_or_empty, unpacked, words_of
 
 WINDOW, AT_LEAST = 5, 0.8
 MOST_SENT = 2_000_000
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 UNITS = frozenset("""% $ € £ ° °c °f mm cm m km mg g kg t ml l s sec secs second seconds min mins minute
 minutes h hour hours day days week weeks month months year years inch inches ft foot feet mile miles
@@ -201,7 +201,7 @@ def indexes(benchmark: DataFrame, most: int = MOST_SENT) -> Iterator[Index]:
 
 def marked(docs: DataFrame, benchmark: DataFrame, most: int = MOST_SENT) -> DataFrame:
     """``docs`` with ``_items``: the items found in each (item_id, share, windows, values)."""
-    context = docs.sparkSession.sparkContext
+    context = in_small_batches(docs).sparkSession.sparkContext
     found = [_finder(context.broadcast(index))(text_or_empty()) for index in indexes(benchmark, most)]
     return docs.withColumn("_items", reduce(F.concat, found))
 

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from statlake.llm.common import code_points, text_or_empty, uniform
+from statlake.llm.common import code_points, in_small_batches, text_or_empty, uniform
 
 WIDTH = 8192
 LANDMARKS = 192
@@ -109,7 +109,7 @@ def learn(docs: DataFrame, learned_from: str, per_language: int = PER_LANGUAGE,
     The sample is the rows with the least hashes of their doc_id in each language. It is
     chosen without texts, and its size is bounded by ``sample``.
     """
-    some = docs.where(learned_from).where("lang is not null and text is not null").select(
+    some = in_small_batches(docs).where(learned_from).where("lang is not null and text is not null").select(
         "doc_id", "lang", uniform(F.col("doc_id"), F.lit(7)).alias("order"))
     # The hash alone leaves about four times the rows wanted of each language, however many
     # there are; only these are put in order. No more languages than rows can be learned.
@@ -135,7 +135,7 @@ def predict(docs: DataFrame, model: Model | None, *extra) -> DataFrame:
     The score is half the lead over the second language, from 0 to 1.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select("doc_id", *extra, text_or_empty().alias("_text"))
+    rows = in_small_batches(docs).select("doc_id", *extra, text_or_empty().alias("_text"))
     schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
 
     def score(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from statlake.llm.common import WORD, kept, mixed, packed, text_or_empty, unpacked
+from statlake.llm.common import WORD, in_small_batches, kept, mixed, packed, text_or_empty, unpacked
 
 BLOCK = 1024
 SHARDS = 512
@@ -234,7 +234,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     where there is such a column. Rows with one doc_id, source and text are the same
     document repeated: its pieces are cut from one copy.
     """
-    _, pieces = plan(docs, **options)
+    _, pieces = plan(in_small_batches(docs), **options)
     lists = pieces.groupBy("doc_id", "source", "hash").agg(
         F.sort_array(F.collect_list(F.struct("shard", "slot", "first", "n"))).alias("_takes"))
     needed = [c for c in ("doc_id", "source", "text", "n_chars") if c in docs.columns]

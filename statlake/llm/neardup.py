@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from statlake.llm.common import kept, mixed, text_or_empty
+from statlake.llm.common import in_small_batches, kept, mixed, text_or_empty
 from statlake.llm.components import components
 from statlake.llm.shingles import parts, shingles
 
@@ -89,7 +89,7 @@ def _bucket_counts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def bucket_weights(docs: DataFrame) -> np.ndarray:
     """ln(1 + N / n) by bucket; the driver gets one number for each bucket."""
-    texts = docs.select(text_or_empty().alias("text"))
+    texts = in_small_batches(docs).select(text_or_empty().alias("text"))
     rows = texts.mapInPandas(_bucket_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.ones(BUCKETS)
     counts[rows["bucket"]] = rows["n"]

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from statlake.llm.common import (code_points, kept, kth_largest, packed, text_or_empty, uniform,
+from statlake.llm.common import (code_points, in_small_batches, kept, kth_largest, packed, text_or_empty, uniform,
                                  unpacked)
 
 BUCKETS = 1 << 16
@@ -81,7 +81,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     if not fit_ones:
         return np.zeros(BUCKETS, "f4"), 1.0
     # The sample is bounded by its parameter, hence small enough for every task.
-    marked = docs.select("doc_id", text_or_empty().alias("text")).join(
+    marked = in_small_batches(docs).select("doc_id", text_or_empty().alias("text")).join(
         F.broadcast(some.select("doc_id", "good")), "doc_id", "left")
     rows = (marked.select("text", F.coalesce("good", F.lit(False)).alias("good"))
             .mapInPandas(_counted, "bucket int, raw long, target long")
@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
 
 
 def log_weight(docs: DataFrame, ratios: np.ndarray) -> Column:
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    shared = in_small_batches(docs).sparkSession.sparkContext.broadcast(ratios)
 
     @F.pandas_udf(DoubleType())
     def weigh(texts: pd.Series) -> pd.Series:

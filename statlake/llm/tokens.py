@@ -28,7 +28,7 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from statlake.llm.common import text_or_empty
+from statlake.llm.common import in_small_batches, text_or_empty
 from statlake.session import scratch_dir
 
 #: Magic numbers of the zstandard seekable format.
@@ -147,7 +147,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, vocabulary: str = V
     store.create_dir(top, recursive=True)
     path = vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary)
     rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+        in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
         .repartitionByRange(files, F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
         .select(F.col("doc_id").isNull().cast("int").alias("missing"),
