@@ -9,7 +9,13 @@ also share the ``MORE`` samples after the band. Each band draws its centres by a
 its own, so that a group hangs together by many of them. Candidates are links if their
 weighted Jaccard similarity is ``SIMILAR`` or more; classes are connected components.
 
-No group is gathered: centres are aggregates, pairs are one row a text and band. Texts with
+Bands whose texts are not all of one class then (families that share boilerplate) are settled
+by an exact prefix join of their texts: with shingles in order of rarity, two similar texts
+share one among the first of both, which boilerplate is not. So a pair of a common band is
+found whatever the centres were.
+
+No group is gathered: centres are aggregates, pairs are one row a text and band; the prefix
+join pairs texts of different classes that share one of their rarest shingles. Texts with
 equal words are one class from the start (their least doc_id stands for them). Results for
 odd input: NULL and empty texts are copies of each other; texts of fewer than five words have
 one shingle; a NULL doc_id has a NULL class and is never linked; rows of one doc_id are one
@@ -126,28 +132,102 @@ def sketches(docs: DataFrame, idf: np.ndarray) -> DataFrame:
     return kept(rows.mapInPandas(_sketcher(shared), "doc_id long, copy binary, samples array<int>"), "sketches")
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a text and a centre of one of its bands, each pair once.
-
-    Pairs whose samples agree too seldom for similar texts are left out before any text is
-    read: at a similarity of ``SIMILAR``, fewer than ``AGREE`` of 36 are a case in 10,000.
-    """
+def band_keys(reps: DataFrame) -> DataFrame:
+    """rep, band and key of every bucket that a text is in, wide ones and those with more samples."""
     rows = reps.where("size(samples) > 0").select("rep", F.expr(f"""explode(flatten(transform(
         sequence(0, {BANDS - 1}), b -> array(
             struct(b as band, xxhash64('wide', b, slice(samples, b * {ROWS} + 1, {ROWS})) as key),
             struct(b as band, xxhash64('more', b, slice(concat(samples, samples), b * {ROWS} + 1, {ROWS + MORE})) as key)))))""").alias("k"))
-    rows = rows.select("rep", "k.band", "k.key")
+    return rows.select("rep", "k.band", "k.key")
+
+
+def candidates(reps: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a text and a centre of one of its bands, each pair once."""
+    rows = band_keys(reps)
     order = F.xxhash64("rep", "band")
     centres = (rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep")).alias("c"), F.count("*").alias("n"))
                .where("n > 1").select("key", F.col("c.rep").alias("centre")))
     pairs = rows.join(centres, "key").where(F.col("rep") != F.col("centre"))
     pairs = pairs.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+    return agreeing(pairs, reps)
+
+
+def agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs whose samples agree often enough for similar texts, before any text is read.
+
+    At a similarity of ``SIMILAR``, fewer than ``AGREE`` of 36 are a case in 10,000.
+    """
     x = reps.select(F.col("rep").alias("a"), F.col("samples").alias("x")).hint("merge")
     y = reps.select(F.col("rep").alias("b"), F.col("samples").alias("y")).hint("merge")
     agree = F.size(F.filter(F.zip_with("x", "y", lambda s, t: s == t), lambda e: e))
     return pairs.join(x, "a").join(y, "b").where(agree >= AGREE).select("a", "b")
 
 
+def unsettled(reps: DataFrame, found: DataFrame) -> DataFrame:
+    """rep, label: the texts of buckets of three or more that hold texts of several components."""
+    labels = reps.select("rep", "samples").join(found, F.col("rep") == F.col("node"), "left").select(
+        "rep", "samples", F.coalesce("label", "rep").alias("label"))
+    # Texts of a narrow bucket are together in a wide one.
+    rows = labels.where("size(samples) > 0").select("rep", "label", F.expr(f"""explode(transform(
+        sequence(0, {BANDS - 1}), b -> xxhash64('wide', b, slice(samples, b * {ROWS} + 1, {ROWS})))) as key"""))
+    mixed_ = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where(
+        "n > 2 and lo < hi").select("key")
+    return rows.join(mixed_, "key").select("rep", "label").distinct()
+
+
+def prefix(shingle: np.ndarray, weight: np.ndarray, idf: np.ndarray, similar: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles that a similar text must share one of, and which of them suffice
+    where the other text weighs as much or more.
+
+    What two texts share weighs ``similar`` of the heavier text at least, and of the lighter
+    one 2 similar / (1 + similar); so much does not fit behind the shingles given.
+    """
+    order = np.lexsort((shingle, -idf))
+    rest = np.cumsum(weight[order][::-1])[::-1]
+    slack = 1 - 1e-6
+    return shingle[order][rest >= similar * slack * rest[0]], (
+        rest >= 2 * similar / (1 + similar) * slack * rest[0])[rest >= similar * slack * rest[0]]
+
+
+def _prefixer(shared, similar: float):
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        idf = shared.value
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for rep, label, t in zip(batch["rep"], batch["label"], batch["text"]):
+                _, shingle, count = shingles([t])
+                if not len(shingle):
+                    continue
+                each = idf[(shingle & np.uint64(BUCKETS - 1)).astype("i8")]
+                weight = (count * each).astype("f8")
+                first, short = prefix(shingle, weight, each, similar)
+                for into, x in zip(out, (np.full(len(first), rep), np.full(len(first), label),
+                                         np.full(len(first), weight.sum()), first.astype("i8"), short)):
+                    into.append(x)
+            if out[0]:
+                yield pd.DataFrame(dict(zip(("rep", "label", "weight", "shingle", "short"), map(np.concatenate, out))))
+
+    return run
+
+
+def settling(docs: DataFrame, reps: DataFrame, found: DataFrame, idf: np.ndarray, similar: float = SIMILAR) -> DataFrame:
+    """Pairs (a, b) of different components that one bucket holds and that may be similar."""
+    shared = docs.sparkSession.sparkContext.broadcast(idf)
+    some = kept(unsettled(reps, found), "unsettled")
+    texts = docs.select(F.col("doc_id").alias("rep"), text_or_empty().alias("text")).join(some.hint("merge"), "rep")
+    rows = kept(texts.mapInPandas(_prefixer(shared, similar), "rep long, label long, weight double, shingle long, short boolean"), "prefixes")
+    # Shingles of one component only have no pairs to give.
+    several = rows.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("shingle")
+    rows = rows.join(several, "shingle")
+    x = rows.select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("rep", "label", "weight")])
+    y = rows.where("short").select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("rep", "label", "weight")])
+    near = ((F.col("label_x") != F.col("label_y")) & (F.col("weight_y") <= F.col("weight_x") * (1 + 1e-6))
+            & (F.col("weight_y") >= F.col("weight_x") * similar * (1 - 1e-6)))
+    pairs = x.join(y.hint("merge"), "shingle").where(near).select(
+        F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+    return agreeing(pairs, reps)
+
+
 def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two texts given as shingles in order and weights."""
     both, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
@@ -196,7 +276,11 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     rows = sketches(docs_, idf)
     # Copies have equal sketches; any one of them serves.
     reps = kept(rows.groupBy("copy").agg(F.min("doc_id").alias("rep"), F.first("samples").alias("samples")), "reps")
-    found = components(links(docs_, candidates(reps), idf, similar))
+    linked = kept(links(docs_, candidates(reps), idf, similar), "links")
+    found = components(linked)
+    more = kept(links(docs_, settling(docs_, reps, found, idf, similar), idf, similar), "links")
+    if not more.isEmpty():
+        found = components(linked.union(more))
     named = reps.select("copy", "rep").join(found, F.col("rep") == F.col("node"), "left").select(
         "copy", "rep", F.coalesce("label", "rep").alias("class"))
     out = rows.select("doc_id", "copy").join(named, "copy").select(

@@ -141,6 +141,31 @@ def test_near_duplicates_odd_rows(make):
     assert neardup.classes(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_in_a_boilerplate_family(make):
+    """Pairs in a family whose other members share boilerplate but are not similar."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(8))
+    same = [word() for _ in range(1300)]
+    texts = []
+    for _ in range(300):
+        own = [word() for _ in range(24)]
+        texts += [" ".join(same + own), " ".join(same + own[:-9] + [word() for _ in range(9)])]
+    docs = make(texts)
+    idf = neardup.bucket_weights(docs)
+    features = []
+    for t in texts[:4]:
+        _, s, c = shingles([t])
+        features.append((s, c * idf[(s & np.uint64(neardup.BUCKETS - 1)).astype("i8")]))
+    assert neardup.similarity(features[0], features[1]) >= neardup.SIMILAR
+    assert neardup.similarity(features[0], features[2]) < neardup.SIMILAR
+    # Centres alone miss many of them.
+    reps = neardup.sketches(docs, idf).select(neardup.F.col("doc_id").alias("rep"), "samples")
+    assert neardup.candidates(reps).where("a % 2 = 0 and b = a + 1").count() < 290
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs).collect()}
+    missed = sum(got[i + 1] != got[i] for i in range(0, 600, 2))
+    assert missed <= 1
+
+
 def test_sampling_agrees_with_similarity():
     """The share of equal samples estimates the weighted Jaccard similarity."""
     rng = np.random.default_rng(0)
