@@ -16,7 +16,7 @@ of one task are sent once.
 Results for odd input: a NULL text is empty; texts under 100 bytes stay whole; matches never
 cross documents; NULL doc_ids come first; rows that repeat doc_id and text are one document
 and get equal results; rows of one doc_id with different texts are documents in the order of
-their hashes; an empty table gives an empty result. Other columns are not looked at.
+their hashes, and so are rows without a doc_id (dealt by the hash); an empty table gives an empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -40,7 +40,6 @@ BUFFER = 1_000_000
 LEFT_AFTER, MOST_RUNS = 16, 4096
 SALTS = 256
 PIECES_AT_ONCE, REMEMBERED = 12_000, 150_000
-FIRST_ID = -(1 << 63)
 
 NORMAL, KNOWN, LEFT = 0, 1, 2
 
@@ -108,16 +107,16 @@ def _find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = 0
 
     def flush():
-        key, doc, loc = (np.concatenate(x) for x in zip(*held))
+        key, doc, tag, loc = (np.concatenate(x) for x in zip(*held))
         order = np.argsort(key, kind="stable")
-        key, doc, loc = key[order], doc[order], loc[order]
+        key, doc, tag, loc = key[order], doc[order], tag[order], loc[order]
         first = np.flatnonzero(np.diff(key, prepend=key[:1] ^ np.uint64(1)) != 0)
         n = np.diff(np.append(first, len(key)))
         kind = np.repeat(np.where(n >= LEFT_AFTER, KNOWN, NORMAL), n)
         hot = first[n >= LEFT_AFTER]
         yield _table(
             key=np.concatenate([key, key[hot]]).view("i8"), doc=np.concatenate([doc, np.zeros(len(hot), "i8")]),
-            loc=np.concatenate([loc, n[n >= LEFT_AFTER]]),
+            tag=np.concatenate([tag, np.zeros(len(hot), "i4")]), loc=np.concatenate([loc, n[n >= LEFT_AFTER]]),
             kind=np.concatenate([kind, np.full(len(hot), LEFT)]).astype("i1"))
 
     for batch in batches:
@@ -125,7 +124,7 @@ def _find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, tags = some["doc"].to_numpy(), some["tag"].to_numpy()
         number, start, n, key = runs(_texts(some["text"]))
         if len(number):
-            held.append((key, ids[number], (tags[number] << 48) | (start << 8) | n))
+            held.append((key, ids[number], tags[number], (start << 8) | n))
             count += len(number)
         if count > 1_000_000:
             yield from flush()
@@ -136,10 +135,10 @@ def _find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _recurring(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the rows of one task, which hold all of each anchor: those that occur again."""
-    rows = [[b[c].to_numpy() for c in ("key", "doc", "loc", "kind")] for b in batches]
+    rows = [[b[c].to_numpy() for c in ("key", "doc", "tag", "loc", "kind")] for b in batches]
     if not rows:
         return
-    key, doc, loc, kind = (np.concatenate(x) for x in zip(*rows))
+    key, doc, tag, loc, kind = (np.concatenate(x) for x in zip(*rows))
     known = kind == KNOWN
     own = np.flatnonzero(~known)
     own = own[np.argsort(key[own], kind="stable")]
@@ -155,7 +154,7 @@ def _recurring(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     dealt = np.concatenate([np.ones(known.sum(), bool), np.repeat(split, n)[stay]])
     for lo in range(0, len(places), 200_000):
         p = places[lo:lo + 200_000]
-        yield _table(key=key[p], doc=doc[p], loc=loc[p], split=dealt[lo:lo + 200_000])
+        yield _table(key=key[p], doc=doc[p], tag=tag[p], loc=loc[p], split=dealt[lo:lo + 200_000])
 
 
 def _cut_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,23 +162,23 @@ def _cut_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     The documents of a task come in ascending order, so the first piece is the earliest.
     """
-    seen: dict[tuple[int, bytes], tuple[int, int]] = {}
+    seen: dict[tuple[int, bytes], tuple[int, int, int]] = {}
     for batch in batches:
         lists = batch["runs"]
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         flat = lists.flatten()
-        locs, keys, splits = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("loc", "key", "split"))
+        locs, keys, splits, owners = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("loc", "key", "split", "tag"))
         ids, tags = batch["doc"].to_numpy(), batch["tag"].to_numpy()
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         for i, text in enumerate(_texts(batch["text"])):
             lo, hi = offsets[i], offsets[i + 1]
             order = lo + np.argsort(locs[lo:hi], kind="stable")
-            order = order[locs[order] >> 48 == tags[i]]
-            start, n = (locs[order] >> 8) & 0xFFFFFFFFFF, locs[order] & 0xFF
+            order = order[owners[order] == tags[i]]
+            start, n = locs[order] >> 8, locs[order] & 0xFF
             for key, loc, s, m, split in zip(keys[order].tolist(), locs[order].tolist(), start.tolist(),
                                              n.tolist(), splits[order].tolist()):
                 piece = text[s:s + m + REACH - 1]
-                place = int(ids[i]), loc
+                place = int(ids[i]), int(tags[i]), loc
                 first = seen.get((key, piece))
                 if first == place:  # a repeated row
                     continue
@@ -189,25 +188,26 @@ def _cut_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     seen[key, piece] = place
                 for into, x in zip(out, (key, *place, split, piece)):
                     into.append(x)
-        yield _table(key=pa.array(out[0], pa.int64()), doc=pa.array(out[1], pa.int64()), loc=pa.array(out[2], pa.int64()),
-                     split=pa.array(out[3], pa.bool_()), piece=pa.array(out[4], pa.binary()))
+        yield _table(key=pa.array(out[0], pa.int64()), doc=pa.array(out[1], pa.int64()),
+                     tag=pa.array(out[2], pa.int32()), loc=pa.array(out[3], pa.int64()),
+                     split=pa.array(out[4], pa.bool_()), piece=pa.array(out[5], pa.binary()))
 
 
-def _classes(key: np.ndarray, doc: np.ndarray, loc: np.ndarray, split: np.ndarray, pieces: list[bytes]):
-    """Covered runs (doc, loc with its length) and the earliest strings of split anchors."""
+def _classes(key: np.ndarray, doc: np.ndarray, tag: np.ndarray, loc: np.ndarray, split: np.ndarray, pieces: list[bytes]):
+    """Covered runs (doc, tag, loc with its length) and the earliest strings of split anchors."""
     import xxhash
 
-    order = np.lexsort((loc, doc))
+    order = np.lexsort((loc, tag, doc, tag > 0))
     first_of: dict[tuple[int, bytes], int] = {}
     covered = [i for i in order.tolist() if first_of.setdefault((key[i].item(), pieces[i]), i) != i]
     firsts_ = [first_of[key[i].item(), pieces[i]] for i in covered]
     # Rows of one place are a repeated row, not a repeat.
-    covered = [i for i, f in zip(covered, firsts_) if (doc[i], loc[i]) != (doc[f], loc[f])]
-    unique = np.array(list(first_of.values()))  # in order of doc and loc
+    covered = [i for i, f in zip(covered, firsts_) if (doc[i], tag[i], loc[i]) != (doc[f], tag[f], loc[f])]
+    unique = np.array(list(first_of.values()))  # in order of documents and places
     _, group, size = np.unique(key[unique], return_inverse=True, return_counts=True)
     unique = unique[(size[group] > 1) | split[unique]]
-    out_doc, out_loc = [doc[covered]], [loc[covered]]
-    earliest = (np.zeros(0, "i8"), np.zeros(0, "i8"), [])
+    out_doc, out_tag, out_loc = [doc[covered]], [tag[covered]], [loc[covered]]
+    earliest = (np.zeros(0, "i8"), np.zeros(0, "i4"), np.zeros(0, "i8"), [])
     if len(unique):
         gap = bytes(104)
         data = np.frombuffer(b"".join(pieces[i] + gap for i in unique), "u1")
@@ -233,14 +233,15 @@ def _classes(key: np.ndarray, doc: np.ndarray, loc: np.ndarray, split: np.ndarra
         piece, s = which[w[at]], shift[w[at]]
         begin = loc[unique][piece]
         out_doc.append(doc[unique][piece])
+        out_tag.append(tag[unique][piece])
         out_loc.append((begin & ~0xFF) + (s << 8) + run)
         mine = np.searchsorted(wanted, np.sort(firsts))
         mine = mine[split[unique][which[mine]]]
         if len(mine):
             begin = loc[unique][which[mine]]
-            earliest = (doc[unique][which[mine]], (begin & ~0xFF) + (shift[mine] << 8) + 1,
+            earliest = (doc[unique][which[mine]], tag[unique][which[mine]], (begin & ~0xFF) + (shift[mine] << 8) + 1,
                         [xxhash.xxh3_128_digest(data[p:p + REACH].tobytes()) for p in wanted[mine]])
-    return np.concatenate(out_doc), np.concatenate(out_loc), earliest
+    return np.concatenate(out_doc), np.concatenate(out_tag), np.concatenate(out_loc), earliest
 
 
 def _sort_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,16 +249,16 @@ def _sort_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
 
     def settle(rows: pa.Table):
-        key, doc, loc = (rows[c].to_numpy() for c in ("key", "doc", "loc"))
+        key, doc, tag, loc = (rows[c].to_numpy() for c in ("key", "doc", "tag", "loc"))
         split = rows["split"].to_numpy()
-        d, l, (rd, rl, rh) = _classes(key, doc, loc, split, rows["piece"].to_pylist())
-        yield _table(doc=np.concatenate([d, rd]), loc=np.concatenate([l, rl]),
+        d, t, l, (rd, rt, rl, rh) = _classes(key, doc, tag, loc, split, rows["piece"].to_pylist())
+        yield _table(doc=np.concatenate([d, rd]), tag=np.concatenate([t, rt]), loc=np.concatenate([l, rl]),
                      string=pa.array([None] * len(d) + rh, pa.binary()))
 
     for batch in batches:
         some = batch.filter(pc.is_null(batch["piece"]))
         if len(some):
-            yield _table(doc=some["doc"], loc=some["loc"], string=pa.nulls(len(some), pa.binary()))
+            yield _table(doc=some["doc"], tag=some["tag"], loc=some["loc"], string=pa.nulls(len(some), pa.binary()))
         held.append(batch.filter(pc.is_valid(batch["piece"])))
         while sum(map(len, held)) > PIECES_AT_ONCE:
             rows = pa.Table.from_batches(held).combine_chunks()
@@ -285,7 +286,7 @@ def _settle_split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """
     last = first = None
     for batch in batches:
-        rows = zip(batch["string"].to_pylist(), batch["doc"].to_pylist(), batch["loc"].to_pylist())
+        rows = zip(batch["string"].to_pylist(), batch["doc"].to_pylist(), batch["tag"].to_pylist(), batch["loc"].to_pylist())
         stay = np.zeros(len(batch), bool)
         for i, (s, *place) in enumerate(rows):
             if s is None or s != last:
@@ -293,7 +294,7 @@ def _settle_split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             else:
                 stay[i] = place != first
         some = batch.filter(pa.array(stay))
-        yield _table(doc=some["doc"], loc=some["loc"])
+        yield _table(doc=some["doc"], tag=some["tag"], loc=some["loc"])
 
 
 def _removed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,9 +306,8 @@ def _removed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if copy and len(text) >= REACH:
                 spans = [(0, len(text))]
             elif found:
-                loc = np.sort(np.array(found, "i8"))
-                loc = loc[loc >> 48 == tag]
-                start, n = (loc >> 8) & 0xFFFFFFFFFF, loc & 0xFF
+                loc = np.sort(np.array([f["loc"] for f in found if f["tag"] == tag], "i8"))
+                start, n = loc >> 8, loc & 0xFF
                 stop = np.maximum.accumulate(start + n - 1 + REACH) if len(loc) else start
                 new = np.flatnonzero(np.concatenate([[True], start[1:] > stop[:-1]])) if len(loc) else start
                 spans = list(zip(start[new].tolist(), stop[np.append(new[1:], len(loc)) - 1].tolist())) if len(loc) else []
@@ -330,33 +330,38 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The texts are dealt once, by document: all three uses of them read the same shuffle,
     # so they ask for the same columns, and all else is worked out behind it.
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc"), text_or_empty().alias("text"))
+    # A text without a doc_id goes by its hash, so that such texts are dealt to all tasks.
+    none = F.col("doc_id").cast("long").isNull()
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text_or_empty())).alias("doc"),
+                       (~none).alias("named"), text_or_empty().alias("text"))
     dealt = rows.repartition(n, "doc")
-    # Texts of one doc_id are numbered, almost always by 1, which takes no room in a shuffle.
-    tagged = dealt.withColumn("tag", F.dense_rank().over(W.partitionBy("doc").orderBy(F.xxhash64("text"))).cast("long"))
-    # Copies: only hashes of the texts are dealt.
-    hashed = rows.select("doc", F.md5("text").alias("hash"))
-    earliest = hashed.groupBy("hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-    copies = hashed.join(earliest, "hash").where("doc > least").groupBy("doc").agg(F.collect_set("hash").alias("_hashes"))
+    # Texts of one doc_id are numbered, almost always by 1, which takes little room in a shuffle; 0: no doc_id.
+    rank = F.dense_rank().over(W.partitionBy("doc").orderBy(F.xxhash64("text")))
+    tagged = dealt.withColumn("tag", F.when(F.col("named"), rank).otherwise(0))
+    # Copies: only hashes of the texts are dealt. Texts without a doc_id come first.
+    hashed = rows.select("doc", "named", F.struct("named", "doc").alias("at"), F.md5("text").alias("hash"))
+    earliest = hashed.groupBy("hash").agg(F.min("at").alias("least"), F.max("at").alias("most")).where("least < most")
+    copies = hashed.join(earliest, "hash").where("at > least").groupBy("doc").agg(F.collect_set("hash").alias("_hashes"))
     texts = tagged.join(copies, "doc", "left").select(
-        "doc", "tag", "text", F.coalesce(F.array_contains("_hashes", F.md5("text")), F.lit(False)).alias("copy"))
+        "doc", "tag", "text", F.coalesce(
+            (F.col("tag") > 0) & F.array_contains("_hashes", F.md5("text")), F.lit(False)).alias("copy"))
 
-    found = texts.select("doc", "tag", "text", "copy").mapInArrow(_find_runs, "key long, doc long, loc long, kind byte")
+    found = texts.select("doc", "tag", "text", "copy").mapInArrow(_find_runs, "key long, doc long, tag int, loc long, kind byte")
     route = F.when(F.col("kind") == KNOWN, F.xxhash64("doc", "loc")).otherwise(F.col("key"))
-    recurring = found.repartition(n, route).mapInArrow(_recurring, "key long, doc long, loc long, split boolean")
-    lists = recurring.groupBy("doc").agg(F.collect_list(F.struct("loc", "key", "split")).alias("runs"))
+    recurring = found.repartition(n, route).mapInArrow(_recurring, "key long, doc long, tag int, loc long, split boolean")
+    lists = recurring.groupBy("doc").agg(F.collect_list(F.struct("loc", "key", "split", "tag")).alias("runs"))
 
-    ordered = tagged.join(lists, "doc").select("doc", "tag", "text", "runs").sortWithinPartitions("doc")
+    ordered = tagged.join(lists, "doc").select("doc", "tag", "text", "runs").sortWithinPartitions(F.col("tag") > 0, "doc", "tag")
     pieces = ordered.mapInArrow(
-        _cut_pieces, "key long, doc long, loc long, split boolean, piece binary")
+        _cut_pieces, "key long, doc long, tag int, loc long, split boolean, piece binary")
     route = (F.when(F.col("piece").isNull(), F.xxhash64("doc", "loc"))
              .when(F.col("split"), F.xxhash64("key", F.pmod("doc", F.lit(SALTS)))).otherwise(F.col("key")))
     sorted_ = pieces.repartition(n, route).sortWithinPartitions("key").mapInArrow(
-        _sort_pieces, "doc long, loc long, string binary")
+        _sort_pieces, "doc long, tag int, loc long, string binary")
     route = F.when(F.col("string").isNull(), F.xxhash64("doc", "loc")).otherwise(F.xxhash64("string"))
-    covered = (sorted_.repartition(n, route).sortWithinPartitions("string", "doc", "loc")
-               .mapInArrow(_settle_split, "doc long, loc long")
-               .groupBy("doc").agg(F.collect_list("loc").alias("covered")))
-    ids = F.when(F.col("doc") != FIRST_ID, F.col("doc")).alias("doc_id")
+    covered = (sorted_.repartition(n, route).sortWithinPartitions("string", F.col("tag") > 0, "doc", "tag", "loc")
+               .mapInArrow(_settle_split, "doc long, tag int, loc long")
+               .groupBy("doc").agg(F.collect_list(F.struct("loc", "tag")).alias("covered")))
+    ids = F.when(F.col("tag") > 0, F.col("doc")).alias("doc_id")
     return texts.join(covered, "doc", "left").select(ids, "tag", "text", "copy", "covered").mapInArrow(
         _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

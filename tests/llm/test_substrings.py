@@ -108,3 +108,15 @@ def test_odd_rows(make):
     # A run of w repeats itself one byte on: all of it but its first byte is covered.
     assert got == [(0, 160, 119), (4, 0, 0), (4, 160, 160), (9, 130, 129), (9, 130, 129)]
     assert S.remove_repeats(make(t).limit(0)).count() == 0
+
+
+def test_many_texts_without_a_doc_id(make, spark):
+    """More of them than fit into 16 bits, in the order of their hashes."""
+    long = "".join(chr(97 + i * 7 % 26) + str(i) for i in range(60))
+    texts = [f"t{i}" for i in range(70_000)] + [f"{i} {long} {i * i} {long[:120]}" for i in range(60)]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(1, texts[-1]), (-5, long)], "doc_id long, text string")
+    order = docs.where("length(text) > 99").selectExpr(
+        "doc_id is not null as named", "coalesce(doc_id, xxhash64(text)) as doc_id", "text").orderBy("named", "doc_id").collect()
+    wanted = sorted(x[1:] for x in brute([(r["doc_id"], r["text"]) for r in order]))
+    got = S.remove_repeats(docs).where("n_bytes > 99").collect()
+    assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == wanted
