@@ -3,8 +3,9 @@
 Words lose their punctuation and case; numbers, units and names (capitalised words inside a
 sentence) become placeholders of their type and are remembered as slot values. Windows of
 ``WINDOW`` such tokens are hashed. A document's windows are looked up among those of the
-benchmark; matches of an item at one offset must map its slot values to the document's
-consistently (one value to one value), or their windows with slots don't count. A document
+benchmark; matches of an item at one offset must map its names to the document's consistently
+(one name to one name), or the windows that hold a name in conflict don't count. Numbers and
+units may take any values: equal ones may become different, and different ones equal. A document
 is contaminated by an item if ``AT_LEAST`` of the item's windows are matched in it.
 
 The benchmark's windows travel to all tasks in slices of at most ``MOST_SENT``; each slice is
@@ -31,6 +32,9 @@ WINDOW, AT_LEAST = 5, 0.8
 MOST_SENT = 2_000_000
 REMEMBERED = 200_000
 
+#: Tokens of the types.
+NUMBER, UNIT, NAME = 3, 5, 7
+
 UNITS = frozenset("""% $ € £ ° °c °f mm cm m km mg g kg t ml l s sec secs second seconds min mins minute
 minutes h hour hours day days week weeks month months year years inch inches ft foot feet mile miles
 mph kmh km/h m/s lb lbs pound pounds oz usd eur dollar dollars euro euros cent cents percent""".split())
@@ -63,11 +67,11 @@ class Tokens:
         if not core:
             first = later = slot = 0
         elif _NUMBER.match(low):
-            first, later, slot = 3, 3, _hash(low)
+            first, later, slot = NUMBER, NUMBER, _hash(low)
         elif low in UNITS:
-            first, later, slot = 5, 5, _hash(low)
+            first, later, slot = UNIT, UNIT, _hash(low)
         elif len(core) > 1 and core[0].isupper() and core[1:].islower():
-            first, later, slot = _hash(low), 7, _hash(low)
+            first, later, slot = _hash(low), NAME, _hash(low)
         else:
             first, slot = _hash(low), 0
             later = first
@@ -96,7 +100,7 @@ class Tokens:
         starts = np.concatenate([[True], np.frombuffer(self.ends, "i1")[at[:-1]] > 0])
         token = np.where(starts, first, later)
         # A word that stands for itself has no slot.
-        slot = np.where((token == first) & (first > 7), 0, slot)
+        slot = np.where((token == first) & (first > NAME), 0, slot)
         some = token > 0
         return token[some], slot[some]
 
@@ -115,7 +119,7 @@ class Index:
     """Windows of some items in order of their hashes, and the items' slot values."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        tokens, hashes, item, place, self.slots, counts = Tokens(), [], [], [], [], []
+        tokens, hashes, item, place, self.tokens, self.slots, counts = Tokens(), [], [], [], [], [], []
         self.ids = [i for i, _ in items]
         for n, (_, text) in enumerate(items):
             token, slot = tokens.of(text)
@@ -123,6 +127,7 @@ class Index:
             hashes.append(w)
             item.append(np.full(len(w), n))
             place.append(np.arange(len(w)))
+            self.tokens.append(token)
             self.slots.append(slot)
             counts.append(len(np.unique(w)))
         join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
@@ -152,9 +157,14 @@ class Index:
                 continue
             good, same = [], [np.zeros(0, "u8")]
             shift = at[mine] - place[mine]
+            # A window of the document counts at one offset, that with most matches: where an
+            # item repeats itself, a name in conflict would be consistent at another one.
+            _, which, n = np.unique(shift, return_inverse=True, return_counts=True)
+            order = np.lexsort((-n[which], at[mine]))
+            best = order[np.diff(at[mine][order], prepend=-1) != 0]
+            mine, shift = np.flatnonzero(mine)[best], shift[best]
             for s in np.unique(shift):
-                here = mine.copy()
-                here[mine] = shift == s
+                here = mine[shift == s]
                 good_here, same_here = self._consistent(i, at[here], place[here], slot)
                 good.append(self.hashes[entry[here][good_here]])
                 if same_here:
@@ -165,12 +175,15 @@ class Index:
 
     def _consistent(self, i: int, at: np.ndarray, place: np.ndarray, slot: np.ndarray):
         """Windows at one offset that count, and whether all slot values are equal."""
-        steps = np.arange(WINDOW)
-        own, theirs = self.slots[i][place[:, None] + steps], slot[at[:, None] + steps]
-        filled = (own > 0) | (theirs > 0)
-        pairs = np.unique(np.stack([own[filled], theirs[filled]]), axis=1)
-        one_to_one = all(len(np.unique(p)) == len(p) for p in pairs)
-        return (np.ones(len(at), bool) if one_to_one else ~filled.any(1)), bool((own == theirs).all())
+        where = place[:, None] + np.arange(WINDOW)
+        own, theirs = self.slots[i][where], slot[at[:, None] + np.arange(WINDOW)]
+        name = self.tokens[i][where] == NAME
+        pairs = np.unique(np.stack([own[name], theirs[name]]), axis=1)
+        bad = np.zeros(own.shape, bool)
+        for values, side in zip((own, theirs), pairs):
+            value, n = np.unique(side, return_counts=True)
+            bad |= name & np.isin(values, value[n > 1])
+        return ~bad.any(1), bool((own == theirs).all())
 
 
 RESULT = "item_id long, share double, n_windows long, same_values boolean"
