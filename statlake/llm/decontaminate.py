@@ -6,11 +6,15 @@ sentence) become placeholders of their type and are remembered as slot values. W
 benchmark; matches of an item at one offset must map its names to the document's consistently
 (one name to one name), or the windows that hold a name in conflict don't count. Numbers and
 units may take any values: equal ones may become different, and different ones equal. A document
-is contaminated by an item if ``AT_LEAST`` of the item's windows are matched in it.
+is contaminated by an item if ``AT_LEAST`` of the item's windows are matched in it, or a passage
+of ``PASSAGE`` tokens at one offset, or (items of ``EDITED_FROM`` tokens or more) if ``AT_LEAST``
+of the item's tokens are equal, two side by side at least, at one offset and those near it where
+words were put in or left out, with no name in conflict. ``share`` is that of the windows.
 
 The benchmark's windows travel to all tasks in slices of at most ``MOST_SENT``; each slice is
 one pass over the documents, and documents are never shuffled. Results for odd input: NULL
-and short texts match nothing; items with fewer tokens than a window are never found; copies
+and empty texts match nothing; items with fewer tokens than a window are found as a whole, and
+by their own values if all tokens are placeholders; copies
 of an item are items of their own; repeated rows get equal results; no benchmark: nothing is
 contaminated. Other columns of the documents stay as they are.
 """
@@ -29,6 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 from statlake.llm.common import in_small_batches, mixed, packed, text_or_empty, unpacked, words_of
 
 WINDOW, AT_LEAST = 5, 0.8
+PASSAGE, EDITED_FROM = 13, 10
 MOST_SENT = 2_000_000
 REMEMBERED = 200_000
 
@@ -105,16 +110,25 @@ class Tokens:
         return token[some], slot[some]
 
 
-def windows(token: np.ndarray) -> np.ndarray:
-    n = len(token) - WINDOW + 1
+def windows(token: np.ndarray, width: int = WINDOW) -> np.ndarray:
+    n = len(token) - width + 1
     if n <= 0:
         return np.zeros(0, "u8")
     out = np.zeros(n, "u8")
-    for k in range(WINDOW):
+    for k in range(width):
         out += mixed(token[k:k + n]) * _POWERS[k]
     return mixed(out)
 
 
+def _longest(places: np.ndarray) -> int:
+    """Length of the longest run of consecutive places."""
+    if not len(places):
+        return 0
+    places = np.unique(places)
+    cut = np.flatnonzero(np.diff(places) != 1) + 1
+    return int(np.diff(np.concatenate([[0], cut, [len(places)]])).max())
+
+
 class Index:
     """Windows of some items in order of their hashes, and the items' slot values."""
 
@@ -135,9 +149,51 @@ class Index:
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.item, self.place = hashes[order], self.item[order], self.place[order]
         self.counts = np.array(counts, "i8")
+        self.all = join(self.tokens, "u8")
+        self.lengths = np.array([len(t) for t in self.tokens], "i8")
+        self.base = np.cumsum(self.lengths) - self.lengths
+        #: Items shorter than a window by length and hash.
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for n, token in enumerate(self.tokens):
+            if 0 < len(token) < WINDOW:
+                self.short.setdefault(len(token), {}).setdefault(int(windows(token, len(token))[0]), []).append(n)
 
     def matches(self, token: np.ndarray, slot: np.ndarray) -> list[tuple[int, float, int, bool]]:
         """item_id, share of its windows, windows, whether enough have its own slot values."""
+        return self._long(token, slot) + self._whole(token, slot)
+
+    def _whole(self, token: np.ndarray, slot: np.ndarray) -> list[tuple[int, float, int, bool]]:
+        """Items shorter than a window."""
+        found: dict[int, bool] = {}
+        for width, items in self.short.items():
+            w = windows(token, width)
+            for at in np.flatnonzero(np.isin(w, np.array(list(items), "u8"))).tolist():
+                theirs = slot[at:at + width]
+                for i in items[int(w[at])]:
+                    same = bool((self.slots[i] == theirs).all())
+                    name = self.tokens[i] == NAME
+                    pairs = set(zip(self.slots[i][name].tolist(), theirs[name].tolist()))
+                    one_to_one = all(len({p[k] for p in pairs}) == len(pairs) for k in (0, 1))
+                    if same or one_to_one and (self.tokens[i] > NAME).any():
+                        found[i] = found.get(i, False) or same
+        return [(self.ids[i], 1.0, 1, same) for i, same in found.items()]
+
+    def _equal(self, token: np.ndarray, item: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each item at an offset, which of its tokens are equal (two at least side by side)
+        in one array, and the number of the pair of each."""
+        n = self.lengths[item]
+        pair = np.repeat(np.arange(len(item)), n)
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = shift[pair] + place
+        equal = (at >= 0) & (at < len(token))
+        equal &= self.all[self.base[item][pair] + place] == token[np.clip(at, 0, len(token) - 1)]
+        both = equal[1:] & equal[:-1] & (pair[1:] == pair[:-1])
+        equal[:] = False
+        equal[1:] |= both
+        equal[:-1] |= both
+        return equal, pair
+
+    def _long(self, token: np.ndarray, slot: np.ndarray) -> list[tuple[int, float, int, bool]]:
         w = windows(token)
         if not len(w) or not len(self.hashes):
             return []
@@ -150,12 +206,21 @@ class Index:
         entry = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at, item, place = np.repeat(hit, n), self.item[entry], self.place[entry]
         out = []
-        for i in np.unique(item):
+        key, n_at = np.unique((item << 32) + (at - place + (1 << 31)), return_counts=True)
+        key_item, key_shift = key >> 32, (key & 0xFFFFFFFF) - (1 << 31)
+        equal, pair = self._equal(token, key_item, key_shift)
+        items, first = np.unique(key_item, return_index=True)
+        sums = np.add.reduceat(np.bincount(pair, equal, len(key)), first)
+        edited = (self.lengths[items] >= EDITED_FROM) & (sums >= AT_LEAST * self.lengths[items])
+        passage = np.maximum.reduceat(n_at, first) > PASSAGE - WINDOW
+        for i, may_edited, may_passage in zip(items, edited, passage):
             mine = item == i
             # Far too few windows whatever the slots say.
-            if len(np.unique(self.hashes[entry[mine]])) < AT_LEAST * self.counts[i]:
+            if not may_edited and not may_passage and len(
+                    np.unique(self.hashes[entry[mine]])) < AT_LEAST * self.counts[i]:
                 continue
             good, same = [], [np.zeros(0, "u8")]
+            run, run_same, covers = False, False, []
             shift = at[mine] - place[mine]
             # A window of the document counts at one offset, that with most matches: where an
             # item repeats itself, a name in conflict would be consistent at another one.
@@ -169,9 +234,22 @@ class Index:
                 good.append(self.hashes[entry[here][good_here]])
                 if same_here:
                     same.append(good[-1])
+                places = place[here][good_here]
+                if _longest(places) > PASSAGE - WINDOW:
+                    run, run_same = True, run_same or same_here
+                if may_edited and good_here.all():
+                    k = np.searchsorted(key, (i << 32) + (s + (1 << 31)))
+                    covers.append((len(here), s, same_here, equal[pair == k]))
             n_good, n_same = (len(np.unique(np.concatenate(x))) for x in (good, same))
-            out.append((self.ids[i], n_good / self.counts[i], n_good, n_same >= AT_LEAST * self.counts[i]))
-        return [x for x in out if x[1] >= AT_LEAST]
+            enough, enough_same = (x >= AT_LEAST * self.counts[i] for x in (n_good, n_same))
+            if covers:
+                main = max(covers, key=lambda c: c[0])[1]
+                close = [c for c in covers if abs(c[1] - main) <= (1 - AT_LEAST) * self.lengths[i]]
+                if np.any([c[3] for c in close], axis=0).sum() >= AT_LEAST * self.lengths[i]:
+                    enough, enough_same = True, enough_same or all(c[2] for c in close)
+            if enough or run:
+                out.append((self.ids[i], n_good / self.counts[i], n_good, bool(enough_same or run_same)))
+        return out
 
     def _consistent(self, i: int, at: np.ndarray, place: np.ndarray, slot: np.ndarray):
         """Windows at one offset that count, and whether all slot values are equal."""

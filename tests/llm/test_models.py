@@ -227,6 +227,25 @@ def test_numbers_of_a_template_are_free():
     assert found_in([names], names.replace("Anna", "Bert")) == []
 
 
+def test_passages_and_edited_copies():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    item = [word() for _ in range(15)]
+    long = [word() for _ in range(60)]
+    around = lambda w: " ".join([word() for _ in range(30)] + w + [word() for _ in range(30)])
+    both = [" ".join(item), " ".join(long)]
+    assert found_in(both, around(long[20:50])) == [1] and found_in(both, around(long[20:33])) == [1]
+    assert found_in(both, around(long[20:32])) == []
+    assert found_in(both, around(item[:7] + [word()] + item[8:])) == [0]
+    assert found_in(both, around(item[:7] + item[8:])) == [0]
+    assert found_in(both, around(item[:7] + [word()] + item[7:])) == [0]
+    assert found_in(both, around(item[:7])) == [] and found_in(both, around([])) == []
+    short = ["who wrote faust", "12 km"]
+    assert found_in(short, "Tell me : who wrote Faust ?") == []
+    assert found_in(short, "Tell me : who wrote faust ?") == [0]
+    assert found_in(short, "go 12 km and 13 km") == [1] and found_in(short, "go 13 km") == []
+
+
 def test_targets():
     sizes, weights = np.array([100, 1000, 10, 0, 500]), np.array([5.0, 2.0, 1.0, 5.0, 2.0])
     t = mixing.targets(sizes, weights)
