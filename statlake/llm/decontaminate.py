@@ -12,7 +12,7 @@ of the item's tokens are equal, two side by side at least, at one offset and tho
 words were put in or left out, with no name in conflict. ``share`` is that of the windows.
 
 The benchmark's windows travel to all tasks in slices of at most ``MOST_SENT``; each slice is
-one pass over the documents, and documents are never shuffled. Results for odd input: NULL
+one pass over the documents, written before the next is sent, and documents are never shuffled. Results for odd input: NULL
 and empty texts match nothing; items with fewer tokens than a window are found as a whole, and
 by their own values if all tokens are placeholders; copies
 of an item are items of their own; repeated rows get equal results; no benchmark: nothing is
@@ -24,13 +24,12 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from statlake.llm.common import in_small_batches, mixed, packed, text_or_empty, unpacked, words_of
+from statlake.llm.common import in_small_batches, kept, mixed, packed, text_or_empty, unpacked, words_of
 
 WINDOW, AT_LEAST = 5, 0.8
 PASSAGE, EDITED_FROM = 13, 10
@@ -293,8 +292,17 @@ def indexes(benchmark: DataFrame, most: int = MOST_SENT) -> Iterator[Index]:
 def marked(docs: DataFrame, benchmark: DataFrame, most: int = MOST_SENT) -> DataFrame:
     """``docs`` with ``_items``: the items found in each (item_id, share, windows, values)."""
     context = in_small_batches(docs).sparkSession.sparkContext
-    found = [_finder(context.broadcast(index))(text_or_empty()) for index in indexes(benchmark, most)]
-    return docs.withColumn("_items", reduce(F.concat, found))
+    shared = None
+    for index in indexes(benchmark, most):
+        first = shared is None
+        if not first:
+            # The last slice's pass is written before this slice is sent: the driver holds two, tasks one.
+            docs = kept(docs, "marked")
+            shared.destroy()
+        shared = context.broadcast(index)
+        found = _finder(shared)(text_or_empty())
+        docs = docs.withColumn("_items", found if first else F.concat("_items", found))
+    return docs
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -212,6 +212,16 @@ def test_templates(spark, make):
     assert decontaminate.clean(make(texts).limit(0), bench).count() == 0
 
 
+def test_slices_are_sent_one_after_another(spark, make, monkeypatch):
+    bench = spark.createDataFrame([(i, ITEM.replace("arrives", f"arrives{i}")) for i in range(6)], "item_id long, text string")
+    steps, indexes, kept = [], decontaminate.indexes, decontaminate.kept
+    monkeypatch.setattr(decontaminate, "indexes", lambda *x: (steps.append("slice") or i for i in indexes(*x)))
+    monkeypatch.setattr(decontaminate, "kept", lambda *x: steps.append("written") or kept(*x))
+    rows = decontaminate.marked(make([ITEM, "none"]), bench, most=150).collect()
+    assert steps.count("slice") > 2 and steps == ["slice"] + ["slice", "written"] * (steps.count("slice") - 1)
+    assert {r["doc_id"]: len(r["_items"]) for r in rows} == {0: 6, 1: 0}
+
+
 def found_in(items, text):
     return [i for i, *_ in decontaminate.Index(list(enumerate(items))).matches(*decontaminate.Tokens().of(text))]
 
