@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from statlake.llm import decontaminate, language, lines, mixing, neardup, pii, resampling, rules, substrings, tokens
+from statlake.llm import (codes, collocations, decontaminate, language, lines, mixing, neardup, pii, resampling,
+                          rules, substrings, tokens, toxicity)
 from statlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +148,77 @@ FROM told GROUP BY doc_id"""
 @query(LINES)
 def op4_lines(spark, folder):
     return lines.counted(documents(spark, folder))
+
+
+@query()
+def op11_toxicity(spark, folder):
+    part = "crc32(cast(doc_id as string)) % 5"
+    docs = documents(spark, folder)
+    lexicon = toxicity.learn(docs, spark.read.parquet(f"{folder}/labels.parquet"), f"{part} <> 0")
+    found = toxicity.scored(docs.select("doc_id", "text"), lexicon)
+    score = F.col("toxicity.score")
+    return found.select("doc_id", F.coalesce(F.expr(f"{part} = 0"), F.lit(False)).alias("held_out"),
+                        score.alias("score"), (score >= 0.5).cast("int").alias("predicted"),
+                        F.size("toxicity.hits").cast("long").alias("n_hits"))
+
+
+def _codes_sql() -> str:
+    """Rounds of nearest entries and rounded means; whole numbers in doubles are exact here."""
+    near = """a{0} AS MATERIALIZED (SELECT vec_id, part, v, min({{'d': list_inner_product(v, v)
+    - 2 * list_inner_product(v, c) + list_inner_product(c, c), 'e': entry}}) AS m
+  FROM p JOIN c{0} USING (part) GROUP BY vec_id, part, v)"""
+    mean = """m{0} AS (SELECT part, entry, list(x ORDER BY i) AS v FROM (SELECT part, m.e AS entry, u.i, floor(sum(v[u.i]) / count(*)) AS x
+  FROM a{0}, unnest(range(1, len(v) + 1)) AS u(i) GROUP BY part, m.e, u.i) GROUP BY part, entry),
+c{1} AS MATERIALIZED (SELECT part, entry, coalesce(m{0}.v, c) AS c FROM c{0} LEFT JOIN m{0} USING (part, entry))"""
+    rounds = ",\n".join(f"{near.format(k)},\n{mean.format(k, k + 1)}" for k in range(codes.ROUNDS))
+    last = codes.ROUNDS
+    return f"""
+WITH x AS (SELECT vec_id, label, embedding AS e FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, u.k AS part, list_transform(e[u.k * len(e) // 4 + 1:(u.k + 1) * len(e) // 4],
+  lambda x: floor(1024 * x::DOUBLE)) AS v FROM x, unnest(range(0, 4)) AS u(k)),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v AS c FROM p
+  QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id) <= {codes.ENTRIES}),
+{rounds},
+{near.format(last)},
+coded AS (SELECT vec_id, string_agg(printf('%02x', m.e::INT), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error
+  FROM a{last} GROUP BY vec_id),
+book AS (SELECT sha256(string_agg(u.x::BIGINT::VARCHAR, ',' ORDER BY part, entry, u.i)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(c) AS x, unnest(range(0, len(c))) AS i FROM c{last}) u)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN x USING (vec_id) CROSS JOIN book"""
+
+
+@query(_codes_sql())
+def op12_codes(spark, folder):
+    coded, codebook = codes.compressed(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(None if codebook is None else codes.fingerprint(codebook)).cast("string").alias("codebooks_sha256"))
+
+
+COLLOCATIONS = rf"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t)),
+g AS (SELECT lang, k.k, array_to_string(w[i.i:i.i + k.k - 1], ' ') AS phrase
+  FROM w, unnest(range(1, 4)) AS k(k), unnest(range(1, len(w) - k.k + 2)) AS i(i)),
+c AS (SELECT lang, phrase, k, count(*) AS f FROM g GROUP BY lang, phrase, k),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
+p AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM c WHERE k >= 2 AND f >= {collocations.LEAST}),
+inner_of AS (SELECT lang, array_to_string(w[u.i:u.i + 1], ' ') AS phrase, max(a) AS f
+  FROM p, unnest([1, 2]) AS u(i) WHERE k = 3 GROUP BY ALL),
+cut AS (SELECT p.lang, p.phrase, a, u.i, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM p, unnest(range(1, k)) AS u(i)
+  JOIN c x ON x.lang = p.lang AND x.phrase = array_to_string(w[1:u.i], ' ')
+  JOIN c y ON y.lang = p.lang AND y.phrase = array_to_string(w[u.i + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY p.lang, p.phrase ORDER BY score, u.i) = 1),
+ranked AS (SELECT cut.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM cut LEFT JOIN inner_of USING (lang, phrase) WHERE inner_of.f IS NULL OR 100 * inner_of.f < {collocations.ABSORBED} * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= {collocations.TOP}"""
+
+
+@query(COLLOCATIONS)
+def op13_collocations(spark, folder):
+    return collocations.top(documents(spark, folder))
