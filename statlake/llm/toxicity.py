@@ -25,6 +25,7 @@ long texts take time and memory in proportion to their length. Other columns sta
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -63,8 +64,15 @@ INVISIBLE = re.compile("[­​-‏‪-‮⁠﻿]")
 
 _OTHER = re.compile("[ıɑɡͰ-ԯⅼ]")
 _WORD = re.compile(r"[^\W_]+")
-_MIXED = re.compile(r"[^\W_]*(?:[^\W\d_][0134578]|[0134578][^\W\d_])[^\W_]*")
-_SIGN = re.compile(r"(?<=[^\W_])[@$!|]+(?=[^\W\d_])|(?<![^\W_])[@$]+(?=[^\W\d_])")
+#: Marks around most words; none of them stands for a letter there.
+_MARKS = ".,;:!?\"'()"
+_SIGN = re.compile(r"[@$!|]+(?=[^\W\d_])")
+
+
+def _as_letters(m: re.Match) -> str:
+    """Signs before a letter as letters; "!" and "|" only within a word."""
+    inside = m.start() and m.string[m.start() - 1].isalnum()
+    return m[0].translate(STANDS_FOR) if inside or not set(m[0]) & {"!", "|"} else m[0]
 
 
 def folded(text: str) -> str:
@@ -74,9 +82,14 @@ def folded(text: str) -> str:
     text = text.casefold()
     if not text.isascii() and _OTHER.search(text):
         text = text.translate(LOOKS_LIKE)
-    text = _SIGN.sub(lambda m: m[0].translate(STANDS_FOR), text)
-    text = _MIXED.sub(lambda m: m[0].translate(STANDS_FOR), text)
-    return "".join(f" {w}" for w in _WORD.findall(text)) + " "
+    words = []
+    for token in text.split():
+        if token.isalpha() or (token := token.strip(_MARKS)).isalpha():
+            words.append(token)
+        else:
+            found = _WORD.findall(_SIGN.sub(_as_letters, token))
+            words += [w if w.isalpha() or w.isdigit() else w.translate(STANDS_FOR) for w in found]
+    return f" {' '.join(words)} " if words else " "
 
 
 @dataclass
@@ -119,16 +132,16 @@ class Lexicon:
                 found.append((start, start + len(entry), entry))
         return found
 
-    def features(self, text: str) -> tuple[float, float]:
+    def features(self, text: str, hits: list[tuple[int, int, str]]) -> tuple[float, float]:
         """The weight of a folded text, and by its length."""
-        weight = sum(self.entries[e] for _, _, e in self.hits(text))
-        return float(np.log1p(weight)), float(np.log1p(100 * weight / (text.count(" ") + 20)))
+        weight = sum(self.entries[e] for _, _, e in hits)
+        return math.log1p(weight), math.log1p(100 * weight / (text.count(" ") + 20))
 
-    def score(self, text: str) -> float:
+    def score(self, text: str, hits: list[tuple[int, int, str]]) -> float:
         if not self.entries:
             return 0.0
-        x = self.curve[0] + np.dot(self.curve[1:], self.features(text))
-        return float(1 / (1 + np.exp(-x)))
+        x = self.curve[0] + sum(b * f for b, f in zip(self.curve[1:], self.features(text, hits)))
+        return 1 / (1 + math.exp(-max(min(x, 700.0), -700.0)))
 
 
 def sampled(labels: DataFrame, learned_from: str, sample: int) -> DataFrame:
@@ -243,7 +256,7 @@ def learn(docs: DataFrame, labels: DataFrame, learned_from: str = "true", sample
     lexicon.exceptions = frozenset(r["term"] for r in spared) | {folded(e) for e in exceptions}
     lexicon._matcher = None
     # Two numbers and a label for each row of the sample.
-    measure = F.pandas_udf(lambda texts: texts.map(lambda t: list(lexicon.features(t))), "array<double>")
+    measure = F.pandas_udf(lambda texts: texts.map(lambda t: list(lexicon.features(t, lexicon.hits(t)))), "array<double>")
     points = rows.select("toxic", measure("folded").alias("x")).toPandas()
     lexicon.curve = fit_curve(np.array(points["x"].tolist()), points["toxic"].to_numpy("f8"))
     return lexicon
@@ -259,8 +272,9 @@ def scored(docs: DataFrame, lexicon: Lexicon, name: str = "toxicity") -> DataFra
         rows = []
         for text in texts:
             text = folded(text.as_py())
-            rows.append({"score": lexicon.score(text), "n_words": text.count(" ") - 1,
-                         "hits": [e.strip() for _, _, e in lexicon.hits(text)]})
+            hits = lexicon.hits(text)
+            rows.append({"score": lexicon.score(text, hits), "n_words": text.count(" ") - 1,
+                         "hits": [e.strip() for _, _, e in hits]})
         return pa.array(rows, pa.struct([("score", pa.float64()), ("n_words", pa.int64()),
                                          ("hits", pa.list_(pa.string()))]))
 

@@ -54,7 +54,8 @@ def test_stems_and_disguises_are_learned_and_found(spark, make, texts):
 
 def test_longer_texts_score_lower():
     lexicon = toxicity.Lexicon({" blorg": 4.0}, curve=(-6.0, 0.5, 2.0))
-    scores = [lexicon.score(toxicity.folded("blorgen " + "river " * n)) for n in (1, 100, 10_000)]
+    texts = [toxicity.folded("blorgen " + "river " * n) for n in (1, 100, 10_000)]
+    scores = [lexicon.score(t, lexicon.hits(t)) for t in texts]
     assert scores == sorted(scores, reverse=True) and scores[0] > scores[2]
 
 
