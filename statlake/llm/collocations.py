@@ -43,10 +43,12 @@ LEAST = 10
 LONGEST = 3
 #: A candidate is part of a longer one that has this share of its count (per cent).
 ABSORBED = 50
-TOP = 2000
+TOP, SALTS = 2000, 16
 BITS = 1 << 26
 #: Words, or different phrases, that a task holds before it hands its sums on; words in a slice.
-WORDS_HELD, PHRASES_HELD, SLICE = 1 << 19, 1_000_000, 1 << 18
+WORDS_HELD, PHRASES_HELD, SLICE = 1 << 18, 400_000, 1 << 16
+#: Rows of a batch handed on.
+SENT = 50_000
 RANGE = 100_000
 
 #: What ends a piece. Every one becomes a word of its own, which no phrase holds.
@@ -131,22 +133,23 @@ class Held:
     def full(self) -> bool:
         return self.n > WORDS_HELD or self.pending > PHRASES_HELD and len(self.keys) == 1
 
-    def rows(self) -> pa.RecordBatch:
+    def rows(self) -> Iterator[pa.RecordBatch]:
         """All that is held, as language, phrase and count."""
         if not self.keys:
             self.clear()
-            return _rows([], [], [])
+            return
         self._merge()
         words, langs = np.empty(self.n, object), np.empty(self.n, object)
         for lang, own in self.words.items():
             at = np.fromiter(own.values(), "i8", len(own))
             words[at], langs[at] = list(own), lang
         words, langs = pa.array(words, pa.binary()), pa.array(langs, pa.binary())
-        parts = [self.keys[0] >> 21 * k & (1 << 21) - 1 for k in range(self.size)][::-1]
-        phrase = pc.binary_join_element_wise(*[words.take(pa.array(p)) for p in parts], b" ")
-        out = _rows(langs.take(pa.array(parts[0])), phrase, self.counts[0])
+        keys, counts = self.keys[0], self.counts[0]
         self.clear()
-        return out
+        for at in range(0, len(keys), SENT):
+            parts = [keys[at:at + SENT] >> 21 * k & (1 << 21) - 1 for k in range(self.size)][::-1]
+            phrase = pc.binary_join_element_wise(*[words.take(pa.array(p)) for p in parts], b" ")
+            yield _rows(langs.take(pa.array(parts[0])), phrase, counts[at:at + SENT])
 
 
 def _rows(langs, phrases, counts) -> pa.RecordBatch:
@@ -176,10 +179,13 @@ def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and, under the empty phrase, the number of all words of the language."""
     found: dict[bytes, Counter] = defaultdict(Counter)
 
-    def rows() -> pa.RecordBatch:
-        flat = [(lang, w, n) for lang, words in found.items() for w, n in words.items()]
+    def rows() -> Iterator[pa.RecordBatch]:
+        for lang, own in found.items():
+            words, n = list(own), list(own.values())
+            for at in range(0, len(words), SENT):
+                some = words[at:at + SENT]
+                yield _rows([lang] * len(some), some, n[at:at + SENT])
         found.clear()
-        return _rows(*map(list, zip(*flat))) if flat else _rows([], [], [])
 
     for lang, words in _slices(batches, 0):
         own = found[lang]
@@ -187,8 +193,8 @@ def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         breaks = own.pop(BREAK, 0)
         own[b""] += len(words) - breaks
         if sum(map(len, found.values())) > WORDS_HELD:
-            yield rows()
-    yield rows()
+            yield from rows()
+    yield from rows()
 
 
 def _frequent(docs: DataFrame, counter: Callable) -> DataFrame:
@@ -231,8 +237,8 @@ def counted(docs: DataFrame) -> DataFrame:
             for lang, words in _slices(batches, size - 1):
                 held.add(lang, words)
                 if held.full():
-                    yield held.rows()
-            yield held.rows()
+                    yield from held.rows()
+            yield from held.rows()
 
         levels.append(_frequent(rows, count_phrases))
     return levels[0].unionByName(levels[1]).unionByName(levels[2])
@@ -357,8 +363,13 @@ def _with_score(found: DataFrame) -> DataFrame:
 def top(docs: DataFrame, k: int = TOP) -> DataFrame:
     """The ``k`` best of every language: lang, rank, phrase, a, l, r, n, score."""
     phrases = counted(docs)
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored(phrases).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    order = F.desc("score"), F.desc("a"), F.col("phrase")
+    # First among the phrases of a salt: the last choice sees k rows of each salt at most.
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
+    ranked = scored(phrases)
+    for group in (("lang", salt), ("lang",)):
+        best = Window.partitionBy(*group).orderBy(*order)
+        ranked = ranked.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     total = phrases.where("phrase = ''").select("lang", F.col("f").alias("n"))
     return ranked.join(total, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
