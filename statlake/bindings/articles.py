@@ -9,11 +9,12 @@ from statlake.functions import text as tx
 from statlake.functions.metrics import experiment_summary as summary_of
 from statlake.functions.metrics import ranking_metrics as metrics_of
 from statlake.operators import flatten
-from statlake.operators.topk import cosine_top_k
+from statlake.operators.topk import block_top_k, cosine_top_k
 from statlake.operators.windows import history_window as history_of
 from statlake.plans import marts, retrieval
 from statlake.session import scratch_dir
 from statlake.sources import files
+from statlake.sources.lake import Lake
 
 # ---------------------------------------------------------------- text
 
@@ -431,16 +432,53 @@ def topk_cosine(spark, d):
     return cosine_top_k(_questions(spark, d), _corpus(spark, d), 25)
 
 
-@query("""
+MANY = """
 WITH s AS (SELECT a.vec_id AS query_id, b.vec_id AS id,
   round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS score
-  FROM embeddings a, embeddings b)
+  FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0)
 SELECT query_id, (row_number() OVER w)::INTEGER AS rank, id, score FROM s
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 10
-""")
-def topk_many(spark, d):
+"""
+
+
+def _many(spark, d, search):
+    """The rows whose id is divisible by 50 against all rows."""
     corpus = _corpus(spark, d)
-    return cosine_top_k(corpus.withColumnRenamed("id", "query_id"), corpus, 10)
+    return search(corpus.withColumnRenamed("id", "query_id").where("query_id % 50 = 0"), corpus, 10)
+
+
+@query(MANY)
+def topk_many(spark, d):
+    return _many(spark, d, cosine_top_k)
+
+
+@query(MANY)
+def topk_blocks(spark, d):
+    return _many(spark, d, block_top_k)
+
+
+@query("""
+WITH q AS (SELECT label AS query_id, list(v ORDER BY pos) AS qv FROM (
+  SELECT label, pos, round(avg(v::DOUBLE), 6) AS v FROM (SELECT label, unnest(embedding) AS v,
+    unnest(range(len(embedding))) AS pos FROM embeddings) GROUP BY label, pos) GROUP BY label),
+s AS (SELECT query_id, (vec_id * 500) || '_' || (label % 3) AS id, (vec_id * 500)::INTEGER AS article_id, 'chunk ' || vec_id AS chunk_text,
+  round(list_cosine_similarity(embedding::DOUBLE[], qv), 9) AS score FROM q, embeddings)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, id, score, article_id, chunk_text FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 5
+""")
+def topk_lake(spark, d):
+    """Vectors stored in blocks of articles; the payload of the hits from their blocks alone."""
+    lake = Lake(spark, scratch_dir(spark, "lake"))
+    article = (F.col("vec_id") * 500).cast("int")
+    lake.replace(table(spark, d, "embeddings").select(
+        F.concat(article.cast("string"), F.lit("_"), (F.col("label") % 3).cast("string")).alias("id"),
+        F.col("embedding").alias("values"),
+        F.struct(F.lit(None).cast("timestamp_ntz").alias("published"), (F.col("label") % 3).alias("chunk_index"),
+                 article.alias("article_id"),
+                 F.concat(F.lit("chunk "), F.col("vec_id").cast("string")).alias("chunk_text"),
+                 F.lit(None).cast("string").alias("headline"), F.lit(None).cast("string").alias("story")).alias("metadata")),
+        "vectors", "article_chunks")
+    return retrieval.retrieve_stored(lake, _questions(spark, d), 5)
 
 
 @query(SEARCH + """

@@ -1,4 +1,10 @@
-"""Exact cosine top-k: block products inside tasks, ranking in Spark."""
+"""Exact cosine top-k: block products inside tasks, ranking in Spark.
+
+A few queries travel to the tasks as one matrix of a checked size, and the corpus stays
+where it is. Any number of queries takes the two-sided block product: the corpus is dealt
+once into groups of a bounded size, every group gets all queries, and a task holds one
+group and streams the queries past it.
+"""
 
 from __future__ import annotations
 
@@ -10,10 +16,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from statlake.session import scratch_dir
-
-# Queries travel to the tasks in slices of at most so many values (about 16 MB).
+# Queries of at most so many values (about 16 MB) travel to the tasks as one matrix.
 SLICE_VALUES = 2_000_000
+# Values of a group of corpus rows (about 64 MB), and of the queries met with it at once.
+GROUP_VALUES, MET_VALUES = 8_000_000, 1_000_000
 # So many of them are multiplied with a batch at once.
 QUERIES_AT_ONCE = 256
 
@@ -28,27 +34,37 @@ def cosine_top_k(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "i
     zero have no direction and never match; a vector of another width than the
     queries', or with a NULL in it, is an error.
 
-    The corpus is never shuffled: each task multiplies its rows with a slice of the
-    queries and keeps k rows per query, so the shuffle carries (tasks x queries x k)
-    rows whatever the corpus size. Slices are counted before any vector is fetched;
-    every slice is the same plan, and with more than one their results are written
-    one after the other, so that the driver holds one slice at a time.
+    Up to ``SLICE_VALUES`` values of queries are one broadcast matrix: each task multiplies
+    its corpus rows with it and keeps k rows per query, and the corpus is not shuffled.
+    Beyond that see ``block_top_k``; the results are the same.
+    """
+    q, c, n, width, out = _sides(queries, corpus, id_col, vector_col, query_id, query_vector)
+    if n * width <= SLICE_VALUES:
+        return _ranked(_by_matrix(q.collect(), c, k, digits, out), k)
+    return _ranked(_by_blocks(q, c, width, k, digits, out), k)
+
+
+def block_top_k(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "id",
+                vector_col: str = "values", query_id: str = "query_id",
+                query_vector: str = "values", digits: int = 9) -> DataFrame:
+    """``cosine_top_k`` for any number of queries; no vector passes through the driver.
+
+    The corpus is shuffled once, each query once for each group of ``GROUP_VALUES`` values.
+    A task sorts a group's corpus rows before the queries, so it holds the former and
+    sees the latter batch by batch; k rows per query and group go on to the ranking.
     """
+    q, c, _, width, out = _sides(queries, corpus, id_col, vector_col, query_id, query_vector)
+    return _ranked(_by_blocks(q, c, width, k, digits, out), k)
+
+
+def _sides(queries, corpus, id_col, vector_col, query_id, query_vector):
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("_v")).where(
         F.col("_v").isNotNull())
     n, width = q.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("_v")), F.lit(0))).first()
     c = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("_v")).where(
         F.col("_v").isNotNull())
-    q, c = _whole(q, width), _whole(c, width)
     out = StructType().add(q.schema["query_id"]).add(c.schema["id"]).add("score", "double")
-    slices = max(1, -(-n * width // SLICE_VALUES))
-    if slices == 1:
-        return _ranked(_by_matrix(q.collect(), c, k, digits, out), k)
-    folder = scratch_dir(corpus.sparkSession, "topk")
-    for s in range(slices):
-        some = q.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == s)
-        _ranked(_by_matrix(some.collect(), c, k, digits, out), k).write.mode("append").parquet(folder)
-    return corpus.sparkSession.read.parquet(folder)
+    return _whole(q, width), _whole(c, width), n, width, out
 
 
 def _whole(df: DataFrame, width: int) -> DataFrame:
@@ -86,6 +102,49 @@ def _by_matrix(head, corpus: DataFrame, k: int, digits: int, out: StructType) ->
     return corpus.mapInArrow(best_of_task, out)
 
 
+def _by_blocks(q: DataFrame, c: DataFrame, width: int, k: int, digits: int, out: StructType) -> DataFrame:
+    groups = max(1, -(-c.count() * max(width, 1) // GROUP_VALUES))
+    query_type, id_type = (out[i].dataType for i in (0, 1))
+    number = F.array(*map(F.lit, range(groups))) if groups <= 64 else F.sequence(F.lit(0), F.lit(groups - 1))
+    values = F.col("_v").cast("array<double>").alias("_v")
+    rows = c.select(F.pmod(F.xxhash64("id", "_v"), F.lit(groups)).cast("int").alias("g"),
+                    F.lit(None).cast(query_type).alias("query_id"), "id", values, F.lit(0).alias("kind"))
+    asked = q.select(F.explode(number).alias("g"), "query_id", F.lit(None).cast(id_type).alias("id"), values,
+                     F.lit(1).alias("kind"))
+    dealt = rows.unionByName(asked).repartition("g").sortWithinPartitions("g", "kind")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held, unit, names = None, [], None, None
+        for batch in batches:
+            at = np.asarray(batch.column("g")) * 2 + np.asarray(batch.column("kind"))
+            ends = [*(np.flatnonzero(np.diff(at)) + 1), len(at)] if len(at) else []
+            for start, end in zip([0, *ends], ends):
+                some = batch.slice(start, end - start)
+                if at[start] % 2 == 0:
+                    if group != at[start] // 2:
+                        group, held, unit = at[start] // 2, [], None
+                    held.append((some.column("id"), _matrix(some.column("_v"))))
+                elif group == at[start] // 2:
+                    if unit is None:
+                        names = _names(pa.concat_arrays([i for i, _ in held]))
+                        unit, held = _unit(np.concatenate([m for _, m in held])).T, []
+                    step = max(1, MET_VALUES // max(unit.shape))
+                    for first in range(0, some.num_rows, step):
+                        part = some.slice(first, step)
+                        scores = np.round(_unit(_matrix(part.column("_v"))) @ unit, digits)
+                        yield _emit([_cut(s, names, k) for s in scores], part.column("query_id").to_pylist(), out)
+
+    return dealt.mapInArrow(meet, out)
+
+
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    return np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), -1)
+
+
+def _names(ids: pa.Array) -> np.ndarray:
+    return np.asarray(ids.to_pylist() if pa.types.is_string(ids.type) else ids)
+
+
 def _unit(vectors) -> np.ndarray:
     rows = np.asarray([np.asarray(v, dtype=np.float64) for v in vectors])
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
@@ -94,10 +153,9 @@ def _unit(vectors) -> np.ndarray:
 
 def _best(matrix: np.ndarray, ids: pa.Array, vectors: pa.Array, k: int, digits: int) -> list:
     """Per query (scores, ids) of the best k rows of one batch."""
-    flat = np.asarray(vectors.flatten(), dtype=np.float64)
-    rows = flat.reshape(len(vectors), -1)
+    rows = _matrix(vectors)
     norms = np.linalg.norm(rows, axis=1)
-    names = np.asarray(ids.to_pylist() if pa.types.is_string(ids.type) else ids)
+    names = _names(ids)
     found = []
     with np.errstate(invalid="ignore", divide="ignore"):
         unit = (rows / norms[:, None]).T

@@ -13,7 +13,7 @@ from statlake.functions.text import chunk, clean_html_strict
 from statlake.operators.rows import latest_per_key, unprocessed
 from statlake.operators.topk import cosine_top_k
 from statlake.session import scratch_dir
-from statlake.sources.lake import Lake
+from statlake.sources.lake import BLOCK, Lake
 
 # Chunking, vector width and result size.
 CHUNK_SIZE, CHUNK_OVERLAP = 350, 75
@@ -102,6 +102,22 @@ def retrieve(questions: DataFrame, corpus: DataFrame, k: int = TOP_K) -> DataFra
         "query_id", "rank", "id", "score", "article_id", "chunk_text")
 
 
+def retrieve_stored(lake: Lake, questions: DataFrame, k: int = TOP_K) -> DataFrame:
+    """Hits in the stored vector table, with their payload.
+
+    The search reads ids and vectors alone. A hit's id tells its block, and the payload is
+    joined by block and id: the directories without a hit are skipped while the query runs.
+    """
+    hits = cosine_top_k(questions, lake.read("vectors", "article_chunks"), k)
+    hits = hits.withColumn(BLOCK, lake.block_of("vectors", "article_chunks"))
+    if questions.count() * k <= MAX_BROADCAST_HITS:
+        hits = F.broadcast(hits)
+    payload = lake.read_blocks("vectors", "article_chunks").select(
+        "id", BLOCK, F.col("metadata.article_id"), F.col("metadata.chunk_text"))
+    return payload.join(hits, [BLOCK, "id"]).select(
+        "query_id", "rank", "id", "score", "article_id", "chunk_text")
+
+
 def shape_contexts(hits: DataFrame) -> DataFrame:
     """Per query the contexts and article ids in rank order (at most k hits each)."""
     ordered = F.array_sort(F.collect_list(

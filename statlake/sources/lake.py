@@ -34,6 +34,16 @@ class Lake:
         self._recover(table)
         return self._scan(table).select(*table.schema.fieldNames())
 
+    def read_blocks(self, layer: str, name: str) -> DataFrame:
+        """The table with its block number, for joins that are to read some blocks only."""
+        table = TABLES[layer, name]
+        self._recover(table)
+        return self._scan(table)
+
+    def block_of(self, layer: str, name: str) -> Column:
+        """The block a row lies in, from its key columns."""
+        return self._block(TABLES[layer, name])
+
     def read_near(self, layer: str, name: str, rows: DataFrame) -> DataFrame:
         """Only the blocks of a table that ``rows`` (with its key columns) fall into.
 

@@ -66,3 +66,30 @@ def test_corpus_is_not_shuffled(spark):
     plan = topk.cosine_top_k(q.withColumnRenamed("id", "query_id"), c, 2)._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("MapInArrow"):]
     assert "Exchange" not in below
+
+
+@pytest.mark.parametrize("group", [7, 60, 10_000_000])
+def test_block_product(spark, monkeypatch, group):
+    """The same hits whatever the size of the groups, with string and numeric ids and no vector collected."""
+    monkeypatch.setattr(topk, "GROUP_VALUES", group)
+    monkeypatch.setattr(topk, "MET_VALUES", 50)
+    q_rows, q = _vectors(spark, 40, 5, 1, "q")
+    c_rows, c = _vectors(spark, 90, 5, 2)
+    q = q.withColumnRenamed("id", "query_id")
+    got = topk.block_top_k(q, c.repartition(5), 7).collect()
+    assert {(r.query_id, r.rank, r.id) for r in got} == _brute(q_rows, c_rows, 7)
+    numbered = c.where("id rlike '^[0-9]+$'").withColumn("id", c["id"].cast("long"))
+    got = topk.block_top_k(q, numbered, 3).collect()
+    rows = [(int(i), v) for i, v in c_rows if i.isdigit()]
+    assert {(r.query_id, r.rank, r.id) for r in got} == _brute(q_rows, rows, 3)
+    assert topk.block_top_k(q.where("false"), c, 3).collect() == []
+    assert topk.block_top_k(q, c.where("false"), 3).collect() == []
+
+
+def test_payload_reads_the_blocks_of_hits(spark, tmp_path):
+    from statlake.bindings import QUERIES
+
+    df = QUERIES["topk_lake"](spark, "/root/testdata/sf0.001")
+    assert df.count() > 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
