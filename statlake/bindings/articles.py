@@ -106,12 +106,43 @@ def chunk_recursive_cover(spark, d):
     return _cover(tx.chunk(docs, "text", "recursive", 350, 75), 350, by_words=False)
 
 
-@query()
+def _packed_sql(atoms: str, weight, size: int, overlap: int) -> str:
+    """Runs by prefix sums and a recursive step from one run to the next."""
+    to = lambda at: f"len(list_filter(cum, lambda x: x <= {at}))"
+    return rf"""
+WITH RECURSIVE e AS (SELECT doc_id, u.i, atoms[u.i] AS s, {weight('atoms[u.i]')} AS w
+  FROM (SELECT doc_id, {atoms} AS atoms FROM documents WHERE text IS NOT NULL), unnest(range(1, len(atoms) + 1)) AS u(i)),
+c AS MATERIALIZED (SELECT doc_id, list(s ORDER BY i) AS s, list(w ORDER BY i) AS w, list(cum ORDER BY i) AS cum
+  FROM (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS cum FROM e) GROUP BY doc_id),
+r AS (SELECT doc_id, 0 AS first, greatest(1, {to(size)}) AS last FROM c
+  UNION ALL SELECT doc_id, f AS first, greatest(f + 1, {to(f"CASE WHEN f > 0 THEN cum[f] ELSE 0 END + {size}")}) AS last
+  FROM (SELECT c.doc_id, cum, greatest(first, least(last, CASE WHEN need <= 0 THEN 0 ELSE len(list_filter(cum, lambda x: x < need)) + 1 END)) AS f
+    FROM (SELECT r.*, c.*, cum[last] - least({overlap}, {size} - w[last + 1]) AS need FROM r JOIN c USING (doc_id) WHERE last < len(s)) c)),
+t AS (SELECT doc_id, first, regexp_replace(regexp_replace(array_to_string(s[first + 1:last], ''), '^[{tx.WHITE}]+', ''),
+  '[{tx.WHITE}]+$', '') AS chunk_text FROM r JOIN c USING (doc_id))
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY first) - 1)::INTEGER AS chunk_index, chunk_text
+FROM t WHERE chunk_text <> ''"""
+
+
+def _atoms_sql(text: str, size: int, separators=tx.SEPARATORS) -> str:
+    name = f"p{len(separators)}"
+    if not separators:
+        return f"CASE WHEN length({text}) <= {size} THEN [{text}] ELSE regexp_extract_all({text}, '(?s).') END"
+    mark = " || ".join(f"chr({ord(c)})" for c in separators[0])
+    finer = _atoms_sql(name, size, separators[1:])
+    pieces = (f"list_filter(list_transform(string_split({text}, {mark}), lambda x, i: CASE WHEN i < "
+              f"len(string_split({text}, {mark})) THEN x || {mark} ELSE x END), lambda x: x <> '')")
+    return (f"CASE WHEN {text} = '' THEN [] WHEN length({text}) <= {size} THEN [{text}] "
+            f"ELSE flatten(list_transform({pieces}, lambda {name}: {finer})) END")
+
+
+@query(_packed_sql(_atoms_sql("text", 350), "length({})".format, 350, 75))
 def chunk_recursive(spark, d):
     return _chunks(spark, d, "recursive", 350, 75)
 
 
-@query()
+@query(_packed_sql(f"regexp_extract_all(text, '{tx.SENTENCE}')",
+                   lambda s: f"len(regexp_extract_all({s}, '[^{tx.WHITE}]+'))", 300, 50))
 def chunk_sentences(spark, d):
     return _chunks(spark, d, "sentences", 300, 50)
 

@@ -8,7 +8,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import StringType
 
 # ---------------------------------------------------------------- cleaning
 
@@ -83,68 +83,97 @@ def clean_html_strict(text: pd.Series) -> pd.Series:
 
 # ---------------------------------------------------------------- chunking
 
-SEPARATORS = ("\n\n", "\n", " ", "")
+# From coarse to fine; what none of them cuts is cut into characters.
+SEPARATORS = ("\n\n", "\n", " ")
+# White space as a class that Java and RE2 read alike.
+WHITE = "\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+# A sentence and the white space behind it.
+SENTENCE = f"(?s)[^{WHITE}].*?(?:[.!?]+[{WHITE}]+|\\z)"
 
 
-def pack(weights: list[int], size: int, overlap: int) -> list[tuple[int, int]]:
-    """Greedy runs of atoms of at most ``size``, as (first, after-last) indexes.
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, f"^[{WHITE}]+", ""), f"[{WHITE}]+$", "")
 
-    The next run starts with the trailing atoms that weigh at most ``overlap``
-    and still leave room for the atom that did not fit.
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def cut_behind(text: Column, separator: str) -> Column:
+    """Pieces that end with the separator; the last one need not."""
+    def pieces(parts: Column) -> Column:
+        whole = F.transform(parts, lambda p, i: F.when(
+            i < F.size(parts) - 1, F.concat(p, F.lit(separator))).otherwise(p))
+        return F.filter(whole, lambda p: p != "")
+
+    return bound(F.split(text, separator, -1), pieces)
+
+
+def atoms(text: Column, size: int, separators: tuple[str, ...] = SEPARATORS) -> Column:
+    """The text as pieces of at most ``size`` characters, cut behind the coarsest separator.
+
+    A piece without the separator is handed on whole to the next finer one.
     """
-    runs, first, load = [], 0, 0
-    for i, w in enumerate(weights):
-        if load + w > size and i > first:
-            runs.append((first, i))
-            while first < i and (load > overlap or load + w > size):
-                load -= weights[first]
-                first += 1
-        load += w
-    if first < len(weights):
-        runs.append((first, len(weights)))
-    return runs
-
-
-def atoms(text: str, start: int, size: int, separators=SEPARATORS) -> list[tuple[int, int]]:
-    """Contiguous spans of at most ``size`` characters, cut at the coarsest separator."""
-    if len(text) <= size:
-        return [(start, start + len(text))] if text else []
-    rank = next(i for i, s in enumerate(separators) if s in text)
-    sep, finer = separators[rank], separators[rank + 1:]
-    if not sep:
-        return [(start + i, start + i + 1) for i in range(len(text))]
-    spans, at = [], 0
-    while at < len(text):
-        found = text.find(sep, at)
-        end = len(text) if found < 0 else found + len(sep)
-        spans.extend(atoms(text[at:end], start + at, size, finer))
-        at = end
-    return spans
-
-
-def recursive_chunks(text: str, size: int, overlap: int) -> list[str]:
-    spans = atoms(text, 0, size)
-    runs = pack([b - a for a, b in spans], size, overlap)
-    chunks = (text[spans[i][0]:spans[j - 1][1]].strip() for i, j in runs)
-    return [c for c in chunks if c]
-
-
-def sentence_chunks(text: str, size: int, overlap: int) -> list[str]:
-    """Whole sentences packed up to ``size`` words; a longer sentence stays whole."""
-    spans = [m.span() for m in re.finditer(r"\S.*?(?:[.!?]+(?=\s)|$)", text, re.S)]
-    runs = pack([len(text[a:b].split()) for a, b in spans], size, overlap)
-    return [text[spans[i][0]:spans[j - 1][1]].strip() for i, j in runs]
+    if separators:
+        finer = F.flatten(F.transform(cut_behind(text, separators[0]), lambda p: atoms(p, size, separators[1:])))
+    else:
+        finer = F.regexp_extract_all(text, F.lit("(?s)."), 0)
+    return F.when(text == "", F.array().cast("array<string>")).when(
+        F.length(text) <= size, F.array(text)).otherwise(finer)
+
 
+def packed(pieces: Column, weight, size: int, overlap: int) -> Column:
+    """Runs of pieces of at most ``size``, each joined to one text.
 
-def _array_udf(split, size: int, overlap: int):
+    A fold that carries the open run only. Where a piece doesn't fit, the run is closed and
+    the next one begins with the trailing pieces that weigh at most ``overlap`` and leave
+    room for the piece.
+    """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be smaller than the chunk size")
+    none = F.array().cast("array<struct<s:string,w:int>>")
+
+    def state(runs: Column, run: Column, load: Column) -> Column:
+        return F.struct(runs.alias("runs"), run.alias("run"), load.cast("int").alias("load"))
+
+    def tail(run: Column, most: Column) -> Column:
+        """How many trailing pieces weigh at most ``most`` together, and how much."""
+        zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("load"), F.lit(True).alias("open"))
+        return F.aggregate(F.reverse(run), zero, lambda a, p: bound(
+            a["open"] & (a["load"] + p["w"] <= most), lambda fits: F.when(fits, F.struct(
+                (a["n"] + 1).alias("n"), (a["load"] + p["w"]).alias("load"), F.lit(True).alias("open")))
+            .otherwise(F.struct(a["n"].alias("n"), a["load"].alias("load"), F.lit(False).alias("open")))))
+
+    def text_of(run: Column) -> Column:
+        return F.array_join(F.transform(run, lambda p: p["s"]), "")
+
+    def close(a: Column, p: Column) -> Column:
+        return bound(tail(a["run"], F.least(F.lit(overlap), size - p["w"])), lambda t: state(
+            F.concat(a["runs"], F.array(text_of(a["run"]))),
+            F.when(t["n"] > 0, F.slice(a["run"], -F.greatest(t["n"], F.lit(1)), F.greatest(t["n"], F.lit(1)))).otherwise(none),
+            t["load"]))
 
-    @F.pandas_udf(ArrayType(StringType()))
-    def run(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: None if t is None else split(t, size, overlap))
+    def step(a: Column, p: Column) -> Column:
+        full = (a["load"] + p["w"] > size) & (F.size(a["run"]) > 0)
+        return bound(F.when(full, close(a, p)).otherwise(a), lambda x: state(
+            x["runs"], F.concat(x["run"], F.array(p)), x["load"] + p["w"]))
 
-    return run
+    weighed = F.transform(pieces, lambda s: F.struct(s.alias("s"), weight(s).cast("int").alias("w")))
+    start = state(F.array().cast("array<string>"), none, F.lit(0))
+    chunks = F.aggregate(weighed, start, step, lambda a: F.when(
+        F.size(a["run"]) > 0, F.concat(a["runs"], F.array(text_of(a["run"])))).otherwise(a["runs"]))
+    return F.filter(F.transform(chunks, stripped), lambda c: c != "")
+
+
+def recursive_chunks(text: Column, size: int, overlap: int) -> Column:
+    return packed(atoms(text, size), F.length, size, overlap)
+
+
+def sentence_chunks(text: Column, size: int, overlap: int) -> Column:
+    """Whole sentences packed up to ``size`` words; a longer sentence stays whole."""
+    words = lambda s: F.regexp_count(s, F.lit(f"[^{WHITE}]+"))
+    return packed(F.regexp_extract_all(text, F.lit(SENTENCE), 0), words, size, overlap)
 
 
 def token_chunks(text: Column, size: int, overlap: int) -> Column:
@@ -165,8 +194,7 @@ def chunk(df: DataFrame, text_col: str, strategy: str, size: int = 350, overlap:
           separator: str = "\n\n") -> DataFrame:
     """One row per chunk with ``chunk_index`` and ``chunk_text``; a map-only step.
 
-    Paragraphs and word windows are built-in expressions; the recursive and the
-    sentence splitter carry state along one text and run as vectorised functions.
+    All strategies are built-in expressions.
     """
     text = F.col(text_col)
     if strategy == "paragraphs":
@@ -174,9 +202,9 @@ def chunk(df: DataFrame, text_col: str, strategy: str, size: int = 350, overlap:
     elif strategy == "tokens":
         pieces = token_chunks(text, size, overlap)
     elif strategy == "recursive":
-        pieces = _array_udf(recursive_chunks, size, overlap)(text)
+        pieces = recursive_chunks(text, size, overlap)
     elif strategy == "sentences":
-        pieces = _array_udf(sentence_chunks, size, overlap)(text)
+        pieces = sentence_chunks(text, size, overlap)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return df.select("*", F.posexplode(pieces).alias("chunk_index", "chunk_text"))

@@ -1,6 +1,9 @@
+import random
+
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+import plain_chunks
 from statlake.functions import text as tx
 
 TEXTS = st.text(alphabet="ab .\n", max_size=400)
@@ -9,16 +12,16 @@ TEXTS = st.text(alphabet="ab .\n", max_size=400)
 @settings(max_examples=200, deadline=None)
 @given(TEXTS, st.integers(5, 60), st.integers(0, 4))
 def test_recursive_chunks_are_short_ordered_and_complete(text, size, overlap):
-    chunks = tx.recursive_chunks(text, size, overlap)
+    chunks = plain_chunks.recursive_chunks(text, size, overlap)
     assert all(0 < len(c) <= size for c in chunks)
-    spans = tx.atoms(text, 0, size)
+    spans = plain_chunks.atoms(text, 0, size)
     assert "".join(text[a:b] for a, b in spans) == text
     at = 0
     for c in chunks:  # source order; a later chunk never starts before an earlier one
         found = text.find(c, at)
         assert found >= 0
         at = found
-    runs = tx.pack([b - a for a, b in spans], size, overlap)
+    runs = plain_chunks.pack([b - a for a, b in spans], size, overlap)
     covered = {i for a, b in runs for i in range(a, b)}
     assert covered == set(range(len(spans)))
     for (a, b), (c, d) in zip(runs, runs[1:]):
@@ -29,10 +32,34 @@ def test_recursive_chunks_are_short_ordered_and_complete(text, size, overlap):
 @settings(max_examples=100, deadline=None)
 @given(TEXTS, st.integers(3, 20), st.integers(0, 2))
 def test_sentence_chunks_lose_no_word(text, size, overlap):
-    chunks = tx.sentence_chunks(text, size, 0)
+    chunks = plain_chunks.sentence_chunks(text, size, 0)
     assert " ".join(chunks).split() == text.split()
-    long = max((len(s.split()) for s in tx.sentence_chunks(text, 1, 0)), default=0)
-    assert all(len(c.split()) <= max(size, long) for c in tx.sentence_chunks(text, size, overlap))
+    long = max((len(s.split()) for s in plain_chunks.sentence_chunks(text, 1, 0)), default=0)
+    assert all(len(c.split()) <= max(size, long) for c in plain_chunks.sentence_chunks(text, size, overlap))
+
+
+def test_splitters_equal_their_plain_form(spark):
+    rng = random.Random(4)
+    parts = ["a", "bc", "déf", "\U0001f600x", " ", " ", ". ", "! ", "?", "\n", "\n\n", "\n\n\n", "\t", "\xa0", "w" * 30, "."]
+    texts = ["", " ", "\n\n", "w" * 90] + ["".join(rng.choices(parts, k=rng.randint(1, 120))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-1, None)], "i int, text string")
+    for strategy, size, overlap in (("recursive", 20, 7), ("recursive", 25, 0), ("recursive", 9, 8),
+                                    ("sentences", 6, 3), ("sentences", 9, 0), ("sentences", 1, 0)):
+        plain = getattr(plain_chunks, "recursive_chunks" if strategy == "recursive" else "sentence_chunks")
+        got = {}
+        for r in tx.chunk(df, "text", strategy, size, overlap).orderBy("i", "chunk_index").collect():
+            got.setdefault(r.i, []).append(r.chunk_text)
+            assert r.chunk_index == len(got[r.i]) - 1
+        for i, t in enumerate(texts):
+            assert got.get(i, []) == plain(t, size, overlap), (strategy, size, overlap, t)
+        assert -1 not in got
+
+
+def test_splitters_stay_in_the_jvm(spark):
+    df = spark.createDataFrame([("a b",)], "text string")
+    for strategy in ("recursive", "sentences"):
+        plan = tx.chunk(df, "text", strategy)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_token_windows(spark):
