@@ -590,12 +590,24 @@ def images_of_game(spark, d):
     return marts.images_of(images, 2)
 
 
-@query()
+EMBED = f"""
+WITH ch AS ({_packed_sql(_atoms_sql("text", 350), "length({})".format, 350, 75)}),
+p AS (SELECT doc_id, chunk_index, ('0x' || substr(md5(w), 1, 7))::BIGINT % 256 AS dim
+  FROM (SELECT doc_id, chunk_index, unnest(regexp_extract_all(lower(chunk_text), '{retrieval.WORDS}')) AS w FROM ch)),
+tf AS (SELECT doc_id, chunk_index, dim, count(*) AS n FROM p GROUP BY ALL),
+idf AS (SELECT dim, ln(((SELECT count(*) FROM ch) + 1) / (count(*) + 1)) AS idf FROM tf GROUP BY dim),
+v AS (SELECT doc_id, chunk_index, dim, n * idf AS v, sqrt(sum(n * idf * n * idf) OVER (PARTITION BY doc_id, chunk_index)) AS norm
+  FROM tf JOIN idf USING (dim))
+SELECT doc_id, chunk_index, dim::INTEGER AS dim, round((v / norm)::FLOAT::DOUBLE, 5) AS value FROM v WHERE v > 0"""
+
+
+@query(EMBED)
 def embed_documents(spark, d):
-    """Every chunk of every document as a vector; one row per chunk."""
-    chunks = _chunks(spark, d, "recursive", 350, 75)
+    """Every chunk of every document as a vector; one row for each component that is not zero."""
+    at = scratch_dir(spark, "chunks")
+    _chunks(spark, d, "recursive", 350, 75).write.parquet(at)
+    chunks = spark.read.parquet(at)
     model = retrieval.fit_embedder(chunks, "chunk_text", 256)
-    out = retrieval.embed(chunks, "chunk_text", model)
-    norm = F.sqrt(F.aggregate("values", F.lit(0.0), lambda a, v: a + v.cast("double") * v))
-    return out.select("doc_id", "chunk_index", F.size("values").alias("n_values"),
-                      F.round(norm, 4).alias("norm"))
+    out = retrieval.embed(chunks, "chunk_text", model).select(
+        "doc_id", "chunk_index", F.posexplode("values").alias("dim", "value")).where("value > 0")
+    return rounded(out, 5, "value")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statlake.functions.metrics import experiment_summary, ranking_metrics
 from statlake.functions.scalars import chunk_id
-from statlake.functions.text import chunk, clean_html_strict
+from statlake.functions.text import bound, chunk, clean_html_strict
 from statlake.operators.rows import latest_per_key, unprocessed
 from statlake.operators.topk import cosine_top_k
 from statlake.session import scratch_dir
@@ -19,32 +19,69 @@ from statlake.sources.lake import BLOCK, Lake
 CHUNK_SIZE, CHUNK_OVERLAP = 350, 75
 VECTOR_SIZE = 768
 TOP_K = 25
+# A word: letters, marks and digits, in a syntax that Java and RE2 read alike.
+WORDS = "[\\p{L}\\p{M}\\p{N}]+"
 # Ids and scores of this many hits stay far below 100 MB.
 MAX_BROADCAST_HITS = 500_000
 
 
-def fit_embedder(df: DataFrame, text_col: str, dims: int = VECTOR_SIZE) -> PipelineModel:
+def word_places(text: Column, dims: int) -> Column:
+    """The place of every word of a text, in order: the leading digits of its MD5 sum."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(WORDS), 0)
+    digits = lambda w: F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("int")
+    return F.transform(words, lambda w: digits(w) % dims)
+
+
+@dataclass
+class Embedder:
     """Hashed words weighted by inverse document frequency, unit length.
 
-    The offline stand-in for a hosted embedding model. Fitting is one aggregate
-    pass over the corpus; the same fitted model embeds chunks and questions.
+    The offline stand-in for a hosted embedding model; the same weights embed chunks and
+    questions. Built-in expressions only, linear in words and width. A text without words, or
+    with none that tells texts apart, becomes the zero vector, NULL stays NULL.
     """
-    return Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=r"\W+",
-                       minTokenLength=1),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dims),
-        IDF(inputCol="_tf", outputCol="_idf"),
-        Normalizer(inputCol="_idf", outputCol="_unit"),
-    ]).fit(df)
+
+    idf: list[float]
+
+    def __call__(self, text: Column) -> Column:
+        idf = F.lit(self.idf)
+
+        def counted(places: Column) -> Column:
+            """(place, number) of the places in ascending order, from where each begins."""
+            n = F.size(places)
+            starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (n > 0) & (
+                (i == 0) | (F.get(places, i) != F.get(places, F.greatest(i - 1, F.lit(0))))))
+            return bound(starts, lambda s: F.transform(s, lambda at, k: F.struct(
+                F.get(places, at).alias("at"), (F.coalesce(F.get(s, k + 1), n) - at).alias("n"))))
+
+        def dense(found: Column) -> Column:
+            """The values at their places, zeros between them."""
+            zeros = lambda k: F.array_repeat(F.lit(0.0), k)
+            norm = F.sqrt(F.aggregate(found, F.lit(0.0), lambda a, x: a + x["v"] * x["v"]))
+            return bound(norm, lambda length: F.concat(
+                F.flatten(F.transform(found, lambda x, k: F.concat(
+                    zeros(x["at"] - F.when(k > 0, F.get(found, k - 1)["at"] + 1).otherwise(0)),
+                    F.array(F.when(length > 0, x["v"] / length).otherwise(0.0))))),
+                zeros(len(self.idf) - F.coalesce(F.get(found, F.size(found) - 1)["at"] + 1, F.lit(0)))))
+
+        weighted = bound(F.array_sort(word_places(text, len(self.idf))), lambda p: F.transform(
+            counted(p), lambda x: F.struct(x["at"].alias("at"), (x["n"] * F.get(idf, x["at"])).alias("v"))))
+        return F.when(text.isNotNull(), bound(weighted, dense)).cast("array<float>")
+
+
+def fit_embedder(df: DataFrame, text_col: str, dims: int = VECTOR_SIZE) -> Embedder:
+    """One aggregate pass: in how many texts each place occurs. The driver sees ``dims`` rows."""
+    places = df.select(F.explode_outer(F.array_append(
+        F.coalesce(F.array_distinct(word_places(F.col(text_col), dims)), F.array().cast("array<int>")), F.lit(-1))).alias("at"))
+    found = dict(places.groupBy("at").count().collect())
+    n = found.get(-1, 0)
+    return Embedder([math.log((n + 1) / (found.get(k, 0) + 1)) for k in range(dims)])
 
 
 def embed(df: DataFrame, text_col: str, embedder, out: str = "values") -> DataFrame:
-    """Add a vector column. ``embedder`` is a fitted model whose last column is
-    ``_unit``, or a function Column -> Column (for example a pandas UDF)."""
-    if callable(embedder):
-        return df.withColumn(out, embedder(F.col(text_col)))
-    return embedder.transform(df).withColumn(
-        out, vector_to_array("_unit", "float32")).drop("_words", "_tf", "_idf", "_unit")
+    """Add a vector column. ``embedder`` is a function Column -> Column: an ``Embedder``, or for
+    example a pandas UDF around a model."""
+    return df.withColumn(out, embedder(F.col(text_col)))
 
 
 def chunk_articles(articles: DataFrame, strategy: str = "recursive", size: int = CHUNK_SIZE,

@@ -113,3 +113,16 @@ def test_compare_words(spark):
     got = df.select(*[c.alias(n) for n, c in tx.compare_words(
         tx.word_set(F.col("l")), tx.word_set(F.col("r"))).items()]).collect()
     assert [tuple(r) for r in got] == [(2, 1, 2, 0.4), (0, 0, 0, 0.0)]
+
+
+def test_vectors_of_odd_texts(spark):
+    """Unit length, the same weights for every use, NULL stays NULL, no words give zeros."""
+    from statlake.plans import retrieval
+
+    df = spark.createDataFrame([(0, "Ünit one, one"), (1, "one two"), (2, "...!"), (3, ""), (4, None)], "i int, t string")
+    model = retrieval.fit_embedder(df, "t", 16)
+    got = {r.i: r.values for r in retrieval.embed(df, "t", model).select("i", "values").collect()}
+    assert got[4] is None and got[2] == got[3] == [0.0] * 16
+    for i in (0, 1):
+        assert len(got[i]) == 16 and abs(sum(v * v for v in got[i]) - 1) < 1e-6
+    assert retrieval.fit_embedder(df.limit(0), "t", 4).idf == [0.0] * 4
