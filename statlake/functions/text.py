@@ -126,44 +126,46 @@ def atoms(text: Column, size: int, separators: tuple[str, ...] = SEPARATORS) ->
 def packed(pieces: Column, weight, size: int, overlap: int) -> Column:
     """Runs of pieces of at most ``size``, each joined to one text.
 
-    A fold that carries the open run only. Where a piece doesn't fit, the run is closed and
-    the next one begins with the trailing pieces that weigh at most ``overlap`` and leave
-    room for the piece.
+    A fold over the pieces' numbers that carries where the open run begins and its weight.
+    Where a piece doesn't fit, the run is closed and the next one begins with the trailing
+    pieces that weigh at most ``overlap`` and leave room for the piece.
     """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be smaller than the chunk size")
-    none = F.array().cast("array<struct<s:string,w:int>>")
-
-    def state(runs: Column, run: Column, load: Column) -> Column:
-        return F.struct(runs.alias("runs"), run.alias("run"), load.cast("int").alias("load"))
-
-    def tail(run: Column, most: Column) -> Column:
-        """How many trailing pieces weigh at most ``most`` together, and how much."""
-        zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("load"), F.lit(True).alias("open"))
-        return F.aggregate(F.reverse(run), zero, lambda a, p: bound(
-            a["open"] & (a["load"] + p["w"] <= most), lambda fits: F.when(fits, F.struct(
-                (a["n"] + 1).alias("n"), (a["load"] + p["w"]).alias("load"), F.lit(True).alias("open")))
-            .otherwise(F.struct(a["n"].alias("n"), a["load"].alias("load"), F.lit(False).alias("open")))))
-
-    def text_of(run: Column) -> Column:
-        return F.array_join(F.transform(run, lambda p: p["s"]), "")
-
-    def close(a: Column, p: Column) -> Column:
-        return bound(tail(a["run"], F.least(F.lit(overlap), size - p["w"])), lambda t: state(
-            F.concat(a["runs"], F.array(text_of(a["run"]))),
-            F.when(t["n"] > 0, F.slice(a["run"], -F.greatest(t["n"], F.lit(1)), F.greatest(t["n"], F.lit(1)))).otherwise(none),
-            t["load"]))
-
-    def step(a: Column, p: Column) -> Column:
-        full = (a["load"] + p["w"] > size) & (F.size(a["run"]) > 0)
-        return bound(F.when(full, close(a, p)).otherwise(a), lambda x: state(
-            x["runs"], F.concat(x["run"], F.array(p)), x["load"] + p["w"]))
-
-    weighed = F.transform(pieces, lambda s: F.struct(s.alias("s"), weight(s).cast("int").alias("w")))
-    start = state(F.array().cast("array<string>"), none, F.lit(0))
-    chunks = F.aggregate(weighed, start, step, lambda a: F.when(
-        F.size(a["run"]) > 0, F.concat(a["runs"], F.array(text_of(a["run"])))).otherwise(a["runs"]))
-    return F.filter(F.transform(chunks, stripped), lambda c: c != "")
+
+    def state(runs: Column, first: Column, load: Column) -> Column:
+        return F.struct(runs.alias("runs"), first.alias("first"), load.alias("load"))
+
+    def run(first: Column, end: Column) -> Column:
+        return F.array(F.struct(first.alias("first"), end.alias("end")))
+
+    def back(weights: Column, first: Column, end: Column, most: Column) -> Column:
+        """Where the trailing pieces begin that weigh at most ``most``, and their weight."""
+        def step(a: Column, k: Column) -> Column:
+            fits = (a["at"] == k + 1) & (a["load"] + F.get(weights, k) <= most)
+            return F.when(fits, F.struct(k.alias("at"), (a["load"] + F.get(weights, k)).alias("load"))).otherwise(a)
+
+        return F.aggregate(F.sequence(end - 1, first, F.lit(-1)), F.struct(end.alias("at"), F.lit(0).alias("load")), step)
+
+    def runs_of(weights: Column) -> Column:
+        def step(a: Column, i: Column) -> Column:
+            w = F.get(weights, i)
+            close = bound(back(weights, a["first"], i, F.least(F.lit(overlap), size - w)), lambda t: state(
+                F.concat(a["runs"], run(a["first"], i)), t["at"], t["load"] + w))
+            return F.when((a["load"] + w > size) & (i > a["first"]), close).otherwise(
+                state(a["runs"], a["first"], a["load"] + w))
+
+        none = F.array().cast("array<struct<first:int,end:int>>")
+        n = F.size(weights)
+        return F.when(n > 0, F.aggregate(F.sequence(F.lit(0), n - 1), state(none, F.lit(0), F.lit(0)), step,
+                                         lambda a: F.concat(a["runs"], run(a["first"], n)))).otherwise(none)
+
+    def texts(p: Column) -> Column:
+        runs = bound(F.transform(p, lambda s: weight(s).cast("int")), runs_of)
+        return F.transform(runs, lambda r: stripped(F.array_join(F.transform(
+            F.sequence(r["first"], r["end"] - 1), lambda k: F.get(p, k)), "")))
+
+    return F.filter(bound(pieces, texts), lambda c: c != "")
 
 
 def recursive_chunks(text: Column, size: int, overlap: int) -> Column:
