@@ -17,8 +17,8 @@ from statlake.schemas import TABLES, Table
 from statlake.sources.files import clustered
 
 BLOCK = "key_block"
-# Touched blocks are turned into a partition filter up to this many.
-MAX_BLOCK_FILTER = 10_000
+# Below every block number: a comparison that marks the touched blocks as a filter.
+NO_BLOCK = -(1 << 31)
 
 
 class Lake:
@@ -178,11 +178,14 @@ class Lake:
         return self.spark.read.schema(schema).parquet(path)
 
     def _touched(self, target: DataFrame, source: DataFrame) -> DataFrame:
-        blocks = source.select(BLOCK).distinct()
-        few = [r[0] for r in blocks.limit(MAX_BLOCK_FILTER + 1).collect()]
-        if len(few) <= MAX_BLOCK_FILTER:
-            return target.where(F.col(BLOCK).isin(few))
-        return target.join(blocks, BLOCK, "left_semi").select(*target.columns)
+        """The rows of the blocks that the source falls into.
+
+        The block numbers, no more than the table has directories or the source has blocks,
+        are joined on the partition column: Spark skips the other directories when the query
+        runs (dynamic partition pruning), and none of them passes through this program.
+        """
+        blocks = source.select(BLOCK).distinct().where(F.col(BLOCK) > NO_BLOCK)
+        return target.join(F.broadcast(blocks), BLOCK, "left_semi").select(*target.columns)
 
     def _recover(self, table: Table) -> None:
         """Put finished staged blocks in place; safe to repeat after a lost run."""

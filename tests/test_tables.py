@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from statlake.operators import checks, merge, rows
-from statlake.sources import catalog, files, lake as lake_module
+from statlake.sources import catalog, files
 from statlake.sources.lake import BLOCK, Lake
 
 KV = "k int, v string, w string"
@@ -83,8 +83,7 @@ def test_block_upsert_touches_only_its_blocks(spark, tmp_path):
     assert files_before == files_after
 
 
-def test_more_blocks_than_a_filter_holds(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(lake_module, "MAX_BLOCK_FILTER", 1)
+def test_touched_blocks_are_pruned_by_a_join(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     name = ("stage", "fact_team_stats")
     lake.upsert(_stats(spark, *[(g, "a", "x", "1") for g in (1, 1500, 2500, 9000)]), *name)
@@ -93,6 +92,11 @@ def test_more_blocks_than_a_filter_holds(spark, tmp_path, monkeypatch):
     assert got == {(1, "2"), (1500, "1"), (1501, "2"), (2500, "2"), (9000, "1")}
     near = lake.read_near(*name, spark.createDataFrame([(9001,), (2,)], "game_id int"))
     assert {r.game_id for r in near.collect()} == {1, 9000}
+    assert "dynamicpruning" in near._jdf.queryExecution().executedPlan().toString()
+    # However many blocks are named, the plan is the same and none of them is collected.
+    many = lake.read_near(*name, spark.range(20_000).selectExpr("cast(id * 1000 as int) as game_id"))
+    assert {r.game_id for r in many.collect()} == {1, 1500, 1501, 2500, 9000}
+    assert "dynamicpruning" in many._jdf.queryExecution().executedPlan().toString()
 
 
 def test_staged_blocks_survive_a_lost_run(spark, tmp_path, monkeypatch):
