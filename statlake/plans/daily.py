@@ -7,11 +7,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from statlake.functions.metrics import regression_metrics
 from statlake.operators.checks import assert_empty, key_violations, require_key
 from statlake.operators.flatten import GAME_ROWS, SCOREBOARD_ROWS, with_lineage
 from statlake.operators.merge import conform
 from statlake.operators.rows import if_not_empty, latest_per_key
-from statlake.plans.features import build_features
+from statlake.plans import registry
+from statlake.plans.features import build_features, dataset_metadata, predict_baseline
 from statlake.plans.gold import gold_incremental
 from statlake.plans.retrieval import embed_new
 from statlake.schemas import PLAYER_GAME, STAGE_LOADS, TABLES
@@ -62,13 +64,22 @@ def load_stage(lake: Lake, run_id: str | None = None) -> None:
     _at_once(load, STAGE_LOADS)
 
 
+def games_of_run(lake: Lake, run_id: str) -> DataFrame:
+    """The games a run brought player statistics or a schedule for."""
+    def of(name: str, column: str) -> DataFrame:
+        rows = lake.read("raw", name).where(F.col("run_id") == run_id)
+        return rows.select(F.col(column).cast("int").alias("game_id"))
+
+    return of("player_stats", "game_id").unionByName(of("games", "id")).where("game_id is not null").distinct()
+
+
 def _gold_rows(lake: Lake, at: datetime, run_id: str | None, known: bool) -> DataFrame:
     """Gold rows from stage; ``known`` leaves out what gold already holds."""
     facts, gold, games = ("stage", "fact_player_stats"), ("gold", "player_game_stats"), None
     if run_id is None:
         read = lake.read
     else:
-        games = lake.read("raw", "player_stats").where(F.col("run_id") == run_id).select("game_id")
+        games = games_of_run(lake, run_id)
 
         def read(layer, name):
             return lake.read_near(layer, name, games)
@@ -118,3 +129,31 @@ def run_daily(lake: Lake, scoreboards: DataFrame, game_details: DataFrame, run_i
     load_gold(lake, at, run_id)
     if embedder is not None:
         embed_new(lake, embedder, F.lit(str(at)))
+
+
+def run_chain(lake: Lake, scoreboards: DataFrame, game_details: DataFrame, run_id: str, at: datetime,
+              embedder=None, model_id: str = "player-fantasy-points") -> None:
+    """From landed documents to a deployed version: the day, features, predictions, registry.
+
+    The predictions are those of the weighted averages, kept as rows of the run; the run is
+    registered with their test metrics, the best run of the dataset becomes a version, and an
+    approved version is deployed. Running again with the same id changes nothing.
+    """
+    run_daily(lake, scoreboards, game_details, run_id, at, embedder)
+    rebuild_features(lake, at)
+    feats = lake.read("ai_datasets", "player_fantasy_features")
+    if feats.isEmpty():
+        return
+    now = F.lit(str(at))
+    lake.replace_run(predict_baseline(feats, run_id, now), "model_outputs", "predictions_fantasy", run_id)
+    registry.register_model(lake, model_id, "fantasy points", "points of the next game", "-", "statlake", at)
+    meta = dataset_metadata(feats)
+    dataset = f"ds-player-fantasy-{meta.first().data_version}"
+    registry.register_dataset(lake, model_id, meta, "ai_datasets.player_fantasy_features", at)
+    predictions = lake.read("model_outputs", "predictions_fantasy").where(F.col("run_id") == run_id)
+    metrics = regression_metrics(predictions.where(F.col("split") == "test"), "actual_ppr", "predicted_ppr")
+    registry.register_run(lake, run_id, model_id, dataset, {"algorithm": "weighted_average"}, metrics,
+                          registry.artifact_ref("model_outputs.predictions_fantasy", run_id), at)
+    version = f"{model_id}-{run_id}"
+    registry.register_best_version(lake, model_id, dataset, version, at)
+    registry.deploy_version(lake, version, f"deploy-{version}", "local", at)

@@ -140,7 +140,7 @@ def register_dataset(lake: Lake, model_id: str, metadata: DataFrame, location: s
 def register_run(lake: Lake, run_id: str, model_id: str, dataset_id: str, params: dict,
                  metrics: DataFrame, artifact: str, at: datetime,
                  status: str = "completed") -> None:
-    """One training run with its parameters and metrics as JSON text."""
+    """One training run with its parameters and metrics as JSON text; a known id keeps its row."""
     rows = metrics.select(
         F.lit(run_id).alias("run_id"), F.lit(model_id).alias("model_id"),
         F.lit(dataset_id).alias("dataset_id"), F.lit(json.dumps(params)).alias("params"),
@@ -148,12 +148,15 @@ def register_run(lake: Lake, run_id: str, model_id: str, dataset_id: str, params
         .alias("metrics"),
         F.lit(artifact).alias("artifact"), F.lit(status).alias("status"),
         F.lit(str(at)).cast("timestamp_ntz").alias("created_at"))
-    lake.append(rows, "mlops", "training_run")
+    lake.insert_ignore(rows, "mlops", "training_run")
 
 
 def register_best_version(lake: Lake, model_id: str, dataset_id: str, version_id: str,
                           at: datetime) -> None:
-    """Promote the best run to a version, approved when it beats the current one."""
+    """Promote the best run to a version, approved when it beats the current one.
+
+    A version that is registered already stays as it is.
+    """
     best = best_run(lake.read("mlops", "training_run"), model_id, dataset_id)
     champion = latest_approved(lake.read("mlops", "model_version"), model_id)
     rows = decide_status(best, champion).select(
@@ -161,11 +164,15 @@ def register_best_version(lake: Lake, model_id: str, dataset_id: str, version_id
         F.col("run_id").alias("training_run_id"), F.col("artifact").alias("artifact_path"),
         F.col("metrics").alias("metrics_json"), "status",
         F.lit(str(at)).cast("timestamp_ntz").alias("created_at"))
-    lake.append(rows, "mlops", "model_version")
+    lake.insert_ignore(rows, "mlops", "model_version")
 
 
 def deploy_version(lake: Lake, version_id: str, deployment_id: str, endpoint_url: str,
                    at: datetime) -> None:
+    """Write the deployment table with the version in it; a known deployment changes nothing."""
+    known = lake.read("mlops", "deployment").where(F.col("deployment_id") == deployment_id)
+    if not known.isEmpty():
+        return
     after = deploy(lake.read("mlops", "deployment"), lake.read("mlops", "model_version"),
                    version_id, deployment_id, endpoint_url, F.lit(str(at)))
     lake.replace(after, "mlops", "deployment")

@@ -184,6 +184,10 @@ REGISTRY_TABLES = [
                                  "deployed_at timestamp_ntz", ("deployment_id",)),
 ]
 
+# One row for each batch of a stream that went through all its tables.
+COMMITS = Table("mlops", "stream_commit", "stream string, batch_id bigint, run_id string, "
+                                          "committed_at timestamp_ntz", ("stream", "batch_id"))
+
 # child table, child column, parent table, parent column
 REGISTRY_REFERENCES = [
     ("dataset", "model_id", "model", "model_id"),
@@ -205,7 +209,8 @@ VECTORS = Table(
 )
 
 ALL_TABLES = [
-    *RAW_TABLES, *STAGE_TABLES, PLAYER_GAME, FEATURES, PREDICTIONS, *REGISTRY_TABLES, VECTORS,
+    *RAW_TABLES, *STAGE_TABLES, PLAYER_GAME, FEATURES, PREDICTIONS, *REGISTRY_TABLES, COMMITS,
+    VECTORS,
 ]
 TABLES = {(t.layer, t.name): t for t in ALL_TABLES}
 

@@ -12,7 +12,7 @@ from statlake.plans import daily, features, ml, registry, retrieval
 from statlake.plans.gold import gold_incremental
 from statlake.sources import files
 from statlake.sources.lake import Lake
-from statlake.streaming.ingest import compact, current_rows, ingest_stream, upsert_stream
+from statlake.streaming.ingest import chain_stream, compact, current_rows, ingest_stream, upsert_stream
 
 AT = dt.datetime(2025, 10, 1, 10)
 
@@ -109,6 +109,53 @@ def test_stream_equals_batch(spark, tmp_path):
     assert stream.read("raw", "games").select("run_id").distinct().count() == 3
 
 
+def test_stream_chain_equals_batch_chain(spark, tmp_path):
+    """Games first, then their schedules, in batches; a repeated batch and a lost one change nothing."""
+    root = tmp_path / "in"
+    _land(root, [1, 2, 3])
+    batch, stream = Lake(spark, str(tmp_path / "b")), Lake(spark, str(tmp_path / "s"))
+    lengths = lambda text: F.array(F.length(text).cast("float"), F.lit(1.0).cast("float"))
+    daily.run_daily(batch, files.read_scoreboards(spark, f"{root}/boards"),
+                    files.read_game_details(spark, f"{root}/games"), "r1", AT, embedder=lengths)
+
+    def run(kind, folder):
+        chain_stream(spark, f"{root}/{folder}", stream, kind, str(tmp_path / kind), AT, max_files=2,
+                     embedder=lengths).awaitTermination()
+
+    def same():
+        for name in (("gold", "player_game_stats"), ("vectors", "article_chunks"), ("stage", "fact_player_stats"),
+                     ("stage", "dim_games"), ("stage", "article_embeddings")):
+            a, b = (sorted(map(repr, x.read(*name).drop("run_id").collect())) for x in (batch, stream))
+            assert a == b and a, name
+
+    run("game", "games")
+    assert stream.read("gold", "player_game_stats").isEmpty()  # no schedule yet
+    run("scoreboard", "boards")
+    same()
+    commits = {(r.stream, r.batch_id) for r in stream.read("mlops", "stream_commit").collect()}
+    assert commits == {("game", 0), ("game", 1), ("scoreboard", 0), ("scoreboard", 1)}
+    # A batch whose commit row is missing runs again and leaves everything as it was.
+    stream.replace(stream.read("mlops", "stream_commit").where("stream = 'game'"), "mlops", "stream_commit")
+    chain_stream(spark, f"{root}/boards", stream, "scoreboard", str(tmp_path / "again"), AT, max_files=2,
+                 embedder=lengths).awaitTermination()
+    same()
+
+
+def test_chain_to_a_deployed_version(spark, tmp_path):
+    root, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
+    _land(root, range(1, 9))
+    for _ in range(2):
+        daily.run_chain(lake, files.read_scoreboards(spark, f"{root}/boards"),
+                        files.read_game_details(spark, f"{root}/games"), "r1", AT)
+    registry.check_references(lake)
+    run = lake.read("mlops", "training_run").collect()
+    version = lake.read("mlops", "model_version").first()
+    assert [r.run_id for r in run] == ["r1"] and version.training_run_id == "r1" and version.status == "approved"
+    assert [r.traffic_split for r in lake.read("mlops", "deployment").collect()] == [1.0]
+    feats = lake.read("ai_datasets", "player_fantasy_features").count()
+    assert lake.read("model_outputs", "predictions_fantasy").count() == feats > 0
+
+
 def test_upsert_stream_with_late_rows(spark, tmp_path):
     schema = "k int, at int, v string"
     loads = [[(1, 5, "new"), (2, 1, "a")], [(1, 3, "late"), (2, 2, "b")], [(3, 1, "c")]]
