@@ -5,21 +5,27 @@ ln(1 + N / n), n the number of documents in the shingle's hash bucket (``BUCKETS
 a shingle of its own keeps the same weight at every corpus size, as N and the bucket's n grow
 alike). ``BANDS`` x ``ROWS`` samples make a sketch; texts that share a band are candidates.
 Inside a band each text is tried against one centre, and against a centre among those that
-also share the ``MORE`` samples after the band. Each band draws its centres by an order of
-its own, so that a group hangs together by many of them. Candidates are links if their
-weighted Jaccard similarity is ``SIMILAR`` or more; classes are connected components.
-
-Bands whose texts are not all of one class then (families that share boilerplate) are settled
-by an exact prefix join of their texts: with shingles in order of rarity, two similar texts
-share one among the first of both, which boilerplate is not. So a pair of a common band is
-found whatever the centres were.
+also share the ``MORE`` samples after the band. All bands draw their centres by one order, so
+a text of a large group meets the same few centres again and has few pairs. Candidates are
+links if their weighted Jaccard similarity is ``SIMILAR`` or more; classes are connected
+components. Texts of bands that are not all of one class then are tried once more, against
+centres that every band draws by an order of its own: large groups whose members are not all
+alike hang together by several centres.
+
+Bands whose texts are still not all of one class (families that share boilerplate) are settled
+by an exact prefix join of their texts: with shingles in order of their frequency among these
+texts (in ``ORDER`` buckets), two similar texts share one among the first of both, which
+boilerplate is not; and what lies from it on in either text must suffice. So a pair of
+a common band is found whatever the centres were, and its texts are compared.
 
 No group is gathered: centres are aggregates, pairs are one row a text and band; the prefix
 join pairs texts of different classes that share one of their rarest shingles. Texts with
 equal words are one class from the start (their least doc_id stands for them). Results for
 odd input: NULL and empty texts are copies of each other; texts of fewer than five words have
-one shingle; a NULL doc_id has a NULL class and is never linked; rows of one doc_id are one
-document; an empty table gives an empty result. Other columns are kept by ``keep_one``.
+one shingle; in ``classes`` a NULL doc_id has a NULL class and is never linked, and rows of
+one doc_id are one document; ``keep_one`` goes by doc_id and text, so that texts of one doc_id
+and texts without one each take part; an empty table gives an empty result. Very long texts are worked
+on one by one, in memory in proportion to the longest. Other columns are kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from statlake.llm.common import in_small_batches, kept, mixed, text_or_empty
+from statlake.llm.common import in_small_batches, kept, mixed, packed, text_or_empty, unpacked
 from statlake.llm.components import components
 from statlake.llm.shingles import parts, shingles
 
@@ -38,8 +44,12 @@ BUCKETS = 1 << 18
 BANDS, ROWS, MORE = 12, 3, 3
 SAMPLES = BANDS * ROWS
 SIMILAR = 0.8
-#: Of 36 samples, so many are equal at least in pairs whose texts are compared.
+#: Of 36 samples, so many are equal at least in pairs with a centre whose texts are compared.
 AGREE = 20
+#: Buckets in which shingles of unsettled texts are counted to order them.
+ORDER = 1 << 18
+#: A pair that shares one of so many shingles before has met there already.
+BEFORE = 24
 
 _GAMMA: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -82,24 +92,36 @@ def sketch(shingle: np.ndarray, weight: np.ndarray, firsts: np.ndarray) -> np.nd
     return out
 
 
-def _bucket_counts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts = np.zeros(BUCKETS, "i8")
-    for batch in batches:
-        for _, texts in parts(batch["text"].tolist()):
-            text, shingle, _ = shingles(texts)
-            pairs = np.unique((text.astype("u8") << np.uint64(18)) | (shingle & np.uint64(BUCKETS - 1)))
-            counts += np.bincount((pairs & np.uint64(BUCKETS - 1)).astype("i8"), minlength=BUCKETS)
-    used = np.flatnonzero(counts)
-    yield pd.DataFrame({"bucket": used.astype("i4"), "n": counts[used]})
+def _bucket_counts(buckets: int):
+    """In how many texts each bucket of shingles occurs."""
+    bits, low = np.uint64(buckets.bit_length() - 1), np.uint64(buckets - 1)
+
+    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(buckets, "i8")
+        for batch in batches:
+            for _, texts in parts(batch["text"].tolist()):
+                text, shingle, _ = shingles(texts)
+                pairs = np.unique((text.astype("u8") << bits) | (shingle & low))
+                counts += np.bincount((pairs & low).astype("i8"), minlength=buckets)
+        used = np.flatnonzero(counts)
+        yield pd.DataFrame({"bucket": used.astype("i4"), "n": counts[used]})
+
+    return count
+
+
+def bucket_counts(texts: DataFrame, buckets: int) -> np.ndarray:
+    """The number of texts by bucket; the driver gets one number for each bucket."""
+    rows = (texts.select("text").mapInPandas(_bucket_counts(buckets), "bucket int, n long")
+            .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow())
+    counts = np.zeros(buckets, "i8")
+    counts[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    return counts
 
 
 def bucket_weights(docs: DataFrame) -> np.ndarray:
-    """ln(1 + N / n) by bucket; the driver gets one number for each bucket."""
-    texts = in_small_batches(docs).select(text_or_empty().alias("text"))
-    rows = texts.mapInPandas(_bucket_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.ones(BUCKETS)
-    counts[rows["bucket"]] = rows["n"]
-    return np.log1p(docs.count() / counts).astype("f4")
+    """ln(1 + N / n) by bucket."""
+    counts = bucket_counts(in_small_batches(docs).select(text_or_empty().alias("text")), BUCKETS)
+    return np.log1p(docs.count() / np.maximum(counts, 1)).astype("f4")
 
 
 def _sketcher(shared):
@@ -141,10 +163,14 @@ def band_keys(reps: DataFrame) -> DataFrame:
     return rows.select("rep", "k.band", "k.key")
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a text and a centre of one of its bands, each pair once."""
+def candidates(reps: DataFrame, by_band: bool = False) -> DataFrame:
+    """Pairs (a, b) of a text and a centre of one of its bands, each pair once.
+
+    With ``by_band`` each band draws its centres by an order of its own: up to two centres a
+    band for every text, instead of the same few.
+    """
     rows = band_keys(reps)
-    order = F.xxhash64("rep", "band")
+    order = F.xxhash64("rep", *(["band"] if by_band else []))
     centres = (rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep")).alias("c"), F.count("*").alias("n"))
                .where("n > 1").select("key", F.col("c.rep").alias("centre")))
     pairs = rows.join(centres, "key").where(F.col("rep") != F.col("centre"))
@@ -175,57 +201,68 @@ def unsettled(reps: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(mixed_, "key").select("rep", "label").distinct()
 
 
-def prefix(shingle: np.ndarray, weight: np.ndarray, idf: np.ndarray, similar: float) -> tuple[np.ndarray, np.ndarray]:
-    """The rarest shingles that a similar text must share one of, and which of them suffice
-    where the other text weighs as much or more.
+def prefix(shingle: np.ndarray, weight: np.ndarray, common: np.ndarray,
+           similar: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rarest shingles that a similar text must share one of, the weight from each of them
+    on, and which of them suffice where the other text weighs as much or more.
 
     What two texts share weighs ``similar`` of the heavier text at least, and of the lighter
     one 2 similar / (1 + similar); so much does not fit behind the shingles given.
     """
-    order = np.lexsort((shingle, -idf))
+    order = np.lexsort((shingle, common))
     rest = np.cumsum(weight[order][::-1])[::-1]
     slack = 1 - 1e-6
-    return shingle[order][rest >= similar * slack * rest[0]], (
-        rest >= 2 * similar / (1 + similar) * slack * rest[0])[rest >= similar * slack * rest[0]]
+    first = rest >= similar * slack * rest[0]
+    return shingle[order][first], rest[first], (rest >= 2 * similar / (1 + similar) * slack * rest[0])[first]
 
 
-def _prefixer(shared, similar: float):
+def _prefixer(shared, ordered, similar: float):
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        idf = shared.value
+        idf, counts = shared.value, ordered.value
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for rep, label, t in zip(batch["rep"], batch["label"], batch["text"]):
                 _, shingle, count = shingles([t])
                 if not len(shingle):
                     continue
-                each = idf[(shingle & np.uint64(BUCKETS - 1)).astype("i8")]
-                weight = (count * each).astype("f8")
-                first, short = prefix(shingle, weight, each, similar)
+                weight = (count * idf[(shingle & np.uint64(BUCKETS - 1)).astype("i8")]).astype("f8")
+                common = counts[(shingle & np.uint64(ORDER - 1)).astype("i8")]
+                first, rest, short = prefix(shingle, weight, common, similar)
                 for into, x in zip(out, (np.full(len(first), rep), np.full(len(first), label),
-                                         np.full(len(first), weight.sum()), first.astype("i8"), short)):
+                                         np.full(len(first), weight.sum()), first.astype("i8"), rest, short,
+                                         [first[max(0, i - BEFORE):i].astype("i8") for i in range(len(first))])):
                     into.append(x)
             if out[0]:
-                yield pd.DataFrame(dict(zip(("rep", "label", "weight", "shingle", "short"), map(np.concatenate, out))))
+                *plain, before = out
+                yield pd.DataFrame(dict(zip(("rep", "label", "weight", "shingle", "rest", "short"), map(np.concatenate, plain)))
+                                   | {"before": [x for some in before for x in some]})
 
     return run
 
 
 def settling(docs: DataFrame, reps: DataFrame, found: DataFrame, idf: np.ndarray, similar: float = SIMILAR) -> DataFrame:
     """Pairs (a, b) of different components that one bucket holds and that may be similar."""
-    shared = docs.sparkSession.sparkContext.broadcast(idf)
     some = kept(unsettled(reps, found), "unsettled")
     texts = docs.select(F.col("doc_id").alias("rep"), text_or_empty().alias("text")).join(some.hint("merge"), "rep")
-    rows = kept(texts.mapInPandas(_prefixer(shared, similar), "rep long, label long, weight double, shingle long, short boolean"), "prefixes")
+    texts = kept(texts.select("rep", "label", "text").dropDuplicates(["rep"]), "unsettled-texts")
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(idf)
+    ordered = spark.sparkContext.broadcast(bucket_counts(texts, ORDER).astype("i4"))
+    rows = kept(texts.mapInPandas(_prefixer(shared, ordered, similar),
+                                  "rep long, label long, weight double, shingle long, rest double, short boolean, "
+                                  "before array<long>"), "prefixes")
     # Shingles of one component only have no pairs to give.
     several = rows.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("shingle")
     rows = rows.join(several, "shingle")
-    x = rows.select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("rep", "label", "weight")])
-    y = rows.where("short").select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("rep", "label", "weight")])
+    x = rows.select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("rep", "label", "weight", "rest", "before")])
+    y = rows.where("short").select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("rep", "label", "weight", "rest", "before")])
+    enough = similar / (1 + similar) * (1 - 1e-6)
     near = ((F.col("label_x") != F.col("label_y")) & (F.col("weight_y") <= F.col("weight_x") * (1 + 1e-6))
-            & (F.col("weight_y") >= F.col("weight_x") * similar * (1 - 1e-6)))
-    pairs = x.join(y.hint("merge"), "shingle").where(near).select(
+            & (F.col("weight_y") >= F.col("weight_x") * similar * (1 - 1e-6))
+            & (F.least("rest_x", "rest_y") >= enough * (F.col("weight_x") + F.col("weight_y")))
+            & ~F.arrays_overlap("before_x", "before_y"))
+    return x.join(y.hint("merge"), "shingle").where(near).select(
         F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
-    return agreeing(pairs, reps)
 
 
 def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
@@ -278,6 +315,11 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     reps = kept(rows.groupBy("copy").agg(F.min("doc_id").alias("rep"), F.first("samples").alias("samples")), "reps")
     linked = kept(links(docs_, candidates(reps), idf, similar), "links")
     found = components(linked)
+    apart = kept(reps.join(unsettled(reps, found).select("rep"), "rep", "left_semi"), "apart")
+    again = kept(links(docs_, candidates(apart, by_band=True), idf, similar), "links")
+    if not again.isEmpty():
+        linked = linked.union(again)
+        found = components(linked)
     more = kept(links(docs_, settling(docs_, reps, found, idf, similar), idf, similar), "links")
     if not more.isEmpty():
         found = components(linked.union(more))
@@ -290,7 +332,17 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """The documents with one of each class left: the one with the least doc_id."""
-    stay = classes(docs, similar).where("doc_id is null or doc_id = class_id").select("doc_id").distinct()
-    one = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return one.join(stay, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """The documents with one of each class left: the one with the least doc_id.
+
+    A document is a doc_id and a text, told by their hash: texts of one doc_id are compared as
+    any others, and so are texts without a doc_id (they stay where no text with one is like
+    them). Repeated rows leave one.
+    """
+    key = F.xxhash64("doc_id", text_or_empty())
+    named = classes(docs.select(key.alias("doc_id"), "text"), similar).distinct()
+    ids = docs.select(key.alias("_key"), F.col("doc_id").alias("_id")).distinct()
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key"))
+    stay = (named.join(ids, F.col("doc_id") == F.col("_key")).groupBy("class_id").agg(first.alias("f"))
+            .select(F.col("f._key").alias("_key")))
+    rows = packed(docs, "doc_id", "text").withColumn("_key", key).dropDuplicates(["_key"])
+    return rows.join(stay, "_key", "left_semi").select(*unpacked(docs.columns, "doc_id", "text"))

@@ -137,8 +137,12 @@ def test_near_duplicates_odd_rows(make):
     docs = make(["a b", "a b", "a b", "c"], ids=[None, 7, 7, 3])
     got = sorted((r["doc_id"] or 0, r["class_id"] or 0) for r in neardup.classes(docs).collect())
     assert got == [(0, 0), (3, 3), (7, 7), (7, 7)]
-    assert neardup.keep_one(docs).count() == 3
-    assert neardup.classes(docs.limit(0)).count() == 0
+    # Copies without a doc_id take part; texts of one doc_id are documents of their own.
+    assert sorted((r["doc_id"], r["text"]) for r in neardup.keep_one(docs).collect()) == [(3, "c"), (7, "a b")]
+    docs = make(["x y z", "one two", "ONE two", "p q", "p q", None, ""], ids=[1, 1, 2, None, None, None, 9])
+    got = sorted(((r["doc_id"] or 0), r["text"] or "") for r in neardup.keep_one(docs).collect())
+    assert got == [(0, "p q"), (1, "one two"), (1, "x y z"), (9, "")]
+    assert neardup.classes(docs.limit(0)).count() == 0 and neardup.keep_one(docs.limit(0)).count() == 0
 
 
 def test_near_duplicates_in_a_boilerplate_family(make):
