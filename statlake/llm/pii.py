@@ -1,27 +1,30 @@
 """Information-theoretic sanitisation: personal data, and the words that give it away.
 
-Patterns find the entities (e-mail and IP addresses, card and phone numbers). Over the whole
-corpus, each letter word (``TERM_LETTERS`` letters or more, lower case) within ``CONTEXT``
-characters of an entity is a term that may reveal it. With N documents, n(e) and n(t) of
-which hold entity and term, and n(t, e) of which hold them side by side,
+Patterns find the entities (e-mail and IP addresses, card and phone numbers). Protected are
+each kind as a whole ("this document holds a phone number") and each single value that recurs.
+A term is a letter word (``TERM_LETTERS`` letters or more, lower case), anywhere in a document.
+With N documents, n(e) and n(t) of which hold entity and term, and n(t, e) of which hold both,
 
     disclosure = PMI / IC = ln(N n(t, e) / (n(t) n(e))) / ln(N / n(e))
 
-is 1 when the term never occurs without the entity. A term side by side with an entity in
-``SUPPORT`` different texts or more is generalised from ``GENERALISE_AT`` on and removed from
-``REMOVE_AT`` on, wherever it stands beside that entity. Counts cover all documents.
+is 1 when the term never occurs without the entity. In documents that hold the entity, every
+place of the term is generalised from ``GENERALISE_AT`` on and removed from ``REMOVE_AT`` on.
+Counts cover all documents. Copies of one text are no evidence: the texts that hold both must
+fall into ``SUPPORT`` of 63 slots of their hash or more (a set of slots is one number, so it
+is summed up before the shuffle); so must the texts that hold a value, for it to recur.
 
 Built-in expressions only. Positions are code points from 0, ends exclusive. Results for odd
 input: a NULL text is an empty one and has no spans; an entity in every document (IC 0) has
-no terms; repeated rows get equal results; an empty table gives an empty result; other
-columns are kept by ``sanitise``, whatever their names.
+no terms; repeated rows get equal results; a very long text takes time in proportion to its
+length and, for its n matches, to n ** 1.5; an empty table gives an empty result; other columns
+are kept by ``sanitise``, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from statlake.llm.common import packed, text_or_empty, unpacked
+from statlake.llm.common import kept, packed, text_or_empty, unpacked
 
 #: The kinds in their order, with their patterns. Possessive repeats and the
 #: look at the character before say the same as the plain patterns, without backtracking.
@@ -33,11 +36,11 @@ PATTERNS = {
 }
 #: What a text must hold for a pattern to be tried at all.
 HINTS = {"email": "@", "phone": "+"}
-CONTEXT, TERM_LETTERS = 60, 4
+TERM_LETTERS = 4
 SUPPORT, GENERALISE_AT, REMOVE_AT = 3, 0.7, 0.95
-SALTS = 32
+SALTS, SLOTS = 32, 63
 
-MATCH = "array<struct<start:int,stop:int,value:string,before:string,after:string>>"
+TERM = rf"(?<!\p{{L}})\p{{L}}{{{TERM_LETTERS},}}".replace("\\", "\\\\")
 
 
 def _digits(value: Column) -> Column:
@@ -57,10 +60,6 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def _matches(kind: str) -> Column:
-    """Matches of a kind with their places and surroundings.
-
-    A text is its gaps and matches in turn, so places are running sums of lengths.
-    """
     hint = HINTS.get(kind)
     pattern = PATTERNS[kind].replace("\\", "\\\\")
     found = f"regexp_extract_all(_text, '{pattern}', 0)"
@@ -69,96 +68,111 @@ def _matches(kind: str) -> Column:
     return F.expr(found)
 
 
-def _placed(kind: str) -> Column:
-    pattern = PATTERNS[kind].replace("\\", "\\\\")
-    return F.expr(f"""
-        if(size(_m_{kind}) = 0, cast(array() as {MATCH}), aggregate(
-            zip_with(split(_text, '{pattern}', -1), _m_{kind}, (g, m) -> struct(g as g, m as m)),
-            cast(struct(0, array()) as struct<at:int,done:{MATCH}>),
-            (a, x) -> struct(
-                a.at + length(x.g) + coalesce(length(x.m), 0) as at,
-                concat(a.done, array(struct(
-                    a.at + length(x.g) as start,
-                    a.at + length(x.g) + coalesce(length(x.m), 0) as stop,
-                    x.m as value,
-                    right(x.g, {CONTEXT + 1}) as before,
-                    left(x.g, {CONTEXT + 1}) as after))) as done),
-            a -> a.done))""")
-
-
-def _checked(kind: str) -> Column:
-    """The valid matches; what follows one is the gap of the next element."""
-    placed = F.col(f"_p_{kind}")
-
-    def named(s: Column, i: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"),
-            s["value"].alias("value"), s["before"].alias("before"),
-            F.get(placed, i + 1)["after"].alias("after"))
-
-    return F.filter(F.transform(placed, named),
-                    lambda s: s["value"].isNotNull() & _valid(kind, s["value"]))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _starts(lengths: Column) -> Column:
+    """The sum of all lengths before each one, by pieces of about the square root of their number."""
+    add = lambda a, x: a + x
+    root = lambda n: F.ceil(F.sqrt(F.size(n))).cast("int")
+    pieces = lambda n: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(n) - 1) / root(n)).cast("int")), lambda i: F.slice(n, i * root(n) + 1, root(n)))
+    totals = lambda c: F.transform(c, lambda x: F.aggregate(x, F.lit(0), add))
+    before = lambda c: F.aggregate(
+        totals(c), F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    within = lambda c, o: F.transform(c, lambda x, j: o + F.aggregate(F.slice(c, F.lit(1), j), F.lit(0), add))
+    sums = lambda c: F.flatten(F.filter(F.zip_with(c, before(c), within), lambda x: x.isNotNull()))
+    return _let(lengths, lambda n: F.when(F.size(n) > 0, _let(pieces(n), sums)).otherwise(
+        F.expr("cast(array() as array<int>)")))
+
+
+def _placed(pattern: str, matches: Column) -> Column:
+    """Matches (start, stop, value). A text is its gaps and matches in turn, so places are sums of lengths."""
+    gaps = F.expr(f"split(_text, '{pattern}', -1)")
+    turns = F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("g"), m.alias("m")))
+    lengths = lambda z: F.transform(z, lambda x: x["g"] + F.coalesce(F.length(x["m"]), F.lit(0)))
+    place = lambda x, at: F.struct(
+        (at + x["g"]).alias("start"), (at + x["g"] + F.length(x["m"])).alias("stop"), x["m"].alias("value"))
+    places = _let(turns, lambda z: F.filter(F.zip_with(z, _starts(lengths(z)), place), lambda s: s["value"].isNotNull()))
+    none = F.expr("cast(array() as array<struct<start:int,stop:int,value:string>>)")
+    return F.when(F.size(matches) > 0, places).otherwise(none)
 
 
 def entities(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_text``, ``_hash`` and the valid matches of each kind, ``_e_<kind>``."""
     rows = docs.withColumn("_text", text_or_empty())
     rows = rows.withColumns({f"_m_{k}": _matches(k) for k in PATTERNS})
-    rows = rows.withColumns({f"_p_{k}": _placed(k) for k in PATTERNS})
-    follows = {f"_e_{k}": _checked(k) for k in PATTERNS}
-    rows = rows.withColumns(follows).withColumn("_hash", F.xxhash64("_text"))
-    return rows.drop(*[f"_{c}_{k}" for c in "mp" for k in PATTERNS])
+
+    def checked(kind: str) -> Column:
+        placed = _placed(PATTERNS[kind].replace("\\", "\\\\"), F.col(f"_m_{kind}"))
+        return F.transform(F.filter(placed, lambda s: _valid(kind, s["value"])), lambda s: F.struct(
+            F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value")))
+
+    rows = rows.withColumns({f"_e_{k}": checked(k) for k in PATTERNS}).withColumn("_hash", F.xxhash64("_text"))
+    return rows.drop(*[f"_m_{k}" for k in PATTERNS])
 
 
 def _all(rows: DataFrame) -> Column:
     return F.concat(*[F.col(f"_e_{k}") for k in PATTERNS])
 
 
-def occurrences(found: DataFrame) -> DataFrame:
-    """Each term beside an entity: text hash, document number, entity, term, place."""
-    some = found.where(" or ".join(f"size(_e_{k}) > 0" for k in PATTERNS))
-    one = some.select("doc_id", "_hash", F.explode(_all(some)).alias("e")).select(
-        "doc_id", "_hash", F.concat_ws(":", "e.kind", F.lower("e.value")).alias("entity"),
-        F.col("e.start").alias("at"), F.col("e.stop").alias("to"), "e.before", "e.after")
-    # A side longer than the context was cut; the word at the cut is not whole.
-    before = F.when(F.length("before") > CONTEXT, F.regexp_replace("before", r"^(?:\p{L}+|.)", "")).otherwise(F.col("before"))
-    after = F.when(F.length("after") > CONTEXT, F.regexp_replace("after", r"(?:\p{L}+|(?s:.))$", "")).otherwise(F.col("after"))
-    sides = one.select("doc_id", "_hash", "entity", F.explode(F.array(
-        F.struct((F.col("at") - F.length(before)).alias("base"), before.alias("side")),
-        F.struct(F.col("to").alias("base"), after.alias("side")))).alias("s"))
-    word = rf"(?<!\p{{L}})\p{{L}}{{{TERM_LETTERS},}}".replace("\\", "\\\\")
-    pieces = sides.select("doc_id", "_hash", "entity", "s.base", F.expr(
-        f"zip_with(split(s.side, '{word}', -1), regexp_extract_all(s.side, '{word}', 0), (g, m) -> struct(g as g, m as m))").alias("z"))
-    places = pieces.select("doc_id", "_hash", "entity", "base", "z", F.posexplode("z").alias("i", "x"))
-    lengths = F.aggregate(F.slice("z", 1, F.col("i")), F.lit(0),
-                          lambda a, x: a + F.length(x["g"]) + F.length(x["m"]))
-    start = F.col("base") + lengths + F.length("x.g")
-    return places.where("x.m is not null").select(
-        "doc_id", "_hash", "entity", F.lower("x.m").alias("term"), start.alias("start"),
-        (start + F.length("x.m")).alias("stop"))
-
-
-def disclosing(docs: DataFrame, beside: DataFrame, found: DataFrame, support: int = SUPPORT,
+def _some(found: DataFrame) -> Column:
+    return F.expr(" or ".join(f"size(_e_{k}) > 0" for k in PATTERNS))
+
+
+def _support(hash_: str = "_hash") -> Column:
+    """The number of slots that texts fall into."""
+    return F.bit_count(F.bit_or(F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.pmod(hash_, F.lit(SLOTS)).cast("int"))))
+
+
+def _salted(few: DataFrame) -> DataFrame:
+    """One row for each salt, so that no key of the other side is hot."""
+    return few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _salt(*cols) -> Column:
+    return F.pmod(F.xxhash64(*cols), F.lit(SALTS)).cast("int")
+
+
+def protected(found: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
+    """Each different text with entities (_hash, n copies, its entities and terms), and the entities with n_e."""
+    value = lambda e: F.concat_ws(":", e["kind"], F.lower(e["value"]))
+    texts = found.where(_some(found)).groupBy("_hash").agg(
+        F.count("*").alias("n"),
+        F.any_value(F.array_distinct(F.transform(_all(found), lambda e: e["kind"]))).alias("kinds"),
+        F.any_value(F.array_distinct(F.transform(_all(found), value))).alias("values"),
+        F.any_value(F.array_distinct(F.expr(f"regexp_extract_all(lower(_text), '{TERM}', 0)"))).alias("terms"))
+    texts = kept(texts, "pii")
+    each = texts.select("_hash", "n", F.explode(F.concat("kinds", "values")).alias("entity"))
+    counted = (each.groupBy("entity").agg(F.sum("n").alias("n_e"), _support().alias("texts"))
+               .where(F.col("texts") >= support).drop("texts"))
+    # Values that recur; most occur once.
+    recur = (each.where(F.contains("entity", F.lit(":"))).withColumn("_salt", _salt("_hash"))
+             .join(_salted(counted.select("entity")), ["entity", "_salt"])
+             .groupBy("_hash").agg(F.collect_list("entity").alias("recur")))
+    texts = texts.join(recur, "_hash", "left")
+    entity = F.concat("kinds", F.coalesce("recur", F.expr("cast(array() as array<string>)")))
+    return texts.select("_hash", "n", "terms", entity.alias("entities")), counted
+
+
+def disclosing(docs: DataFrame, texts: DataFrame, counted: DataFrame, support: int = SUPPORT,
                at_least: float = GENERALISE_AT) -> DataFrame:
     """Terms that reveal an entity: entity, term, disclosure."""
-    pairs = (beside.select("entity", "term", "_hash", "doc_id").distinct()
-             .groupBy("entity", "term", "_hash").agg(F.count("*").alias("n"))
-             .groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("both"))
-             .where(F.col("texts") >= support))
-    # A document's distinct entities; counts combine before the shuffle.
-    has = found.where(" or ".join(f"size(_e_{k}) > 0" for k in PATTERNS)).select(
-        F.explode(F.array_distinct(F.transform(
-            _all(found), lambda e: F.concat_ws(":", e["kind"], F.lower(e["value"]))))).alias("entity"))
-    of_entity = has.groupBy("entity").agg(F.count("*").alias("n_e"))
-    word = rf"(?<!\p{{L}})\p{{L}}{{{TERM_LETTERS},}}".replace("\\", "\\\\")
+    pairs = (texts.select("_hash", "n", "terms", F.explode("entities").alias("entity"))
+             .select("_hash", "n", "entity", F.explode("terms").alias("term"))
+             .groupBy("entity", "term").agg(F.sum("n").alias("both"), _support().alias("texts"))
+             .where(F.col("texts") >= support).withColumn("_salt", _salt("term")))
     words = docs.select(F.explode(F.array_distinct(F.expr(
-        f"regexp_extract_all(lower(coalesce(text, '')), '{word}', 0)"))).alias("w"))
+        f"regexp_extract_all(lower(coalesce(text, '')), '{TERM}', 0)"))).alias("w"))
     of_term = words.groupBy(F.xxhash64("w").alias("_w")).agg(F.count("*").alias("n_t"))
     n = docs.agg(F.count("*").alias("n_all"))
     pmi = F.log(F.col("n_all") * F.col("both") / (F.col("n_t") * F.col("n_e")))
     content = F.log(F.col("n_all") / F.col("n_e"))
     # The number of documents is one row.
-    return (pairs.join(of_entity, "entity").withColumn("_w", F.xxhash64("term")).join(of_term, "_w")
+    return (pairs.join(_salted(counted), ["entity", "_salt"]).withColumn("_w", F.xxhash64("term")).join(of_term, "_w")
             .join(F.broadcast(n)).where(content > 0)
             .select("entity", "term", (pmi / content).alias("disclosure"))
             .where(F.col("disclosure") >= at_least))
@@ -172,26 +186,38 @@ def spans(docs: DataFrame, support: int = SUPPORT, generalise_at: float = GENERA
     are of kind ``generalise`` or ``remove``, by kind, then start.
     """
     found = entities(docs)
-    beside = occurrences(found)
-    marks = disclosing(docs, beside, found, support, generalise_at)
-    # A term beside several entities counts with its highest disclosure.
-    hits = (beside.join(marks, ["entity", "term"]).groupBy("_hash", "start", "stop")
-            .agg(F.max("disclosure").alias("d"))
-            .groupBy("_hash").agg(F.sort_array(F.collect_list(F.struct(
-                F.when(F.col("d") >= remove_at, "remove").otherwise("generalise").alias("kind"),
-                "start", "stop"))).alias("_terms")))
-    # Copies of a text share its terms: the few texts with terms are repeated for each salt,
-    # and documents without entities get keys of their own, so that no key is hot.
-    hits = hits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("_hash", "_key")
+    texts, counted = protected(found, support)
+    marks = disclosing(docs, texts, counted, support, generalise_at)
+    # A term that reveals several entities of a text counts with its highest disclosure.
+    one = (texts.select("_hash", "terms", F.explode("entities").alias("entity"))
+           .select("_hash", "entity", F.explode("terms").alias("term")).withColumn("_salt", _salt("_hash")))
+    hits = (one.join(_salted(marks), ["entity", "term", "_salt"]).groupBy("_hash", "term")
+            .agg((F.max("disclosure") >= remove_at).alias("gone"))
+            .groupBy("_hash").agg(
+                F.collect_list(F.when(F.col("gone"), F.col("term"))).alias("_remove"),
+                F.collect_list(F.when(~F.col("gone"), F.col("term"))).alias("_generalise")))
+    # Copies of a text share its terms: the texts with terms are repeated for each salt, and
+    # documents without entities get keys of their own, so that no key is hot.
+    hits = _salted(hits).withColumnRenamed("_hash", "_key")
     base = F.transform(_all(found), lambda e: F.struct(e["kind"], e["start"], e["stop"]))
     rows = found.withColumn("_base", base).drop(*[f"_e_{k}" for k in PATTERNS])
     some = F.size("_base") > 0
     rows = rows.withColumns({
         "_key": F.when(some, F.col("_hash")).otherwise(F.xxhash64("doc_id", "_hash")),
-        "_salt": F.when(some, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(-1).cast("int")})
+        "_salt": F.when(some, _salt("doc_id")).otherwise(-1).cast("int")})
+    rows = rows.join(hits, ["_key", "_salt"], "left")
+    placed = _placed(TERM, F.when(F.col("_remove").isNotNull(), F.expr(f"regexp_extract_all(_text, '{TERM}', 0)"))
+                     .otherwise(F.expr("cast(array() as array<string>)")))
+    rows = rows.withColumn("_words", placed)
+
+    def places(kind: str) -> Column:
+        mine = F.filter("_words", lambda s: F.array_contains(f"_{kind}", F.lower(s["value"])))
+        return F.transform(mine, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
+
     none = F.expr("cast(array() as array<struct<kind:string,start:int,stop:int>>)")
-    return (rows.join(hits, ["_key", "_salt"], "left").withColumn("_terms", F.coalesce("_terms", none))
-            .drop("_key", "_salt", "_hash"))
+    return (rows.withColumn("_terms", F.when(F.col("_remove").isNotNull(), F.concat(places("generalise"), places("remove")))
+                            .otherwise(none))
+            .drop("_key", "_salt", "_hash", "_words", "_remove", "_generalise"))
 
 
 def listed(spans_: Column) -> Column:

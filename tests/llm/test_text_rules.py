@@ -1,11 +1,15 @@
 """Personal data, lines and quality rules against plain Python."""
 
 import hashlib
+import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
+import regex
+import xxhash
 
 from statlake.llm import lines, pii, rules
 
@@ -73,6 +77,68 @@ def test_terms_that_reveal(make):
     assert pii.digest(make(told).limit(0)).count() == 0
 
 
+def term_brute(texts, support=3, generalise_at=0.7, remove_at=0.95):
+    word = regex.compile(r"(?<!\p{L})\p{L}{4,}")
+    texts = [t or "" for t in texts]
+    slots = [(xxhash.xxh64_intdigest(t.encode(), seed=42) ^ (1 << 63)) - (1 << 63) for t in texts]
+    slots = [s % 63 for s in slots]
+    held, terms = [], [set(word.findall(t.lower())) for t in texts]
+    for t in texts:
+        base = [(k, m.group().lower()) for k, p in PLAIN.items() for m in re.finditer(p, t) if valid(k, m.group())]
+        held.append({k for k, _ in base} | {f"{k}:{v}" for k, v in base})
+    apart = lambda ids: len({slots[i] for i in ids}) >= support
+    of_entity, of_term = {}, {}
+    for i in range(len(texts)):
+        for e in held[i]:
+            of_entity.setdefault(e, set()).add(i)
+        for t in terms[i]:
+            of_term.setdefault(t, set()).add(i)
+    out = []
+    for i, text in enumerate(texts):
+        marks = {"generalise": [], "remove": []}
+        for m in word.finditer(text):
+            most = 0.0
+            for e in held[i]:
+                both = of_entity[e] & of_term[m.group().lower()]
+                n_e, n_t = len(of_entity[e]), len(of_term[m.group().lower()])
+                if apart(of_entity[e]) and apart(both) and n_e < len(texts):
+                    most = max(most, math.log(len(texts) * len(both) / (n_t * n_e)) / math.log(len(texts) / n_e))
+            if most >= generalise_at:
+                marks["remove" if most >= remove_at else "generalise"].append((m.start(), m.end()))
+        out.append([f"{k}:{a}:{b}" for k in marks for a, b in marks[k]])
+    return out
+
+
+def test_terms_against_brute_force(make):
+    rng = random.Random(8)
+    common = ["plain", "words", "here", "élan", "zu", "Über", "Contact", "calling", "Zarathustra"]
+    values = ["ann@ex.org", "bob@ex.org", "10.0.0.1", "+1 (386) 555-3733", "4111 1111 1111 1111"]
+    texts = []
+    for i in range(140):
+        mine = [rng.choice(common[:6]) for _ in range(rng.randint(0, 30))]
+        if i % 4 == 0:
+            mine += [rng.choice(values), f"x{i}@ex{i}.org", "Contact", rng.choice(["calling", "words"])]
+            rng.shuffle(mine)
+        if "ann@ex.org" in mine:  # further off than any window of characters
+            mine = ["Zarathustra"] + ["plain"] * 40 + mine + ["zarathustra"]
+        texts.append(" ".join(mine) + ("\n😀 Contact" if i % 9 == 0 else ""))
+    texts += [None, "", texts[0], texts[0], "unique@ex.org singular"] * 2
+    rows = sorted(pii.digest(make(texts)).collect(), key=lambda r: r["doc_id"])
+    wanted = term_brute(texts)
+    assert sum(map(len, wanted)) > 50 and any(w.startswith("generalise") for x in wanted for w in x)
+    for text, row, terms in zip(texts, rows, wanted, strict=True):
+        assert row["spans"] == ",".join(base_spans(text) + terms), text
+        assert row["n_terms"] == len(terms)
+
+
+def test_many_entities_in_one_text(make):
+    text = " ".join(f"a{i}@ex.org" for i in range(40_000)) + " word" * 100_000
+    began = time.monotonic()
+    row = pii.digest(make([text, "other"])).orderBy("doc_id").first()
+    assert row["n_email"] == 40_000 and row["spans"] == ",".join(base_spans(text))
+    assert time.monotonic() - began < 60
+
+
 def line_brute(texts, least=5):
     whole, replaced, longer, out = set(), set(), set(), []
     for t in texts:
