@@ -36,14 +36,24 @@ CLASSES = {"upper": r"[^\p{Lu}]+", "digit": r"[^\p{Nd}]+", "space": r"[^\x20\x09
            "letter": r"[^\p{L}]+", "point": r"[^.,;:!?'\"()-]+"}
 
 
-def _count(pattern: str) -> Column:
-    """Characters that are left when all others are taken out."""
-    return F.length(F.regexp_replace("_text", pattern, "")).cast("long")
+def _classed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the number of characters, ``_n``, and of those of each class, ``_<class>``.
+
+    Most characters are letters; all other classes are counted in what is left without them.
+    """
+    count = lambda text, pattern: F.length(F.regexp_replace(text, pattern, "")).cast("long")
+    rows = rows.withColumns({"_n": F.length("_text").cast("long"), "_upper": count("_text", CLASSES["upper"]),
+                             "_other": F.regexp_replace("_text", r"\p{L}+", "")})
+    rows = rows.withColumns({
+        "_letter": F.col("_n") - F.length("_other"),
+        "_symbol": F.regexp_count("_other", F.lit(r"[#*$%&|<>]")).cast("long"),
+        **{f"_{k}": count("_other", CLASSES[k]) for k in ("digit", "space", "point")}})
+    return rows.drop("_other")
 
 
 def measured(docs: DataFrame) -> DataFrame:
     """``docs`` with the words, the base columns and the histogram of character classes."""
-    rows = docs.withColumn("_text", text_or_empty())
+    rows = _classed(docs.withColumn("_text", text_or_empty()))
     rows = rows.withColumn("_words", F.array_remove(F.split("_text", r"[\x20\x09-\x0D]+"), ""))
     rows = rows.withColumn("n_words", F.size("_words").cast("long"))
     rows = rows.withColumn("_grams", F.when(F.col("n_words") > WINDOW, F.expr(
@@ -63,19 +73,17 @@ def measured(docs: DataFrame) -> DataFrame:
             F.least(F.lit(WINDOW), F.get("_places", i + 1) - p), F.lit(WINDOW))),
         F.lit(0).cast("long"), lambda a, n: a + n)
     rows = rows.withColumns({
-        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-        "n_symbols": F.regexp_count("_text", F.lit(r"[#*$%&|<>]")).cast("long"),
+        "word_chars": F.col("_n") - F.col("_space"),
+        "n_symbols": F.col("_symbol"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
-        **{f"_{k}": _count(p) for k, p in CLASSES.items()},
-        "_n": F.length("_text").cast("long")})
+        "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long")})
     rest = F.col("_n") - F.col("_digit") - F.col("_space") - F.col("_letter") - F.col("_point") - F.col("n_symbols")
     rows = rows.withColumn("_chars", F.array(
         "_upper", F.col("_letter") - F.col("_upper"), "_digit", "_space", "_point", "n_symbols",
         F.greatest(rest, F.lit(0))))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return rows.withColumn("base_failed", failed).drop(
-        "_grams", "_lines", "_sorted", "_places", "_n", *[f"_{k}" for k in CLASSES])
+        "_grams", "_lines", "_sorted", "_places", "_n", "_symbol", *[f"_{k}" for k in CLASSES])
 
 
 def references(docs: DataFrame) -> DataFrame:
@@ -86,18 +94,18 @@ def references(docs: DataFrame) -> DataFrame:
     top = W.partitionBy("lang").orderBy(F.desc("n"), "w")
     common = counts.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= COMMON)
     common = common.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "w", "n"))).alias("c"))
-    symbols = F.regexp_count("_text", F.lit(r"[#*$%&|<>]"))
-    parts = rows.select("lang", F.size(F.array_remove(F.split("_text", r"[\x20\x09-\x0D]+"), "")).alias("words"),
-                        F.length("_text").alias("n"), symbols.alias("symbols"),
-                        *[_count(p).alias(k) for k, p in CLASSES.items()])
+    parts = _classed(rows).select("lang", F.col("_n").alias("n"), F.col("_symbol").alias("symbols"),
+                                  *[F.col(f"_{k}").alias(k) for k in CLASSES])
+    # The words of a language are summed from the same shuffle that finds the common ones.
+    totals = counts.groupBy("lang").agg(F.sum("n").cast("double").alias("words"))
     sums = parts.groupBy("lang").agg(
-        F.count("*").alias("docs"), *[F.sum(c).cast("double").alias(c) for c in ["words", "n", "symbols", *CLASSES]])
+        F.count("*").alias("docs"), *[F.sum(c).cast("double").alias(c) for c in ["n", "symbols", *CLASSES]])
     rest = F.col("n") - F.col("digit") - F.col("space") - F.col("letter") - F.col("point") - F.col("symbols")
     chars = F.array("upper", F.col("letter") - F.col("upper"), "digit", "space", "point", "symbols",
                     F.greatest(rest, F.lit(0.0)))
     listed = F.transform("c", lambda x: x["n"].cast("double"))
     others = F.col("words") - F.aggregate(listed, F.lit(0.0), lambda a, x: a + x)
-    return (sums.where(F.col("docs") >= MIN_DOCS).join(common, "lang").select(
+    return (sums.where(F.col("docs") >= MIN_DOCS).join(common, "lang").join(totals, "lang").select(
         F.col("lang").alias("_lang"), chars.alias("_ref_chars"),
         F.transform("c", lambda x: x["w"]).alias("_common"), F.concat(listed, F.array(others)).alias("_ref_words")))
 
