@@ -38,6 +38,8 @@ SPAN = REACH - ANCHOR + 1
 #: Bytes that are hashed at once; places inside take 20 bits.
 BUFFER = 1_000_000
 LEFT_AFTER, MOST_RUNS = 16, 4096
+#: The part of an anchor's hash that is dealt: equal parts of others are told apart by their bytes.
+KEY_BITS = np.uint64((1 << 48) - 1)
 SALTS = 256
 PIECES_AT_ONCE, REMEMBERED = 12_000, 150_000
 
@@ -108,6 +110,7 @@ def _find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush():
         key, doc, tag, loc = (np.concatenate(x) for x in zip(*held))
+        key &= KEY_BITS
         order = np.argsort(key, kind="stable")
         key, doc, tag, loc = key[order], doc[order], tag[order], loc[order]
         first = np.flatnonzero(np.diff(key, prepend=key[:1] ^ np.uint64(1)) != 0)
