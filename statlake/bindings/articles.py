@@ -226,7 +226,14 @@ FROM h"""
 
 @query(HISTORY)
 def history_window(spark, d):
-    return history_of(table(spark, d, "conversations"), 3)
+    """Conversations in blocks of turns, so that a long one is dealt to many tasks."""
+    return history_of(table(spark, d, "conversations"), 3, turn_block=256)
+
+
+@query(HISTORY)
+def history_window_hot(spark, d):
+    """The same in blocks shorter than the conversations of the test tables."""
+    return history_of(table(spark, d, "conversations"), 3, turn_block=3)
 
 
 # ---------------------------------------------------------------- nested documents
@@ -242,6 +249,15 @@ def flatten_games(spark, d):
         "id", "start_date", "season", "week", "venue_id", "attendance")
 
 
+@query("""
+SELECT o_orderkey::INTEGER AS id, 'run-7' AS run_id, TIMESTAMP '2024-03-01 10:00:00' AS ingest_timestamp FROM orders
+""")
+def games_lineage(spark, d):
+    """Flattened rows with the run and the time they came in."""
+    boards = flatten.with_lineage(_scoreboards(spark, d), "run-7", F.lit("2024-03-01 10:00:00"))
+    return flatten.flatten_games(boards).select("id", "run_id", "ingest_timestamp")
+
+
 @query("""
 SELECT o_orderkey::INTEGER AS game_id, o_custkey::INTEGER AS team_id, 'home' AS home_away,
   floor(o_totalprice)::INTEGER AS score FROM orders

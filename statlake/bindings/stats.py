@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from statlake.bindings.common import ntz, query, rounded, table
 from statlake.functions.metrics import regression_metrics as metrics_of
 from statlake.functions.scalars import SCORING_WEIGHTS, display_label, points
-from statlake.operators.pivot import Stat, pivot_stats
+from statlake.operators.pivot import PLAYER_STATS, Stat, pivot_stats
 from statlake.operators.rows import latest_per_key
 from statlake.operators.windows import lagged_features as lagged_of, temporal_split as split_by
 from statlake.plans import features as feat, marts
@@ -172,6 +172,53 @@ def feature_frame(spark, d):
 # ---------------------------------------------------------------- gold
 
 
+# All statistics: the 22 source keys in order of appearance, dealt to the events by number.
+STAT_KEYS = list(dict.fromkeys(s.key for s in PLAYER_STATS))
+CATEGORIES = ["passing", "interceptions", "defensive", "fumbles"]
+
+
+def all_stats(spark, d):
+    """Every event as a statistic of its athlete, with compound values and odd ones."""
+    e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    key = F.get(F.array(*map(F.lit, STAT_KEYS)), (F.col("event_id") % len(STAT_KEYS)).cast("int"))
+    whole = F.floor("value").cast("string")
+    sep = F.when(F.contains("stat_key", F.lit("/")), "/").when(F.contains("stat_key", F.lit("-")), "-")
+    return e.withColumn("stat_key", key).select(
+        F.date_diff(F.to_date("ts"), F.lit(FIRST_DAY).cast("date")).alias("game_id"),
+        F.col("user_id").cast("string").alias("athlete_id"), "stat_key",
+        F.get(F.array(*map(F.lit, CATEGORIES)), F.col("k").cast("int") % 4).alias("category"),
+        F.when(F.col("k") == "7", "--").when(F.col("k") == "8", "")
+        .when(sep.isNotNull(), F.concat("k", sep, whole))
+        .otherwise(F.col("value").cast("decimal(12,2)").cast("string")).alias("value_str"))
+
+
+# The same as rows: each statistic's pieces are found by a join with the list of statistics.
+ALL_STATS = f"""
+WITH spec(name, key, category, sep, part) AS (VALUES {", ".join(
+    f"('{s.name}', '{s.key}', {'NULL' if s.category is None else repr(s.category)}, "
+    f"{'NULL' if s.sep is None else repr(s.sep)}, {s.part or 'NULL'})" for s in PLAYER_STATS)}),
+e AS (SELECT *, json_extract_string(props, '$.k') AS k, {STAT_KEYS}[event_id % {len(STAT_KEYS)} + 1] AS stat_key FROM events),
+long AS (SELECT date_diff('day', DATE '{FIRST_DAY}', ts::DATE)::INTEGER AS game_id, user_id::VARCHAR AS athlete_id, stat_key,
+  {CATEGORIES}[k::INTEGER % 4 + 1] AS category, CASE WHEN k = '7' THEN '--' WHEN k = '8' THEN ''
+    WHEN contains(stat_key, '/') THEN k || '/' || floor(value)::BIGINT::VARCHAR
+    WHEN contains(stat_key, '-') THEN k || '-' || floor(value)::BIGINT::VARCHAR
+    ELSE value::DECIMAL(12,2)::VARCHAR END AS value_str FROM e),
+found AS (SELECT game_id, athlete_id, name, max(CASE WHEN sep IS NULL THEN value_str ELSE split_part(value_str, sep, part) END) AS v
+  FROM long JOIN spec ON stat_key = key AND (spec.category IS NULL OR spec.category = long.category) GROUP BY ALL),
+players AS (SELECT DISTINCT game_id, athlete_id FROM long)
+SELECT game_id, athlete_id, {", ".join(
+    f"coalesce(max(CASE WHEN name = '{s.name}' THEN TRY_CAST(v AS DECIMAL(10,2)) END), 0)::DOUBLE AS {s.name}"
+    for s in PLAYER_STATS)}
+FROM players LEFT JOIN found USING (game_id, athlete_id) GROUP BY game_id, athlete_id"""
+
+
+@query(ALL_STATS)
+def stat_pivot_all(spark, d):
+    """All 25 statistics of the fact."""
+    wide = pivot_stats(all_stats(spark, d), ["game_id", "athlete_id"], PLAYER_STATS)
+    return rounded(wide, 2, *[s.name for s in PLAYER_STATS])
+
+
 @query(f"WITH {LONG} SELECT game_id, athlete_id, {AS_DOUBLE} FROM (SELECT game_id, athlete_id, "
        f"{PIVOT_COLUMNS} FROM long GROUP BY game_id, athlete_id)")
 def stat_pivot(spark, d):
