@@ -38,6 +38,16 @@ def test_grid_compares_every_configuration(frame):
         ml.regressor("other")
 
 
+def test_forest_keeps_node_numbers_and_its_trees(frame):
+    rows, plain = features.split_of(frame, "train"), {"n_estimators": 5, "max_depth": 8}
+    forest = ml.regressor("random_forest", plain)
+    assert forest.getCacheNodeIds()  # else every pass sends all trees grown so far to its tasks
+    model = ml.train(rows, "random_forest", plain)
+    known = model.stages[0].transform(ml.model_input(rows))
+    sent = forest.copy().setCacheNodeIds(False).fit(known)
+    assert model.stages[1].toDebugString.split("\n")[1:] == sent.toDebugString.split("\n")[1:]
+
+
 def test_saved_model_predicts_the_same(frame, tmp_path):
     model = ml.train(features.split_of(frame, "train"), "linear_regression")
     ml.save_model(model, str(tmp_path / "m"))
