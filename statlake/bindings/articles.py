@@ -72,22 +72,26 @@ def _cover(chunks, size: int, by_words: bool):
     """Per document: chunks that are too long, out of place or empty, and characters lost.
 
     Chunks overlap, so each one must begin no later than the one before it ends: laid one
-    behind the other without what they share, they give back the text's characters.
+    behind the other without what they share, they give back the text's characters. A text
+    goes to its document with the first chunk alone.
     """
     text = F.regexp_replace("text", r"\s+", "")
     bare = lambda c: F.regexp_replace(c, r"\s+", "")
     length = F.size(F.split(F.trim("chunk_text"), r"\s+")) if by_words else F.length("chunk_text")
+    chunks = chunks.withColumn("text", F.when(F.col("chunk_index") == 0, F.col("text")))
     per = chunks.groupBy("doc_id").agg(
         F.sum((length > size).cast("long")).alias("n_long"), F.sum((F.trim("chunk_text") == "").cast("long")).alias("n_empty"),
-        F.first("text").alias("text"),
+        F.first("text", ignorenulls=True).alias("text"),
         F.sort_array(F.collect_list(F.struct("chunk_index", "chunk_text"))).alias("c"))
     # Each chunk at its last place that leaves no gap: the last match in what is covered
-    # so far and as many characters more as the chunk has.
+    # so far and as many characters more as the chunk has. It is looked for near the end first.
     ends = F.expr("""aggregate(
-        transform(c, x -> regexp_replace(x.chunk_text, '\\\\s+', '')), struct(1 as upto, 0 as gaps), (a, x) -> struct(
-            greatest(a.upto, least(a.upto + length(x), length(bare) + 1)
-                - greatest(locate(reverse(x), reverse(substring(bare, 1, a.upto - 1 + length(x)))), 1) + 1) as upto,
-            a.gaps + int(locate(reverse(x), reverse(substring(bare, 1, a.upto - 1 + length(x)))) = 0) as gaps))""")
+        transform(c, x -> regexp_replace(x.chunk_text, '\\\\s+', '')), struct(1 as upto, 0 as gaps), (a, x) ->
+        transform(array(substring(bare, 1, a.upto - 1 + length(x))), s -> transform(array(coalesce(
+            nullif(locate(reverse(x), reverse(substring(s, -2 * length(x), 2 * length(x)))), 0),
+            locate(reverse(x), reverse(s)))), at -> struct(
+                greatest(a.upto, least(a.upto + length(x), length(bare) + 1) - greatest(at, 1) + 1) as upto,
+                a.gaps + int(at = 0) as gaps))[0])[0])""")
     return per.withColumn("bare", text).withColumn("e", ends).select(
         "doc_id", "n_long", "n_empty", F.col("e.gaps").cast("long").alias("n_gaps"),
         (F.col("e.upto") - 1).cast("long").alias("n_covered"))

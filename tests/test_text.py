@@ -126,3 +126,18 @@ def test_vectors_of_odd_texts(spark):
     for i in (0, 1):
         assert len(got[i]) == 16 and abs(sum(v * v for v in got[i]) - 1) < 1e-6
     assert retrieval.fit_embedder(df.limit(0), "t", 4).idf == [0.0] * 4
+
+
+def test_cover_sends_a_text_once(spark):
+    from statlake.bindings import articles
+
+    rows = [(1, "word " * 400 + "end"), (2, "ab" * 900), (3, " \n "), (4, None), (5, "x y"), (5, "x y")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    found = articles._cover(tx.chunk(df, "text", "recursive", 350, 75), 350, by_words=False)
+    assert sorted(map(tuple, found.collect())) == [
+        (1, 0, 0, 0, 1603), (2, 0, 0, 0, 1800), (5, 0, 0, 0, 2)]
+    lost = tx.chunk(df, "text", "recursive", 350, 75).where("chunk_index <> 2")
+    gaps = {r.doc_id: r.n_gaps for r in articles._cover(lost, 350, by_words=False).collect()}
+    assert gaps[5] == 0 and set(gaps) == {1, 2, 5}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "(chunk_index#" in plan and " = 0) THEN text#" in plan
