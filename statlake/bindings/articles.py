@@ -625,9 +625,11 @@ SELECT doc_id, chunk_index, dim::INTEGER AS dim, round((v / norm)::FLOAT::DOUBLE
 def embed_documents(spark, d):
     """Every chunk of every document as a vector; one row for each component that is not zero."""
     at = scratch_dir(spark, "chunks")
-    _chunks(spark, d, "recursive", 350, 75).write.parquet(at)
+    _chunks(spark, d, "recursive", 350, 75).select(
+        "doc_id", "chunk_index", retrieval.word_places(F.col("chunk_text"), 256).alias("places")).write.parquet(at)
     chunks = spark.read.parquet(at)
-    model = retrieval.fit_embedder(chunks, "chunk_text", 256)
-    out = retrieval.embed(chunks, "chunk_text", model).select(
-        "doc_id", "chunk_index", F.posexplode("values").alias("dim", "value")).where("value > 0")
+    model = retrieval.fit_embedder(chunks, "places", 256, placed=True)
+    # The outer form: the other one asks every vector for its size first, which computes it anew.
+    out = retrieval.embed(chunks, "places", model.of_places).select(
+        "doc_id", "chunk_index", F.posexplode_outer("values").alias("dim", "value")).where("value > 0")
     return rounded(out, 5, "value")

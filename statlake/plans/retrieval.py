@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statlake.functions.metrics import experiment_summary, ranking_metrics
 from statlake.functions.scalars import chunk_id
-from statlake.functions.text import bound, chunk, clean_html_strict
+from statlake.functions.text import chunk, clean_html_strict
 from statlake.operators.rows import latest_per_key, unprocessed
 from statlake.operators.topk import cosine_top_k
 from statlake.session import scratch_dir
@@ -18,6 +20,8 @@ from statlake.sources.lake import BLOCK, Lake
 # Chunking, vector width and result size.
 CHUNK_SIZE, CHUNK_OVERLAP = 350, 75
 VECTOR_SIZE = 768
+# So many vectors are filled at once.
+ROWS_AT_ONCE = 1_024
 TOP_K = 25
 # A word: letters, marks and digits, in a syntax that Java and RE2 read alike.
 WORDS = "[\\p{L}\\p{M}\\p{N}]+"
@@ -37,42 +41,46 @@ class Embedder:
     """Hashed words weighted by inverse document frequency, unit length.
 
     The offline stand-in for a hosted embedding model; the same weights embed chunks and
-    questions. Built-in expressions only, linear in words and width. A text without words, or
-    with none that tells texts apart, becomes the zero vector, NULL stays NULL.
+    questions. Words are placed by built-in expressions, vectors are filled in Arrow batches,
+    linear in words and width. A text without words, or with none that tells texts apart,
+    becomes the zero vector, NULL stays NULL.
     """
 
     idf: list[float]
 
     def __call__(self, text: Column) -> Column:
-        idf = F.lit(self.idf)
-
-        def counted(places: Column) -> Column:
-            """(place, number) of the places in ascending order, from where each begins."""
-            n = F.size(places)
-            starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (n > 0) & (
-                (i == 0) | (F.get(places, i) != F.get(places, F.greatest(i - 1, F.lit(0))))))
-            return bound(starts, lambda s: F.transform(s, lambda at, k: F.struct(
-                F.get(places, at).alias("at"), (F.coalesce(F.get(s, k + 1), n) - at).alias("n"))))
-
-        def dense(found: Column) -> Column:
-            """The values at their places, zeros between them."""
-            zeros = lambda k: F.array_repeat(F.lit(0.0), k)
-            norm = F.sqrt(F.aggregate(found, F.lit(0.0), lambda a, x: a + x["v"] * x["v"]))
-            return bound(norm, lambda length: F.concat(
-                F.flatten(F.transform(found, lambda x, k: F.concat(
-                    zeros(x["at"] - F.when(k > 0, F.get(found, k - 1)["at"] + 1).otherwise(0)),
-                    F.array(F.when(length > 0, x["v"] / length).otherwise(0.0))))),
-                zeros(len(self.idf) - F.coalesce(F.get(found, F.size(found) - 1)["at"] + 1, F.lit(0)))))
-
-        weighted = bound(F.array_sort(word_places(text, len(self.idf))), lambda p: F.transform(
-            counted(p), lambda x: F.struct(x["at"].alias("at"), (x["n"] * F.get(idf, x["at"])).alias("v"))))
-        return F.when(text.isNotNull(), bound(weighted, dense)).cast("array<float>")
-
-
-def fit_embedder(df: DataFrame, text_col: str, dims: int = VECTOR_SIZE) -> Embedder:
-    """One aggregate pass: in how many texts each place occurs. The driver sees ``dims`` rows."""
+        return self.of_places(word_places(text, len(self.idf)))
+
+    def of_places(self, places: Column) -> Column:
+        """The vectors of texts whose ``word_places`` are stored."""
+        idf = np.asarray(self.idf, dtype=np.float64)
+        dims = len(idf)
+
+        @F.arrow_udf("array<float>")
+        def vectors(places: pa.Array) -> pa.Array:
+            filled = [np.empty(0, np.float32)]
+            for first in range(0, len(places), ROWS_AT_ONCE):
+                some = places.slice(first, ROWS_AT_ONCE)
+                n = np.asarray(some.value_lengths().fill_null(0))
+                at = np.repeat(np.arange(len(some)) * dims, n) + np.asarray(some.flatten())
+                v = np.bincount(at, minlength=len(some) * dims).reshape(-1, dims) * idf
+                # Summed in the order of places, as everywhere.
+                norm = np.sqrt(np.add.accumulate(v * v, axis=1)[:, -1:])
+                filled.append(np.divide(v, norm, out=np.zeros_like(v), where=norm > 0).astype(np.float32).ravel())
+            ends = np.arange(len(places) + 1, dtype=np.int32) * dims
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(filled)), mask=places.is_null())
+
+        return vectors(places)
+
+
+def fit_embedder(df: DataFrame, text_col: str, dims: int = VECTOR_SIZE, placed: bool = False) -> Embedder:
+    """One aggregate pass: in how many texts each place occurs. The driver sees ``dims`` rows.
+
+    ``placed``: the column holds the ``word_places`` of the texts.
+    """
+    at = F.col(text_col) if placed else word_places(F.col(text_col), dims)
     places = df.select(F.explode_outer(F.array_append(
-        F.coalesce(F.array_distinct(word_places(F.col(text_col), dims)), F.array().cast("array<int>")), F.lit(-1))).alias("at"))
+        F.coalesce(F.array_distinct(at), F.array().cast("array<int>")), F.lit(-1))).alias("at"))
     found = dict(places.groupBy("at").count().collect())
     n = found.get(-1, 0)
     return Embedder([math.log((n + 1) / (found.get(k, 0) + 1)) for k in range(dims)])

@@ -128,6 +128,23 @@ def test_vectors_of_odd_texts(spark):
     assert retrieval.fit_embedder(df.limit(0), "t", 4).idf == [0.0] * 4
 
 
+def test_a_stored_place_is_enough_and_no_vector_is_computed_twice(spark, tmp_path, monkeypatch):
+    from statlake.bindings import articles
+    from statlake.plans import retrieval
+
+    df = spark.createDataFrame([(0, "Ünit one, one"), (1, "one two"), (2, "...!"), (3, None)], "i int, t string")
+    stored = df.withColumn("p", retrieval.word_places(F.col("t"), 16))
+    model = retrieval.fit_embedder(df, "t", 16)
+    assert retrieval.fit_embedder(stored, "p", 16, placed=True).idf == model.idf
+    both = stored.select("i", model(F.col("t")).alias("a"), model.of_places(F.col("p")).alias("b")).collect()
+    assert all(r.a == r.b for r in both) and {r.i for r in both if r.a is None} == {3}
+
+    spark.createDataFrame([(1, "one two. " * 90, None)], "doc_id int, text string, lang string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    plan = articles.embed_documents(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("vectors(") == 1 and "md5" not in plan
+
+
 def test_cover_sends_a_text_once(spark):
     from statlake.bindings import articles
 
