@@ -337,6 +337,42 @@ def test_token_files(spark, make, tmp_path):
     assert len(zstandard.ZstdDecompressor().decompressobj(read_across_frames=True).decompress(other)) > 0
 
 
+def test_words_of_new_chunks_are_encoded_once(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    t, e = Tokenizer.from_file(path), tokens.Encoder(path)
+    whole, encode = [], e._encode
+    monkeypatch.setattr(e, "_encode", lambda chunks: whole.extend(chunks) or encode(chunks))
+    plain = "Über rain, RAIN. Rain!? über| (rain) don't rain's' éÉ''"
+    odd = ["x<|endoftext|>", "<|ENDOFTEXT|>", "a\0b,", "\0", "e\u0301,", "İ.", "ŉ!", "ſ,", "µ;", "a\u0338<", "9th.", "ßẞ.",
+           "Zz_", "n'T.", "'s", "ａ,", "æÆ`", "k" * 60 + ".", "ÿŸ.", "a×b÷", "q¿", "d'Or,"]
+    for text in [plain, *odd, " ".join(odd), *(f"{a}x{b}" for a in odd for b in odd), plain]:
+        assert e.ids(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert not {"rain,", "RAIN.", "Rain!?", "über|", "Über"} & set(whole) and {"(rain)", "a\0b,"} <= set(whole)
+    assert {"rain", "über"} <= set(e.units) and "RAIN." not in e.units
+    monkeypatch.setattr(tokens, "CACHED_CHUNKS", 3)
+    for text in (plain, "one two three four five", plain):
+        assert e.ids(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert len(e.units) < 30
+
+
+def test_other_vocabularies_take_no_word_apart(tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    for name, change in (("case", lambda t: setattr(t, "normalizer", None)),
+                         ("added", lambda t: t.add_special_tokens(["rain,"]))):
+        t = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))
+        change(t)
+        t.save(str(tmp_path / f"{name}.json"))
+        e = tokens.Encoder(str(tmp_path / f"{name}.json"))
+        text = "Rain rain, RAIN. Train,"
+        assert e.plain is None
+        assert e.ids(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
