@@ -38,8 +38,9 @@ SPAN = REACH - ANCHOR + 1
 #: Bytes that are hashed at once; places inside take 20 bits.
 BUFFER = 1_000_000
 LEFT_AFTER, MOST_RUNS = 16, 4096
-#: The part of an anchor's hash that is dealt: equal parts of others are told apart by their bytes.
-KEY_BITS = np.uint64((1 << 48) - 1)
+#: The low 48 bits of an anchor's hash are dealt: equal parts of others are told apart by their
+#: bytes. They stand above 16 zero bits, which compress together with the row's zeros before them.
+KEY_SHIFT = np.uint64(16)
 SALTS = 256
 PIECES_AT_ONCE, REMEMBERED = 12_000, 150_000
 
@@ -110,17 +111,20 @@ def _find_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush():
         key, doc, tag, loc = (np.concatenate(x) for x in zip(*held))
-        key &= KEY_BITS
+        key <<= KEY_SHIFT
         order = np.argsort(key, kind="stable")
-        key, doc, tag, loc = key[order], doc[order], tag[order], loc[order]
-        first = np.flatnonzero(np.diff(key, prepend=key[:1] ^ np.uint64(1)) != 0)
+        ordered = key[order]
+        first = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] ^ np.uint64(1)) != 0)
         n = np.diff(np.append(first, len(key)))
-        kind = np.repeat(np.where(n >= LEFT_AFTER, KNOWN, NORMAL), n)
-        hot = first[n >= LEFT_AFTER]
+        hot = n >= LEFT_AFTER
+        kind = np.empty(len(key), "i1")
+        kind[order] = np.repeat(np.where(hot, KNOWN, NORMAL), n)
+        at = order[first[hot]]
+        # The rows stay in order of documents, in which neighbours have most bytes in common.
         yield _table(
-            key=np.concatenate([key, key[hot]]).view("i8"), doc=np.concatenate([doc, np.zeros(len(hot), "i8")]),
-            tag=np.concatenate([tag, np.zeros(len(hot), "i4")]), loc=np.concatenate([loc, n[n >= LEFT_AFTER]]),
-            kind=np.concatenate([kind, np.full(len(hot), LEFT)]).astype("i1"))
+            key=np.concatenate([key, key[at]]).view("i8"), doc=np.concatenate([doc, np.zeros(len(at), "i8")]),
+            tag=np.concatenate([tag, np.zeros(len(at), "i4")]), loc=np.concatenate([loc, n[hot]]),
+            kind=np.concatenate([kind, np.full(len(at), LEFT, "i1")]))
 
     for batch in batches:
         some = batch.filter(pc.invert(batch["copy"]))

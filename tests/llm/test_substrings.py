@@ -120,3 +120,29 @@ def test_many_texts_without_a_doc_id(make, spark):
     wanted = sorted(x[1:] for x in brute([(r["doc_id"], r["text"]) for r in order]))
     got = S.remove_repeats(docs).where("n_bytes > 99").collect()
     assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == wanted
+
+
+def test_dealt_runs_compress():
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    found = ["".join(rng.choice("abcdefghij ") for _ in range(4000)) for _ in range(200)] + ["same text " * 400] * 3
+    batch = S._table(doc=np.arange(1000, 1000 + len(found)), tag=np.ones(len(found), "i4"), text=found,
+                     copy=np.zeros(len(found), bool))
+    rows = pa.Table.from_batches(S._find_runs([batch])).to_pandas()
+    own = rows[rows.kind != S.LEFT]
+    number, start, n, key = S.runs([t.encode() for t in found])
+    assert own.doc.tolist() == (number + 1000).tolist() and own["loc"].tolist() == (start << 8 | n).tolist()
+    # Rows of one anchor, and no others, have one key; many of them are counted and left out by all tasks but one.
+    assert len(set(zip(own.key, key))) == own.key.nunique() == len(set(key.tolist()))
+    many = own.groupby("key").size().loc[lambda x: x >= S.LEFT_AFTER]
+    left = rows[rows.kind == S.LEFT]
+    assert len(many) and dict(zip(left.key, left["loc"])) == many.to_dict()
+    assert set(own.key[own.kind == S.KNOWN]) == set(many.index)
+    # As the rows of a shuffle, with eight bytes a column.
+    wide = np.zeros((len(own), 52), "u1")
+    for at, c in ((12, "key"), (20, "doc"), (28, "tag"), (36, "loc"), (44, "kind")):
+        wide[:, at:at + 8] = own[c].to_numpy().astype("i8").view("u1").reshape(-1, 8)
+    raw = wide[own.key.to_numpy() // (1 << 20) % 7 == 0].tobytes()
+    size = sum(len(pa.compress(raw[i:i + 32768], codec="lz4_raw", asbytes=True)) for i in range(0, len(raw), 32768))
+    assert size * 52 / len(raw) < 17
