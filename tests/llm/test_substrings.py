@@ -133,7 +133,7 @@ def test_dealt_runs_compress():
     own = rows[rows.kind != S.LEFT]
     number, start, n, key = S.runs([t.encode() for t in found])
     assert own.doc.tolist() == (number + 1000).tolist() and own["loc"].tolist() == (start << 8 | n).tolist()
-    # Rows of one anchor, and no others, have one key; many of them are counted and left out by all tasks but one.
+    # Rows of one anchor, and no others, have one key; of an anchor with many rows their number is told.
     assert len(set(zip(own.key, key))) == own.key.nunique() == len(set(key.tolist()))
     many = own.groupby("key").size().loc[lambda x: x >= S.LEFT_AFTER]
     left = rows[rows.kind == S.LEFT]
