@@ -1,13 +1,14 @@
 """Exact cosine top-k: block products inside tasks, ranking in Spark.
 
 A few queries travel to the tasks as one matrix of a checked size, and the corpus stays
-where it is. Any number of queries takes the two-sided block product: the corpus is dealt
-once into groups of a bounded size, every group gets all queries, and a task holds one
-group and streams the queries past it.
+where it is. Any number of queries takes the two-sided block product: corpus and queries are
+dealt into groups, every group of the one meets every group of the other in a task, which
+holds its corpus rows (a bounded number) and streams its queries past them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +19,11 @@ from pyspark.sql.types import StructType
 
 # Queries of at most so many values (about 16 MB) travel to the tasks as one matrix.
 SLICE_VALUES = 2_000_000
-# Values of a group of corpus rows (about 64 MB), and of the queries met with it at once.
+# Values of a group of corpus rows (about 64 MB), and scores that a task has at once.
 GROUP_VALUES, MET_VALUES = 8_000_000, 1_000_000
-# So many of them are multiplied with a batch at once.
+# Pairs that a task meets, and so many where there would be more than MANY_TASKS tasks.
+TASK_PAIRS, MOST_PAIRS, MANY_TASKS = 2**29, 2**32, 64
+# So many queries are multiplied with a batch at once.
 QUERIES_AT_ONCE = 256
 
 
@@ -41,7 +44,7 @@ def cosine_top_k(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "i
     q, c, n, width, out = _sides(queries, corpus, id_col, vector_col, query_id, query_vector)
     if n * width <= SLICE_VALUES:
         return _ranked(_by_matrix(q.collect(), c, k, digits, out), k)
-    return _ranked(_by_blocks(q, c, width, k, digits, out), k)
+    return _ranked(_by_blocks(q, n, c, width, k, digits, out), k)
 
 
 def block_top_k(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "id",
@@ -49,12 +52,14 @@ def block_top_k(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "id
                 query_vector: str = "values", digits: int = 9) -> DataFrame:
     """``cosine_top_k`` for any number of queries; no vector passes through the driver.
 
-    The corpus is shuffled once, each query once for each group of ``GROUP_VALUES`` values.
-    A task sorts a group's corpus rows before the queries, so it holds the former and
-    sees the latter batch by batch; k rows per query and group go on to the ranking.
+    Each corpus row is shuffled once for each group of queries, and each query once for each
+    group of corpus rows; the number of groups grows with the root of the number of pairs, so
+    that tasks of bounded work share out the pairs. A task sorts its corpus rows before the
+    queries, so it holds the former and sees the latter batch by batch; k rows per query and
+    group go on to the ranking.
     """
-    q, c, _, width, out = _sides(queries, corpus, id_col, vector_col, query_id, query_vector)
-    return _ranked(_by_blocks(q, c, width, k, digits, out), k)
+    q, c, n, width, out = _sides(queries, corpus, id_col, vector_col, query_id, query_vector)
+    return _ranked(_by_blocks(q, n, c, width, k, digits, out), k)
 
 
 def _sides(queries, corpus, id_col, vector_col, query_id, query_vector):
@@ -75,7 +80,7 @@ def _whole(df: DataFrame, width: int) -> DataFrame:
 
 
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last())
     return (
         candidates.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select("query_id", "rank", "id", "score")
@@ -102,39 +107,92 @@ def _by_matrix(head, corpus: DataFrame, k: int, digits: int, out: StructType) ->
     return corpus.mapInArrow(best_of_task, out)
 
 
-def _by_blocks(q: DataFrame, c: DataFrame, width: int, k: int, digits: int, out: StructType) -> DataFrame:
-    groups = max(1, -(-c.count() * max(width, 1) // GROUP_VALUES))
+def _groups(queries: int, rows: int, width: int) -> tuple[int, int]:
+    """Into how many groups corpus and queries are dealt."""
+    pairs = queries * rows
+    tasks = -(-pairs // TASK_PAIRS)
+    if tasks > MANY_TASKS:
+        tasks = max(MANY_TASKS, -(-pairs // MOST_PAIRS))
+    held = max(1, -(-rows * max(width, 1) // GROUP_VALUES), math.isqrt(tasks // 2))
+    return held, max(1, -(-tasks // held))
+
+
+def _by_blocks(q: DataFrame, n: int, c: DataFrame, width: int, k: int, digits: int, out: StructType) -> DataFrame:
+    held, streamed = _groups(n, c.count(), width)
     query_type, id_type = (out[i].dataType for i in (0, 1))
-    number = F.array(*map(F.lit, range(groups))) if groups <= 64 else F.sequence(F.lit(0), F.lit(groups - 1))
-    values = F.col("_v").cast("array<double>").alias("_v")
-    rows = c.select(F.pmod(F.xxhash64("id", "_v"), F.lit(groups)).cast("int").alias("g"),
-                    F.lit(None).cast(query_type).alias("query_id"), "id", values, F.lit(0).alias("kind"))
-    asked = q.select(F.explode(number).alias("g"), "query_id", F.lit(None).cast(id_type).alias("id"), values,
-                     F.lit(1).alias("kind"))
-    dealt = rows.unionByName(asked).repartition("g").sortWithinPartitions("g", "kind")
+    kinds = {df.schema["_v"].dataType.simpleString() for df in (q, c)}
+    values = F.col("_v") if kinds == {"array<float>"} else F.col("_v").cast("array<double>").alias("_v")
+
+    def dealt(df: DataFrame, own: int, other: int, cell, kind: int, *cols) -> DataFrame:
+        """The rows, each in the cells of its own group and all groups of the other side."""
+        group = F.pmod(F.xxhash64(*df.columns), F.lit(own))
+        return df.select(group.alias("a"), *cols, values, F.lit(kind).alias("kind")).withColumn(
+            "b", F.explode(F.sequence(F.lit(0), F.lit(other - 1)))).select(
+            cell.cast("int").alias("cell"), "kind", "query_id", "id", "_v")
+
+    rows = dealt(c, held, streamed, F.col("a") * streamed + F.col("b"), 0,
+                 F.lit(None).cast(query_type).alias("query_id"), "id")
+    asked = dealt(q, streamed, held, F.col("b") * streamed + F.col("a"), 1,
+                  "query_id", F.lit(None).cast(id_type).alias("id"))
+    # By id, so that of equal scores the one met first stays.
+    cells = rows.unionByName(asked).repartitionById(held * streamed, F.col("cell")).sortWithinPartitions(
+        "cell", "kind", F.col("id").asc_nulls_last())
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held, unit, names = None, [], None, None
+        cell, held, unit, names = None, [], None, None
         for batch in batches:
-            at = np.asarray(batch.column("g")) * 2 + np.asarray(batch.column("kind"))
+            at = np.asarray(batch.column("cell")) * 2 + np.asarray(batch.column("kind"))
             ends = [*(np.flatnonzero(np.diff(at)) + 1), len(at)] if len(at) else []
             for start, end in zip([0, *ends], ends):
                 some = batch.slice(start, end - start)
                 if at[start] % 2 == 0:
-                    if group != at[start] // 2:
-                        group, held, unit = at[start] // 2, [], None
+                    if cell != at[start] // 2:
+                        cell, held, unit = at[start] // 2, [], None
                     held.append((some.column("id"), _matrix(some.column("_v"))))
-                elif group == at[start] // 2:
+                elif cell == at[start] // 2:
                     if unit is None:
-                        names = _names(pa.concat_arrays([i for i, _ in held]))
-                        unit, held = _unit(np.concatenate([m for _, m in held])).T, []
-                    step = max(1, MET_VALUES // max(unit.shape))
-                    for first in range(0, some.num_rows, step):
-                        part = some.slice(first, step)
-                        scores = np.round(_unit(_matrix(part.column("_v"))) @ unit, digits)
-                        yield _emit([_cut(s, names, k) for s in scores], part.column("query_id").to_pylist(), out)
-
-    return dealt.mapInArrow(meet, out)
+                        names = pa.concat_arrays([i for i, _ in held])
+                        unit, held = _unit(np.concatenate([m for _, m in held])), []
+                    for first in range(0, some.num_rows, QUERIES_AT_ONCE):
+                        part = some.slice(first, QUERIES_AT_ONCE)
+                        asks, hits, scores = _nearest(_unit(_matrix(part.column("_v"))), unit, k, digits)
+                        yield pa.RecordBatch.from_arrays(
+                            [part.column("query_id").take(pa.array(asks)), names.take(pa.array(hits)),
+                             pa.array(scores)], schema=to_arrow_schema(out))
+
+    return cells.mapInArrow(meet, out)
+
+
+def _nearest(asked: np.ndarray, rows: np.ndarray, k: int, digits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query the best k rows, of equal scores the first: numbers of query and row, and scores.
+
+    Once a query has k rows, a score counts only if it is above the least of them.
+    """
+    near = 0.6 * 10.0 ** -digits  # what rounding can add, and a little more
+    floor = np.full(len(asked), -np.inf)
+    kept = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    step = max(k, MET_VALUES // len(asked))
+    for first in range(0, len(rows), step):
+        scores = asked @ rows[first:first + step].T
+        if first == 0 and scores.shape[1] > k:
+            # Vectors without a direction score NaN, which no comparison lets through.
+            known = np.where(np.isnan(scores), -np.inf, scores)
+            least = np.partition(known, known.shape[1] - k, axis=1)[:, known.shape[1] - k]
+            ask, hit = np.nonzero((scores >= (least - 2 * near)[:, None]))
+        else:
+            ask, hit = np.nonzero(scores > (floor - near)[:, None])
+        found = np.round(scores[ask, hit], digits)
+        above = found > floor[ask]
+        if not above.any():
+            continue
+        both = [np.concatenate(x) for x in zip(kept, (ask[above], hit[above] + first, found[above]))]
+        order = np.lexsort((both[1], -both[2], both[0]))
+        ask, hit, found = (x[order] for x in both)
+        rank = np.arange(len(ask)) - np.searchsorted(ask, ask)
+        kept = tuple(x[rank < k] for x in (ask, hit, found))
+        full = rank == k - 1
+        floor[ask[full]] = found[full]
+    return kept
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:

@@ -93,3 +93,31 @@ def test_payload_reads_the_blocks_of_hits(spark, tmp_path):
     assert df.count() > 0
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
+
+
+def test_every_row_asks(spark, tmp_path):
+    """topk_many asks with all rows, whatever their ids; a NULL vector neither asks nor answers."""
+    from statlake.bindings import QUERIES
+
+    rnd = random.Random(3)
+    data = [(i, [rnd.random() - 0.5 for _ in range(6)] if i != 8 else None, i % 3) for i in range(1, 40)]
+    spark.createDataFrame(data, "vec_id long, embedding array<float>, label int").write.parquet(
+        str(tmp_path / "embeddings.parquet"))
+    got = QUERIES["topk_many"](spark, str(tmp_path)).collect()
+    assert {(r.query_id, r.rank) for r in got} == {(i, n) for i in range(1, 40) if i != 8 for n in range(1, 11)}
+    assert all(r.id == r.query_id for r in got if r["rank"] == 1)
+
+
+@pytest.mark.parametrize("pairs", [60, 10**9])
+def test_block_product_shares_out_the_pairs(spark, monkeypatch, pairs):
+    """Many tasks on both sides give the hits of one; equal scores rank by id, a NULL id last."""
+    monkeypatch.setattr(topk, "TASK_PAIRS", pairs)
+    rows = [(i if i else None, [float(i % 2), 1.0, 0.0]) for i in range(30)]
+    c = spark.createDataFrame(rows, "id long, values array<float>").repartition(3)
+    q = spark.createDataFrame([("even", [0.0, 1.0, 0.0]), ("odd", [1.0, 1.0, 0.0])], "query_id string, values array<float>")
+    if pairs == 60:
+        q = q.unionByName(spark.range(40).selectExpr("'more' || id query_id", "array(1f, 1f, 0f) values"))
+        assert min(topk._groups(42, 30, 3)) > 1
+    hits = {n: [r.id for r in topk.block_top_k(q, c, 15).orderBy("rank").where(f"query_id = '{n}'").collect()]
+            for n in ("even", "odd")}
+    assert hits == {"even": [*range(2, 30, 2), None], "odd": list(range(1, 30, 2))}
